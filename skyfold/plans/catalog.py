@@ -156,3 +156,122 @@ def q_upsert_stats(spark, sf):
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}
+
+
+# ---------------------------------------------------------------------------
+# Document path, files and snapshots. Inputs are written once per session to
+# the shared folder from the driver's tables, then read back by the library.
+# ---------------------------------------------------------------------------
+
+_written: dict[tuple, str] = {}
+
+
+def _documents(spark: SparkSession, sf: str) -> str:
+    from ..session import scratch_path, shared_dir
+    key = ("docs", shared_dir(spark), sf)
+    if key not in _written:
+        _written[key] = D.write_documents(spark, sf, scratch_path(spark, "documents"))
+    return _written[key]
+
+
+def _records(spark, sf):
+    from ..sources.documents import decode_documents, read_documents
+    return decode_documents(read_documents(spark, _documents(spark, sf)))
+
+
+def _flat(spark, sf):
+    from ..operators.flatten import flatten
+    return flatten(_records(spark, sf), mode="quarantine")
+
+
+def q_json_source(spark, sf):
+    r = _records(spark, sf)
+    return r.select(
+        "label",
+        F.try_variant_get("record", "$.location.name", "string").alias("name"),
+        F.try_variant_get("record", "$.location.localtime", "string").alias("localtime"),
+        F.try_variant_get("record", "$.current", "variant").isNotNull().alias("has_current"),
+        F.size(F.try_variant_get("record", "$.forecast.forecastday", "array<variant>"))
+        .alias("n_forecast_days"),
+    )
+
+
+def q_explode_map(spark, sf):
+    r = _records(spark, sf)
+    return r.select(
+        "label",
+        F.try_variant_get("record", "$.location.region", "string").alias("region"),
+        F.try_variant_get("record", "$.location.country", "string").alias("country"),
+    )
+
+
+def q_validate_records(spark, sf):
+    from ..operators.validate import validate_records
+    v = validate_records(_records(spark, sf))
+    return v.select(
+        "label",
+        F.try_variant_get("record", "$.location.localtime", "string").alias("localtime"),
+        F.array_join("violations", "; ").alias("violations"),
+    )
+
+
+def q_location_table(spark, sf):
+    return _flat(spark, sf).location
+
+
+def q_unnest_struct(spark, sf):
+    return _flat(spark, sf).current
+
+
+def q_explode_forecast(spark, sf):
+    return _flat(spark, sf).forecast
+
+
+def q_flatten(spark, sf):
+    f = _flat(spark, sf)
+    return merge_forecast(f.forecast, f.current)
+
+
+def _merged_csv(spark, sf) -> str:
+    from ..session import scratch_path, shared_dir
+    from ..sources.snapshots import write_csv
+    key = ("csv", shared_dir(spark), sf)
+    if key not in _written:
+        path = scratch_path(spark, "merged-csv")
+        write_csv(_merged(spark, sf), path)
+        _written[key] = path
+    return _written[key]
+
+
+def q_csv_roundtrip(spark, sf):
+    from ..sources.snapshots import read_csv
+    return read_csv(spark, _merged_csv(spark, sf), "merged")
+
+
+def q_parse_dates(spark, sf):
+    from ..sources.snapshots import parse_dates, text_schema
+    raw = spark.read.schema(text_schema("merged")).option("header", "true").csv(_merged_csv(spark, sf))
+    return parse_dates(raw, "merged").select(
+        *S.PLACE_KEYS, "created_date_local", "created_date_utc", "forecast_date",
+        "current_temp_last_updated")
+
+
+def q_snapshot_read(spark, sf):
+    from ..operators.flatten import location_table  # noqa: F401  (table set below)
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    b = D.weather_batch(spark, sf)
+    merged = merge_forecast(b.forecast, b.current)
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    store.write({"location": b.location, "current_temp": b.current, "forecast_temp": b.forecast,
+                 "merged": merged, "stats": place_stats(merged)})
+    return store.read("merged")
+
+
+def q_pipeline(spark, sf):
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from .pipeline import run
+    root = scratch_path(spark, "store")
+    run(spark, _documents(spark, sf), root, mode="quarantine")
+    return SnapshotStore(spark, root).read("stats")

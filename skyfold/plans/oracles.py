@@ -22,8 +22,15 @@ def _f(x: str) -> str:
     return f"({x}) * cast(1.8 as double) + cast(32.0 as double)"
 
 
-def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False) -> list[str]:
-    """CTEs p{tag}, loc{tag}, cur{tag}, fc{tag}, mg{tag}, sx{tag} of one run."""
+VALID = (f"obs_ts is not null and ((d - DATE '1970-01-01') + user_id) % {D.BAD_CODE_EVERY} <> 0")
+
+
+def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False,
+               valid_only=False) -> list[str]:
+    """CTEs p{tag}, loc{tag}, cur{tag}, fc{tag}, mg{tag}, sx{tag} of one run.
+
+    ``valid_only`` keeps the pulls whose documents pass validation.
+    """
     where = []
     if first_day is not None:
         where.append(f"ts >= TIMESTAMP '{first_day.isoformat()} 00:00:00'")
@@ -53,7 +60,7 @@ def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False)
             from day{t} dy join nation n on n.n_nationkey = dy.user_id % 25
             join region r on r.r_regionkey = n.n_regionkey)""",
         f"""p{t} as (select *, timezone('UTC', timezone(tz_id, created_date_local)) created_date_utc
-            from q{t})""",
+            from q{t} {'where ' + VALID if valid_only else ''})""",
         f"""loc{t} as (select name, region, country, lat, lon, tz_id,
                max_by(cast(epoch(created_date_utc) as bigint), created_date_local) localtime_epoch,
                max(created_date_local) localtime
@@ -124,6 +131,10 @@ def one_run(body: str) -> str:
     return with_ctes(batch_ctes(), body)
 
 
+def valid_run(body: str) -> str:
+    return with_ctes(batch_ctes(valid_only=True), body)
+
+
 def two_runs(body: str) -> str:
     return with_ctes(batch_ctes("1", before_day=D.FIRST_RUN_BEFORE)
                      + batch_ctes("2", first_day=D.SECOND_RUN_FROM, second_run=True), body)
@@ -215,6 +226,34 @@ def oracle_sql() -> dict[str, str]:
     for key, (cte, table) in runs.items():
         schema, keys = S.TABLES[table]
         q[key] = two_runs(upsert_sql(f"{cte}1", f"{cte}2", keys, S.columns(schema)))
+    bad_code = f"((d - DATE '1970-01-01') + user_id) % {D.BAD_CODE_EVERY} = 0"
+    violations = ("case when obs_ts is null then 'current: missing' "
+                  f"when {bad_code} then 'current.condition.code: expected a whole number' "
+                  "else '' end")
+    localtime = "strftime(created_date_local, '%Y-%m-%d %H:%M')"
+    fcols = ", ".join(S.columns(S.FORECAST_SCHEMA))
+    ccols = ", ".join(S.columns(S.CURRENT_SCHEMA))
+    q.update({
+        "json_source": one_run(
+            f"select name label, name, {localtime} localtime, obs_ts is not null has_current, "
+            f"{len(D.HORIZON_DAYS)} n_forecast_days from p"),
+        "explode_map": one_run("select name label, region, country from p"),
+        "validate_records": one_run(
+            f"select name label, {localtime} localtime, {violations} violations from p"),
+        "location_table": valid_run(
+            "select name, region, country, lat, lon, tz_id, "
+            "cast(epoch(created_date_utc) as bigint) localtime_epoch, created_date_local localtime "
+            "from p"),
+        "unnest_struct": valid_run(f"select {ccols} from cur"),
+        "explode_forecast": valid_run(f"select {fcols} from fc"),
+        "flatten": valid_run(f"select {mcols} from mg"),
+        "csv_roundtrip": one_run(f"select {mcols} from mg"),
+        "parse_dates": one_run(
+            "select name, region, country, created_date_local, created_date_utc, forecast_date, "
+            "current_temp_last_updated from mg"),
+        "snapshot_read": one_run(f"select {mcols} from mg"),
+        "pipeline": valid_run("select * from sx"),
+    })
     q["upsert_merged"] = two_runs(_merged_recomputed(
         upsert_sql("mg1", "mg2", S.MERGED_KEYS, S.columns(S.MERGED_SCHEMA))))
     return q

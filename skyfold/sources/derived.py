@@ -129,31 +129,32 @@ def location_of(p: DataFrame) -> DataFrame:
     return g.select(*S.columns(S.LOCATION_SCHEMA))
 
 
-def current_of(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
-    """Observations; days with only error events have none."""
+def _current_cols(temp_shift: float = 0.0) -> list[Column]:
+    """Observation columns of a pull row."""
     temp = F.col("obs_value") + F.lit(temp_shift) if temp_shift else F.col("obs_value")
     code = F.lit(None).cast("int")
     for kind, c in reversed(list(OBSERVED_CODES.items())):
         code = F.when(F.col("obs_type") == kind, F.lit(c)).otherwise(code)
     hour = F.hour("obs_ts")
-    return p.where(F.col("obs_ts").isNotNull()).select(
-        "name", "region", "country", "created_date_local", "created_date_utc",
+    return [
         F.col("obs_ts").alias("last_updated"),
         temp.alias("temp_c"),
         _to_f(temp).alias("temp_f"),
         F.when((hour >= 6) & (hour <= 17), 1).otherwise(0).alias("is_day"),
         F.col("obs_type").alias("text"),
         code.alias("code"),
-    )
+    ]
 
 
-def forecast_of(p: DataFrame, second_run: bool = False) -> DataFrame:
-    """Forecast rows: the pull day and the next two days.
+def current_of(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
+    """Observations; days with only error events have none."""
+    return p.where(F.col("obs_ts").isNotNull()).select(
+        "name", "region", "country", "created_date_local", "created_date_utc",
+        *_current_cols(temp_shift))
 
-    ``second_run`` marks the re-pull used by the upsert queries: highs one
-    degree up, with the next-day high missing (a null must not erase).
-    """
-    h = F.col("h")
+
+def _forecast_cols(h: Column, second_run: bool = False) -> list[Column]:
+    """Forecast columns of a pull row for horizon ``h`` (date first)."""
     mx = F.col("hi") + h
     if second_run:
         mx = F.when(h != 1, mx + F.lit(1.0))
@@ -164,11 +165,8 @@ def forecast_of(p: DataFrame, second_run: bool = False) -> DataFrame:
     chance = F.expr("(100 * n_err) div n").cast("int")
     rain = chance >= RAIN_FROM_PERCENT
     date = F.date_add("d", h)
-    exploded = p.select("*", F.explode(F.array(*[F.lit(x) for x in HORIZON_DAYS])).alias("h"))
-    return exploded.select(
-        "name", "region", "country", "created_date_local",
+    return [
         date.alias("date"),
-        "created_date_utc",
         (F.unix_date(date).cast("bigint") * 86400).alias("date_epoch"),
         mx.alias("maxtemp_c"), _to_f(mx).alias("maxtemp_f"),
         mn.alias("mintemp_c"), _to_f(mn).alias("mintemp_f"),
@@ -185,7 +183,19 @@ def forecast_of(p: DataFrame, second_run: bool = False) -> DataFrame:
         F.when(rain, F.lit(RAIN_CONDITION[0])).otherwise(F.lit(DRY_CONDITION[0])).alias("text"),
         F.when(rain, F.lit(RAIN_CONDITION[1])).otherwise(F.lit(DRY_CONDITION[1])).alias("code"),
         ((F.col("n") + h) % 11).cast("double").alias("uv"),
-    )
+    ]
+
+
+def forecast_of(p: DataFrame, second_run: bool = False) -> DataFrame:
+    """Forecast rows: the pull day and the next two days.
+
+    ``second_run`` marks the re-pull used by the upsert queries: highs one
+    degree up, with the next-day high missing (a null must not erase).
+    """
+    exploded = p.select("*", F.explode(F.array(*[F.lit(x) for x in HORIZON_DAYS])).alias("h"))
+    cols = _forecast_cols(F.col("h"), second_run)
+    return exploded.select("name", "region", "country", "created_date_local", cols[0],
+                           "created_date_utc", *cols[1:])
 
 
 def weather_batch(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None,
@@ -206,3 +216,93 @@ def first_run(spark: SparkSession, sf_dir: str) -> Batch:
 def second_run(spark: SparkSession, sf_dir: str) -> Batch:
     """Run 2: pulls from ``SECOND_RUN_FROM`` on, re-pulled (overlaps run 1)."""
     return weather_batch(spark, sf_dir, first_day=SECOND_RUN_FROM, second_run=True)
+
+
+# ---------------------------------------------------------------------------
+# JSON documents built from the pulls, for the document path.
+# ---------------------------------------------------------------------------
+
+# Places per document, and the encodings each pull selects.
+# Odd event counts write the observed temperature as text; counts divisible
+# by 3 write rain as "yes"/"no"; when (days since 1970 + user id) is
+# divisible by 13 the condition code is fractional (invalid). Days without
+# observation have no "current" object (invalid).
+PLACES_PER_DOCUMENT = 64
+TEXT_TEMP_EVERY = 2
+WORD_RAIN_EVERY = 3
+BAD_CODE_EVERY = 13
+BAD_CODE_FRACTION = 0.5
+LOCAL_FORMAT = "yyyy-MM-dd HH:mm"
+OBSERVED_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _json_struct(*cols: Column) -> Column:
+    return F.to_json(F.struct(*cols))
+
+
+def record_json(p: DataFrame) -> DataFrame:
+    """(d, user_id, label, record text) per pull: a projection, no shuffle."""
+    n = F.col("n")
+    loc = _json_struct(
+        "name", "region", "country", "lat", "lon", "tz_id",
+        epoch_seconds(F.col("created_date_utc")).alias("localtime_epoch"),
+        F.date_format("created_date_local", LOCAL_FORMAT).alias("localtime"))
+
+    cur = dict(zip(["last_updated", "temp_c", "temp_f", "is_day", "text", "code"], _current_cols()))
+    head = [F.date_format("obs_ts", OBSERVED_FORMAT).alias("last_updated")]
+    tail = [cur["temp_f"], cur["is_day"]]
+    as_text = F.col("obs_value").cast("string").alias("temp_c")
+    base = F.when(n % TEXT_TEMP_EVERY == 1, _json_struct(*head, as_text, *tail)) \
+        .otherwise(_json_struct(*head, cur["temp_c"], *tail))
+    bad_code = (F.unix_date("d") + F.col("user_id")) % BAD_CODE_EVERY == 0
+    cond = F.when(bad_code, _json_struct(cur["text"], (cur["code"] + F.lit(BAD_CODE_FRACTION))
+                                         .alias("code"))) \
+        .otherwise(_json_struct(cur["text"], cur["code"]))
+    # splice the condition object in before the closing brace
+    cur_json = F.concat(F.expr("substring(_base, 1, length(_base) - 1)"),
+                        F.lit(',"condition":'), F.col("_cond"), F.lit("}"))
+
+    def day_struct(h: Column, worded: bool) -> Column:
+        cols = dict(zip([f.name for f in S.FORECAST_SCHEMA.fields if f.name not in
+                         ("name", "region", "country", "created_date_local", "created_date_utc")],
+                        _forecast_cols(h)))
+        if worded:
+            cols["daily_will_it_rain"] = F.when(cols["daily_will_it_rain"], F.lit("yes")) \
+                .otherwise(F.lit("no")).alias("daily_will_it_rain")
+        day = [cols[c] for c in S.DAY_SPEC if c not in ("condition", "uv")]
+        return F.struct(
+            F.date_format(cols["date"], "yyyy-MM-dd").alias("date"),
+            cols["date_epoch"],
+            F.struct(*day, F.struct(cols["text"], cols["code"]).alias("condition"),
+                     cols["uv"]).alias("day"))
+
+    horizon = F.array(*[F.lit(x) for x in HORIZON_DAYS])
+    fc_bool = _json_struct(F.transform(horizon, lambda h: day_struct(h, False)).alias("forecastday"))
+    fc_word = _json_struct(F.transform(horizon, lambda h: day_struct(h, True)).alias("forecastday"))
+    fc_json = F.when(n % WORD_RAIN_EVERY == 0, fc_word).otherwise(fc_bool)
+    body = F.concat(
+        F.lit('{"location":'), loc,
+        F.when(F.col("obs_ts").isNotNull(), F.concat(F.lit(',"current":'), cur_json))
+        .otherwise(F.lit("")),
+        F.lit(',"forecast":'), fc_json, F.lit("}"))
+    return p.withColumn("_base", base).withColumn("_cond", cond) \
+        .select("d", "user_id", F.col("name").alias("label"), body.alias("record"))
+
+
+def documents_of(p: DataFrame) -> DataFrame:
+    """One JSON object per (pull day, group of places): label -> record.
+
+    Groups hold at most ``PLACES_PER_DOCUMENT`` records whatever the scale,
+    so no document grows with the data.
+    """
+    r = record_json(p)
+    entry = F.concat(F.lit('"'), F.col("label"), F.lit('":'), F.col("record"))
+    docs = r.groupBy("d", (F.col("user_id") / PLACES_PER_DOCUMENT).cast("bigint").alias("g")).agg(
+        F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value"))
+    return docs.select("value")
+
+
+def write_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the documents of all pulls as newline-delimited JSON under ``path``."""
+    documents_of(pulls(spark, sf_dir)).write.mode("errorifexists").text(path)
+    return path
