@@ -29,12 +29,12 @@ def typed_records(records: DataFrame, mode: str = "fail") -> tuple[DataFrame, Da
     """
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"mode must be 'fail' or 'quarantine', not {mode!r}")
-    checked = validate_records(records)
+    checked = validate_records(records, keep_parts=True)
     if mode == "fail":
         good, bad = fail_on_violation(checked), None
     else:
         good, bad = valid_only(checked), quarantined(checked)
-    return good.select("source", "label", typed_record(F.col("record")).alias("rec")), bad
+    return good.select("source", "label", typed_record().alias("rec")), bad
 
 
 def with_pull_keys(typed: DataFrame) -> DataFrame:

@@ -18,9 +18,16 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
-# Variant types read as numbers, and as whole numbers.
-NUMERIC_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(.*\))$"
-INTEGRAL_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT)$"
+# Variant types read as whole numbers, and other numbers
+# (DECIMAL(p,s) is matched by its prefix).
+INTEGRAL_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
+FLOATING_TYPES = ("DOUBLE", "FLOAT")
+DECIMAL_PREFIX = "DECIMAL"
+
+# Top-level parts of a record, extracted once before the checks: raw
+# variants, and cast to their struct-of-variants shape.
+PART_PREFIX = "_part_"
+SHAPED_PREFIX = "_shaped_"
 
 # Words accepted as booleans (compared in lower case).
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
@@ -45,19 +52,33 @@ def _missing(x: Column) -> Column:
     return x.isNull() | F.is_variant_null(x)
 
 
+def _is_object(x: Column) -> Column:
+    # casting to an empty struct succeeds exactly for objects, and is cheap
+    # (schema_of_variant would print the whole nested type)
+    return _get(x, to="struct<>").isNotNull()
+
+
+def _is_array(x: Column) -> Column:
+    return _get(x, to="array<variant>").isNotNull()
+
+
+def _numeric(t: Column) -> Column:
+    return t.isin(*INTEGRAL_TYPES, *FLOATING_TYPES) | t.startswith(DECIMAL_PREFIX)
+
+
 def _leaf_ok(x: Column, kind: str) -> tuple[Column, str]:
     """(is acceptable, what was expected) for a present leaf value."""
     t = _type(x)
     s = _get(x, to="string")
     d = _get(x, to="double")
-    numeric = t.rlike(NUMERIC_TYPES)
+    numeric = _numeric(t)
     if kind == "str":
         return t == "STRING", "a string"
     if kind == "float":
         return numeric | (t == "BOOLEAN") | ((t == "STRING") & d.isNotNull()), "a number"
     if kind == "int":
         whole = numeric & (d == F.floor(d))
-        return (t.rlike(INTEGRAL_TYPES) | whole | (t == "BOOLEAN")
+        return (t.isin(*INTEGRAL_TYPES) | whole | (t == "BOOLEAN")
                 | ((t == "STRING") & s.rlike(INT_TEXT))), "a whole number"
     if kind == "bool":
         words = list(TRUE_WORDS + FALSE_WORDS)
@@ -85,42 +106,73 @@ def _violations(x: Column, spec, prefix: Column) -> Column:
             for name, sub in spec.items()
         ]
         return (F.when(_missing(x), missing)
-                .when(~_type(x).startswith("OBJECT"), F.array(_msg(prefix, ": not an object")))
+                .when(~_is_object(x), F.array(_msg(prefix, ": not an object")))
                 .otherwise(F.concat(*parts)))
     if isinstance(spec, list):
         items = _get(x, to="array<variant>")
         per_item = F.transform(items, lambda e, i: _violations(
             e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))))
         return (F.when(_missing(x), missing)
-                .when(~_type(x).startswith("ARRAY"), F.array(_msg(prefix, ": not a list")))
+                .when(~_is_array(x), F.array(_msg(prefix, ": not a list")))
                 .otherwise(F.flatten(per_item)))
     ok, expected = _leaf_ok(x, spec)
     out = F.when(_missing(x), missing)
     if spec == "datetime":
         # an epoch or a zone suffix gives an aware time, which cannot be localized
-        aware = _type(x).rlike(NUMERIC_TYPES) | _get(x, to="string").rlike(AWARE_DATETIME_TEXT)
+        aware = _numeric(_type(x)) | ((_type(x) == "STRING")
+                                      & _get(x, to="string").rlike(AWARE_DATETIME_TEXT))
         out = out.when(aware, F.array(_msg(prefix, ": timezone-aware datetime")))
     return (out.when(~ok, F.array(_msg(prefix, f": expected {expected}")))
             .otherwise(F.array().cast("array<string>")))
 
 
-def record_violations(record: Column) -> Column:
-    """Problems of one record, e.g. ``["current.temp_c: missing"]``."""
-    parts = [
-        _violations(_get(record, f"$.{name}"), sub, F.lit(name))
-        for name, sub in S.RECORD_SPEC.items()
-    ]
-    return (F.when(_missing(record), F.array(F.lit("record: missing")))
-            .when(~_type(record).startswith("OBJECT"), F.array(F.lit("record: not an object")))
-            .otherwise(F.concat(*parts)))
+# ---------------------------------------------------------------------------
+# Fast path: each top-level part is cast once to a struct whose leaves are
+# variants (arrays of objects included), so checks and casts read struct
+# fields instead of walking variant paths again and again; inside the
+# array lambdas, which run without code generation, that matters most. A
+# part whose shape does not fit (an object where a number belongs, a list
+# of non-objects, ...) fails that cast and takes the per-path checks above.
+# ---------------------------------------------------------------------------
+
+def shape_ddl(spec) -> str:
+    """DDL of the struct-of-variants shape of ``spec``."""
+    if isinstance(spec, dict):
+        return "struct<" + ", ".join(f"`{k}`: {shape_ddl(v)}" for k, v in spec.items()) + ">"
+    if isinstance(spec, list):
+        return f"array<{shape_ddl(spec[0])}>"
+    return "variant"
+
+
+def _leaf_problem(x: Column, kind: str, prefix: Column) -> Column:
+    """Null, or the one problem of leaf variant ``x``."""
+    ok, expected = _leaf_ok(x, kind)
+    out = F.when(_missing(x), _msg(prefix, ": missing"))
+    if kind == "datetime":
+        aware = _numeric(_type(x)) | ((_type(x) == "STRING")
+                                      & _get(x, to="string").rlike(AWARE_DATETIME_TEXT))
+        out = out.when(aware, _msg(prefix, ": timezone-aware datetime"))
+    return out.when(~ok, _msg(prefix, f": expected {expected}"))
 
 
-def _typed(x: Column, spec, name: str = "") -> Column:
-    """Typed value of an already validated variant."""
+def _shaped_violations(x: Column, spec, prefix: Column) -> Column:
+    """array<string> problems of an already shaped value."""
     if isinstance(spec, dict):
-        return F.struct(*[_typed(_get(x, f"$.{k}"), sub, k).alias(k) for k, sub in spec.items()])
+        leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")))
+                  for k, sub in spec.items() if not isinstance(sub, (dict, list))]
+        nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")))
+                  for k, sub in spec.items() if isinstance(sub, (dict, list))]
+        own = F.array_compact(F.array(*leaves)) if leaves else F.array().cast("array<string>")
+        return F.when(x.isNull(), F.array(_msg(prefix, ": missing"))) \
+            .otherwise(F.concat(own, *nested) if nested else own)
     if isinstance(spec, list):
-        return F.transform(_get(x, to="array<variant>"), lambda e: _typed(e, spec[0]))
+        per_item = F.transform(x, lambda e, i: _shaped_violations(
+            e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))))
+        return F.when(x.isNull(), F.array(_msg(prefix, ": missing"))).otherwise(F.flatten(per_item))
+    raise ValueError(spec)
+
+
+def _leaf_typed(x: Column, spec: str, name: str) -> Column:
     t = _type(x)
     s = _get(x, to="string")
     flag = _get(x, to="boolean")
@@ -144,16 +196,72 @@ def _typed(x: Column, spec, name: str = "") -> Column:
     raise ValueError(spec)
 
 
-def typed_record(record: Column) -> Column:
-    """The record as ``struct<location, current, forecast>`` of typed fields."""
-    return _typed(record, S.RECORD_SPEC)
+def _shaped_typed(x: Column, spec, name: str = "") -> Column:
+    if isinstance(spec, dict):
+        return F.struct(*[_shaped_typed(x[k], sub, k).alias(k) for k, sub in spec.items()])
+    if isinstance(spec, list):
+        return F.transform(x, lambda e: _shaped_typed(e, spec[0]))
+    return _leaf_typed(x, spec, name)
+
+
+def _part(name: str) -> Column:
+    return F.col(PART_PREFIX + name)
+
+
+def _shaped(name: str) -> Column:
+    return F.col(SHAPED_PREFIX + name)
+
+
+def with_parts(df: DataFrame, record: str = "record") -> DataFrame:
+    """Extract each top-level part once, raw and shaped."""
+    parts = {PART_PREFIX + n: _get(F.col(record), f"$.{n}") for n in S.RECORD_SPEC}
+    shaped = {SHAPED_PREFIX + n: _get(F.col(PART_PREFIX + n), to=shape_ddl(sub))
+              for n, sub in S.RECORD_SPEC.items()}
+    return df.withColumns(parts).withColumns(shaped)
+
+
+def _helper_columns() -> list[str]:
+    return [p + n for n in S.RECORD_SPEC for p in (PART_PREFIX, SHAPED_PREFIX)]
+
 
+def record_violations(record: Column) -> Column:
+    """Problems of one record, e.g. ``["current.temp_c: missing"]``.
+
+    Needs the columns of ``with_parts``.
+    """
+    parts = []
+    for name, sub in S.RECORD_SPEC.items():
+        raw, shaped, label = _part(name), _shaped(name), F.lit(name)
+        parts.append(F.when(_missing(raw), F.array(_msg(label, ": missing")))
+                     .when(shaped.isNotNull(), _shaped_violations(shaped, sub, label))
+                     .otherwise(_violations(raw, sub, label)))
+    return (F.when(_missing(record), F.array(F.lit("record: missing")))
+            .when(~_is_object(record), F.array(F.lit("record: not an object")))
+            .otherwise(F.concat(*parts)))
+
+
+def typed_record() -> Column:
+    """The valid record as ``struct<location, current, forecast>`` of typed fields.
 
-def validate_records(records: DataFrame) -> DataFrame:
-    """Add ``violations``; documents that were not JSON objects get one too."""
+    Needs the columns of ``with_parts``; only meaningful without violations.
+    """
+    return F.struct(*[_shaped_typed(_shaped(k), sub, k).alias(k)
+                      for k, sub in S.RECORD_SPEC.items()])
+
+
+def validate_records(records: DataFrame, keep_parts: bool = False) -> DataFrame:
+    """Add ``violations``; documents that were not JSON objects get one too.
+
+    ``keep_parts`` keeps the extracted part columns for ``typed_record``.
+    """
     v = F.when(~F.col("doc_ok"), F.array(F.lit("document: not a JSON object"))) \
         .otherwise(record_violations(F.col("record")))
-    return records.withColumn("violations", v)
+    out = with_parts(records).withColumn("violations", v)
+    return out if keep_parts else drop_parts(out)
+
+
+def drop_parts(df: DataFrame) -> DataFrame:
+    return df.drop(*_helper_columns())
 
 
 def fail_on_violation(checked: DataFrame) -> DataFrame:

@@ -39,13 +39,13 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail") -> D
     """
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"mode must be 'fail' or 'quarantine', not {mode!r}")
-    checked = validate_records(decode_documents(docs))
+    checked = validate_records(decode_documents(docs), keep_parts=True)
     if mode == "fail":
         checked = fail_on_violation(checked)
     bad = F.size("violations") > 0
     staged = checked.select(
         "source", "label", "violations",
-        F.when(~bad, typed_record(F.col("record"))).alias("rec"),
+        F.when(~bad, typed_record()).alias("rec"),
         F.when(bad, F.to_json("record")).alias("record_json"),
     )
     path = scratch_path(spark, "staged-records")
