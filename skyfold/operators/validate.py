@@ -97,42 +97,11 @@ def _msg(prefix: Column, text: str) -> Column:
     return F.concat(prefix, F.lit(text))
 
 
-def _violations(x: Column, spec, prefix: Column) -> Column:
-    """array<string> of problems of value ``x`` (null-free)."""
-    missing = F.array(_msg(prefix, ": missing"))
-    if isinstance(spec, dict):
-        parts = [
-            _violations(_get(x, f"$.{name}"), sub, F.concat(prefix, F.lit(f".{name}")))
-            for name, sub in spec.items()
-        ]
-        return (F.when(_missing(x), missing)
-                .when(~_is_object(x), F.array(_msg(prefix, ": not an object")))
-                .otherwise(F.concat(*parts)))
-    if isinstance(spec, list):
-        items = _get(x, to="array<variant>")
-        per_item = F.transform(items, lambda e, i: _violations(
-            e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))))
-        return (F.when(_missing(x), missing)
-                .when(~_is_array(x), F.array(_msg(prefix, ": not a list")))
-                .otherwise(F.flatten(per_item)))
-    ok, expected = _leaf_ok(x, spec)
-    out = F.when(_missing(x), missing)
-    if spec == "datetime":
-        # an epoch or a zone suffix gives an aware time, which cannot be localized
-        aware = _numeric(_type(x)) | ((_type(x) == "STRING")
-                                      & _get(x, to="string").rlike(AWARE_DATETIME_TEXT))
-        out = out.when(aware, F.array(_msg(prefix, ": timezone-aware datetime")))
-    return (out.when(~ok, F.array(_msg(prefix, f": expected {expected}")))
-            .otherwise(F.array().cast("array<string>")))
-
-
 # ---------------------------------------------------------------------------
-# Fast path: each top-level part is cast once to a struct whose leaves are
-# variants (arrays of objects included), so checks and casts read struct
-# fields instead of walking variant paths again and again; inside the
-# array lambdas, which run without code generation, that matters most. A
-# part whose shape does not fit (an object where a number belongs, a list
-# of non-objects, ...) fails that cast and takes the per-path checks above.
+# Each top-level part is cast once to a struct whose leaves are variants
+# (arrays of objects included), so checks and casts read struct fields
+# instead of walking variant paths again and again; inside the array
+# lambdas, which run without code generation, that matters most.
 # ---------------------------------------------------------------------------
 
 def shape_ddl(spec) -> str:
@@ -155,20 +124,29 @@ def _leaf_problem(x: Column, kind: str, prefix: Column) -> Column:
     return out.when(~ok, _msg(prefix, f": expected {expected}"))
 
 
-def _shaped_violations(x: Column, spec, prefix: Column) -> Column:
-    """array<string> problems of an already shaped value."""
+def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
+    """array<string> problems of an already shaped value.
+
+    The shaping cast nulls exactly the nested object or list whose shape is
+    wrong, like a missing one; only then is the raw variant ``raw`` looked
+    at, to tell "missing" from "not an object"/"not a list".
+    """
+    wrong = ": not an object" if isinstance(spec, dict) else ": not a list"
+    fallback = F.when(_missing(raw), F.array(_msg(prefix, ": missing"))) \
+        .otherwise(F.array(_msg(prefix, wrong)))
     if isinstance(spec, dict):
         leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")))
                   for k, sub in spec.items() if not isinstance(sub, (dict, list))]
-        nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")))
+        nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")), _get(raw, f"$.{k}"))
                   for k, sub in spec.items() if isinstance(sub, (dict, list))]
         own = F.array_compact(F.array(*leaves)) if leaves else F.array().cast("array<string>")
-        return F.when(x.isNull(), F.array(_msg(prefix, ": missing"))) \
-            .otherwise(F.concat(own, *nested) if nested else own)
+        return F.when(x.isNull(), fallback).otherwise(F.concat(own, *nested) if nested else own)
     if isinstance(spec, list):
+        raw_items = _get(raw, to="array<variant>")
         per_item = F.transform(x, lambda e, i: _shaped_violations(
-            e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))))
-        return F.when(x.isNull(), F.array(_msg(prefix, ": missing"))).otherwise(F.flatten(per_item))
+            e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]")),
+            F.element_at(raw_items, i + 1)))
+        return F.when(x.isNull(), fallback).otherwise(F.flatten(per_item))
     raise ValueError(spec)
 
 
@@ -224,6 +202,22 @@ def _helper_columns() -> list[str]:
     return [p + n for n in S.RECORD_SPEC for p in (PART_PREFIX, SHAPED_PREFIX)]
 
 
+_built: dict[tuple, Column] = {}
+
+
+def _once(key: str, build) -> Column:
+    """Build a large expression once per Spark context and reuse it.
+
+    The check and cast trees take thousands of calls from Python to build;
+    as unresolved expressions they can serve any number of DataFrames.
+    """
+    from pyspark import SparkContext
+    k = (key, id(SparkContext._active_spark_context))
+    if k not in _built:
+        _built[k] = build()
+    return _built[k]
+
+
 def record_violations(record: Column) -> Column:
     """Problems of one record, e.g. ``["current.temp_c: missing"]``.
 
@@ -232,9 +226,7 @@ def record_violations(record: Column) -> Column:
     parts = []
     for name, sub in S.RECORD_SPEC.items():
         raw, shaped, label = _part(name), _shaped(name), F.lit(name)
-        parts.append(F.when(_missing(raw), F.array(_msg(label, ": missing")))
-                     .when(shaped.isNotNull(), _shaped_violations(shaped, sub, label))
-                     .otherwise(_violations(raw, sub, label)))
+        parts.append(_shaped_violations(shaped, sub, label, raw))
     return (F.when(_missing(record), F.array(F.lit("record: missing")))
             .when(~_is_object(record), F.array(F.lit("record: not an object")))
             .otherwise(F.concat(*parts)))
@@ -245,8 +237,8 @@ def typed_record() -> Column:
 
     Needs the columns of ``with_parts``; only meaningful without violations.
     """
-    return F.struct(*[_shaped_typed(_shaped(k), sub, k).alias(k)
-                      for k, sub in S.RECORD_SPEC.items()])
+    return _once("typed", lambda: F.struct(*[_shaped_typed(_shaped(k), sub, k).alias(k)
+                                             for k, sub in S.RECORD_SPEC.items()]))
 
 
 def validate_records(records: DataFrame, keep_parts: bool = False) -> DataFrame:
@@ -254,8 +246,9 @@ def validate_records(records: DataFrame, keep_parts: bool = False) -> DataFrame:
 
     ``keep_parts`` keeps the extracted part columns for ``typed_record``.
     """
-    v = F.when(~F.col("doc_ok"), F.array(F.lit("document: not a JSON object"))) \
-        .otherwise(record_violations(F.col("record")))
+    v = _once("violations", lambda: F.when(
+        ~F.col("doc_ok"), F.array(F.lit("document: not a JSON object")))
+        .otherwise(record_violations(F.col("record"))))
     out = with_parts(records).withColumn("violations", v)
     return out if keep_parts else drop_parts(out)
 

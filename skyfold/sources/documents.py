@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Raw documents: (source, text)."""
-    reader = spark.read.option("wholetext", "true") if multiline else spark.read
-    df = reader.text(path)
+    df = spark.read.text(path, wholetext=multiline)
     if not multiline:
         df = df.where(F.length(F.trim("value")) > 0)
     return df.select(F.input_file_name().alias("source"), F.col("value").alias("text"))
