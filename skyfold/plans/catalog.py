@@ -180,8 +180,11 @@ def _records(spark, sf):
 
 
 def _flat(spark, sf):
-    from ..operators.flatten import flatten
-    return flatten(_records(spark, sf), mode="quarantine")
+    """Flat tables of the documents, validated and typed once per call (staged)."""
+    from ..sources.documents import read_documents
+    from .pipeline import batch_tables, stage_records
+    staged = stage_records(spark, read_documents(spark, _documents(spark, sf)), mode="quarantine")
+    return batch_tables(staged)
 
 
 def q_json_source(spark, sf):
@@ -216,20 +219,19 @@ def q_validate_records(spark, sf):
 
 
 def q_location_table(spark, sf):
-    return _flat(spark, sf).location
+    return _flat(spark, sf)["location"]
 
 
 def q_unnest_struct(spark, sf):
-    return _flat(spark, sf).current
+    return _flat(spark, sf)["current_temp"]
 
 
 def q_explode_forecast(spark, sf):
-    return _flat(spark, sf).forecast
+    return _flat(spark, sf)["forecast_temp"]
 
 
 def q_flatten(spark, sf):
-    f = _flat(spark, sf)
-    return merge_forecast(f.forecast, f.current)
+    return _flat(spark, sf)["merged"]
 
 
 def _merged_csv(spark, sf) -> str:
