@@ -277,3 +277,14 @@ def q_pipeline(spark, sf):
     root = scratch_path(spark, "store")
     run(spark, _documents(spark, sf), root, mode="quarantine")
     return SnapshotStore(spark, root).read("stats")
+
+
+def q_stream_ingest(spark, sf):
+    """Documents picked up by the file stream, applied per micro-batch."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from ..streaming.ingest import start_ingest
+    root = scratch_path(spark, "store")
+    q = start_ingest(spark, _documents(spark, sf), root, mode="quarantine")
+    q.awaitTermination()
+    return SnapshotStore(spark, root).read("merged")

@@ -68,12 +68,19 @@ def batch_tables(staged: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
-                  on_duplicate: str = "error", fmt: str = "parquet") -> RunResult:
-    """Apply one batch of documents (source, text) to the store."""
+                  on_duplicate: str = "error", fmt: str = "parquet",
+                  tag: str | None = None) -> RunResult | None:
+    """Apply one batch of documents (source, text) to the store.
+
+    With a ``tag`` already committed (a replayed stream batch) nothing is
+    done and None is returned.
+    """
+    store = SnapshotStore(spark, store_root, fmt)
+    if tag is not None and tag in store.committed_tags():
+        return None
     staged = stage_records(spark, docs, mode)
     counts = staged.agg(F.count(F.lit(1)).alias("n"),
                         F.count(F.when(F.size("violations") > 0, 1)).alias("bad")).first()
-    store = SnapshotStore(spark, store_root, fmt)
     if counts["bad"]:
         staged.where(F.size("violations") > 0).select("source", "label", "violations", "record_json") \
             .write.mode("append").parquet(f"{store.root}/_rejected")
@@ -81,7 +88,7 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     prev = store.latest_version()
     out = {t: upsert_table(t, store.read(t, prev) if prev is not None else None, df, on_duplicate)
            for t, df in new.items()}
-    version = store.write(out)
+    version = store.write(out, tag=tag)
     return RunResult(version, int(counts["n"]), int(counts["bad"]))
 
 

@@ -111,11 +111,23 @@ class SnapshotStore:
             return read_csv(self.spark, path, table)
         return self.spark.read.schema(_schema(table)).parquet(path)
 
-    def write(self, tables: dict[str, DataFrame], sort: bool = True) -> int:
+    def committed_tags(self) -> set[str]:
+        """Tags of committed versions (one tiny read of the commit markers)."""
+        try:
+            commits = self.spark.read.parquet(f"{self.root}/_commits")
+        except AnalysisException:
+            return set()
+        if "tag" not in commits.columns:
+            return set()
+        return {r.tag for r in commits.where(F.col("tag").isNotNull()).select("tag").collect()}
+
+    def write(self, tables: dict[str, DataFrame], sort: bool = True, tag: str | None = None) -> int:
         """Write all tables as the next version, then commit it.
 
         Tables are range-partitioned and sorted on their keys, so files are
         clustered by place (useful min/max statistics for name filters).
+        ``tag`` names the input of the version (e.g. a stream's micro-batch)
+        so a replay can be recognised.
         """
         prev = self.latest_version()
         v = 0 if prev is None else prev + 1
@@ -129,6 +141,6 @@ class SnapshotStore:
                 write_csv(out, path)
             else:
                 out.write.mode("errorifexists").parquet(path)
-        marker = self.spark.createDataFrame([(True,)], "committed boolean")
+        marker = self.spark.createDataFrame([(True, tag)], "committed boolean, tag string")
         marker.write.mode("errorifexists").parquet(f"{self.root}/_commits/version={v}")
         return v
