@@ -288,3 +288,13 @@ def q_stream_ingest(spark, sf):
     q = start_ingest(spark, _documents(spark, sf), root, mode="quarantine")
     q.awaitTermination()
     return SnapshotStore(spark, root).read("merged")
+
+
+def q_pipeline_by_day(spark, sf):
+    """The run into the day-partitioned layout; the stored merged table."""
+    from ..session import scratch_path
+    from ..sources.snapshots import DayPartitionedStore
+    from .pipeline import run
+    root = scratch_path(spark, "daystore")
+    run(spark, _documents(spark, sf), root, mode="quarantine", layout="by_day")
+    return DayPartitionedStore(spark, root).read("merged")

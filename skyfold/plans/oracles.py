@@ -254,6 +254,7 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_read": one_run(f"select {mcols} from mg"),
         "pipeline": valid_run("select * from sx"),
         "stream_ingest": valid_run(f"select {mcols} from mg"),
+        "pipeline_by_day": valid_run(f"select {mcols} from mg"),
     })
     q["upsert_merged"] = two_runs(_merged_recomputed(
         upsert_sql("mg1", "mg2", S.MERGED_KEYS, S.columns(S.MERGED_SCHEMA))))

@@ -21,7 +21,7 @@ from ..operators.upsert import upsert_table
 from ..operators.validate import fail_on_violation, typed_record, validate_records
 from ..session import scratch_path
 from ..sources.documents import decode_documents, read_documents
-from ..sources.snapshots import SnapshotStore
+from ..sources.snapshots import DayPartitionedStore, SnapshotStore
 
 
 @dataclass
@@ -92,8 +92,33 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     return RunResult(version, int(counts["n"]), int(counts["bad"]))
 
 
+def run_by_day(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
+               on_duplicate: str = "error") -> RunResult:
+    """Apply one batch to a ``DayPartitionedStore``: only its pull days are rewritten."""
+    staged = stage_records(spark, docs, mode)
+    counts = staged.agg(F.count(F.lit(1)).alias("n"),
+                        F.count(F.when(F.size("violations") > 0, 1)).alias("bad")).first()
+    store = DayPartitionedStore(spark, store_root)
+    if counts["bad"]:
+        staged.where(F.size("violations") > 0).select("source", "label", "violations", "record_json") \
+            .write.mode("append").parquet(f"{store.root}/_rejected")
+    store.apply(batch_tables(staged),
+                lambda t, old, new: upsert_table(t, old, new, on_duplicate))
+    return RunResult(-1, int(counts["n"]), int(counts["bad"]))
+
+
 def run(spark: SparkSession, input_path: str, store_root: str, mode: str = "fail",
-        multiline: bool = False, on_duplicate: str = "error", fmt: str = "parquet") -> RunResult:
-    """Read documents at ``input_path`` and apply them to the store."""
+        multiline: bool = False, on_duplicate: str = "error", fmt: str = "parquet",
+        layout: str = "versioned") -> RunResult:
+    """Read documents at ``input_path`` and apply them to the store.
+
+    ``layout="versioned"``: every run commits a new snapshot of all tables
+    (atomic, whole rewrite). ``layout="by_day"``: large tables partitioned
+    by pull day, only the batch's days rewritten (incremental, for scale).
+    """
     docs = read_documents(spark, input_path, multiline)
+    if layout == "by_day":
+        return run_by_day(spark, docs, store_root, mode, on_duplicate)
+    if layout != "versioned":
+        raise ValueError(f"layout must be 'versioned' or 'by_day', not {layout!r}")
     return run_documents(spark, docs, store_root, mode, on_duplicate, fmt)
