@@ -45,11 +45,11 @@ def main() -> None:
         best = None
         for _ in range(repeat):
             t0 = time.perf_counter()
-            out = qs[name](spark, sf_dir).collect()
+            n = len(qs[name](spark, sf_dir).collect())
             dt = time.perf_counter() - t0
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
-        rows[name] = len(out)
+        rows[name] = n
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total",
