@@ -61,6 +61,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _ntz_midnight(day: dt.date) -> Column:
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def _to_f(c: Column) -> Column:
     return c * F.lit(1.8) + F.lit(32.0)
 
@@ -73,10 +77,11 @@ def pulls(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None,
     ``ts`` so it reaches the parquet scan.
     """
     ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    # zone-free literals: a Python datetime would become a zoned timestamp
     if first_day is not None:
-        ev = ev.where(F.col("ts") >= F.lit(dt.datetime.combine(first_day, dt.time())))
+        ev = ev.where(F.col("ts") >= _ntz_midnight(first_day))
     if before_day is not None:
-        ev = ev.where(F.col("ts") < F.lit(dt.datetime.combine(before_day, dt.time())))
+        ev = ev.where(F.col("ts") < _ntz_midnight(before_day))
     seen = "event_type <> 'error'"
     day = ev.groupBy("user_id", F.to_date("ts").alias("d")).agg(
         F.max("ts").alias("last_ts"),

@@ -3,7 +3,8 @@
 A store keeps every run's five tables under ``<root>/v=<N>/<table>``. A run
 writes its tables first and its commit marker ``<root>/_commits/version=N``
 last; readers take the highest committed version, so a run that dies
-half-way is never seen and a table being read is never overwritten.
+half-way is never seen and a table being read is never overwritten. The
+next run reuses and replaces the uncommitted version. One writer per store.
 """
 
 from __future__ import annotations
@@ -137,10 +138,12 @@ class SnapshotStore:
             if sort:
                 out = out.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
             path = self.table_path(table, v)
+            # version v is not committed, so no reader uses it: a run that
+            # died half-way left at most debris here, which is replaced
             if self.fmt == "csv":
-                write_csv(out, path)
+                write_csv(out, path, mode="overwrite")
             else:
-                out.write.mode("errorifexists").parquet(path)
+                out.write.mode("overwrite").parquet(path)
         marker = self.spark.createDataFrame([(True, tag)], "committed boolean, tag string")
         marker.write.mode("errorifexists").parquet(f"{self.root}/_commits/version={v}")
         return v
