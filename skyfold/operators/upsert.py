@@ -67,6 +67,32 @@ def upsert_table(table: str, old: DataFrame | None, new: DataFrame,
     return out
 
 
+# The column giving pull order within each table, used when
+# one batch carries several pulls of the same key.
+PULL_ORDER = {
+    "location": "localtime",
+    "current_temp": "created_date_utc",
+    "forecast_temp": "created_date_utc",
+    "merged": "created_date_utc",
+}
+
+
+def collapse_batch(table: str, df: DataFrame) -> DataFrame:
+    """One row per key, as if the batch's pulls had been upserted one by one.
+
+    Each column takes its last non-null value in pull order. The group-by
+    is on the upsert keys, so the following full join reuses its hash
+    partitioning; partial aggregation keeps a hot key cheap.
+    """
+    schema, keys = S.TABLES[table]
+    order = F.col(PULL_ORDER[table])
+    cols = S.columns(schema)
+    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
+            for c in cols if c not in keys]
+    out = df.groupBy(*keys).agg(*aggs).select(*cols)
+    return with_forecast_error(out) if table == "merged" else out
+
+
 def upsert_location(old, new, on_duplicate="error"):
     return upsert_table("location", old, new, on_duplicate)
 

@@ -184,7 +184,7 @@ def _flat(spark, sf):
     from ..sources.documents import read_documents
     from .pipeline import batch_tables, stage_records
     staged = stage_records(spark, read_documents(spark, _documents(spark, sf)), mode="quarantine")
-    return batch_tables(staged)
+    return batch_tables(staged, collapse=False)
 
 
 def q_json_source(spark, sf):

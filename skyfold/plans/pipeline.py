@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.flatten import current_table, forecast_table, location_table, with_pull_keys
 from ..operators.merge import merge_forecast
 from ..operators.stats import place_stats
-from ..operators.upsert import upsert_table
+from ..operators.upsert import collapse_batch, upsert_table
 from ..operators.validate import fail_on_violation, typed_record, validate_records
 from ..session import scratch_path
 from ..sources.documents import decode_documents, read_documents
@@ -53,18 +53,22 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail") -> D
     return spark.read.parquet(path)
 
 
-def batch_tables(staged: DataFrame) -> dict[str, DataFrame]:
-    """The five tables of this batch alone (stats from this batch only)."""
+def batch_tables(staged: DataFrame, collapse: bool = True) -> dict[str, DataFrame]:
+    """The five tables of this batch alone, one row per key.
+
+    Several pulls of one place in a batch collapse as if upserted one by
+    one; stats are over all of the batch's merged rows. ``collapse=False``
+    keeps one row per record (the flatten operators' own output).
+    """
     keyed = with_pull_keys(staged.where(F.size("violations") == 0))
     current, forecast = current_table(keyed), forecast_table(keyed)
     merged = merge_forecast(forecast, current)
-    return {
-        "location": location_table(keyed),
-        "current_temp": current,
-        "forecast_temp": forecast,
-        "merged": merged,
-        "stats": place_stats(merged),
-    }
+    tables = {"location": location_table(keyed), "current_temp": current,
+              "forecast_temp": forecast, "merged": merged}
+    if collapse:
+        tables = {t: collapse_batch(t, df) for t, df in tables.items()}
+    tables["stats"] = place_stats(merged)
+    return tables
 
 
 def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
