@@ -298,3 +298,13 @@ def q_pipeline_by_day(spark, sf):
     root = scratch_path(spark, "daystore")
     run(spark, _documents(spark, sf), root, mode="quarantine", layout="by_day")
     return DayPartitionedStore(spark, root).read("merged")
+
+
+def q_pipeline_location(spark, sf):
+    """Location after a run whose batch holds every day's pull: latest per place."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from .pipeline import run
+    root = scratch_path(spark, "store")
+    run(spark, _documents(spark, sf), root, mode="quarantine")
+    return SnapshotStore(spark, root).read("location")

@@ -255,6 +255,8 @@ def oracle_sql() -> dict[str, str]:
         "pipeline": valid_run("select * from sx"),
         "stream_ingest": valid_run(f"select {mcols} from mg"),
         "pipeline_by_day": valid_run(f"select {mcols} from mg"),
+        "pipeline_location": valid_run(
+            "select name, region, country, lat, lon, tz_id, localtime_epoch, localtime from loc"),
     })
     q["upsert_merged"] = two_runs(_merged_recomputed(
         upsert_sql("mg1", "mg2", S.MERGED_KEYS, S.columns(S.MERGED_SCHEMA))))
