@@ -11,19 +11,27 @@ from ..functions import day_diff, day_of, forecast_error
 JOIN_KEYS = S.PLACE_KEYS + ["created_date_local"]
 
 
-def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
+def merge_forecast(forecast: DataFrame, current: DataFrame, match: str = "pull") -> DataFrame:
     """Left-join each forecast row to the observation of its pull day.
 
     The pull day is the date of the forecast's ``created_date_local``; the
-    observation day is the date of ``last_updated``. Forecasts without an
-    observation keep null observation columns. The error is filled only for
-    the forecast of the pull day itself.
-
-    Both sides shuffle on the four keys unless AQE finds the observation
+    observation day is the date of ``last_updated``; they must be equal.
+    ``match="pull"`` also requires the observation to come from the same
+    pull (same ``created_date_local``), as in the input record where they
+    are siblings; ``match="day"`` matches any observation of that day, so
+    several pulls on one day multiply rows. With one pull per place and day
+    both give the same rows. Forecasts without an observation keep null
+    observation columns; the error is filled only for the pull day itself.
+
+    Both sides shuffle on the join keys unless AQE finds the observation
     side under the broadcast threshold at run time.
     """
+    if match not in ("pull", "day"):
+        raise ValueError(f"match must be 'pull' or 'day', not {match!r}")
+    pull = ["_pull"] if match == "pull" else []
     fc = forecast.select(
         *S.PLACE_KEYS,
+        *([F.col("created_date_local").alias("_pull")] if pull else []),
         day_of("created_date_local").alias("created_date_local"),
         "created_date_utc",
         F.col("date").alias("forecast_date"),
@@ -37,11 +45,12 @@ def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
     )
     ob = current.select(
         *S.PLACE_KEYS,
+        *([F.col("created_date_local").alias("_pull")] if pull else []),
         day_of("last_updated").alias("created_date_local"),
         F.col("last_updated").alias("current_temp_last_updated"),
         F.col("temp_c").alias("current_temp_c"),
     )
-    joined = fc.join(ob, JOIN_KEYS, "left")
+    joined = fc.join(ob, JOIN_KEYS + pull, "left")
     return with_forecast_error(joined).select(*S.columns(S.MERGED_SCHEMA))
 
 

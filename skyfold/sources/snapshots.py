@@ -122,21 +122,27 @@ class SnapshotStore:
             return set()
         return {r.tag for r in commits.where(F.col("tag").isNotNull()).select("tag").collect()}
 
-    def write(self, tables: dict[str, DataFrame], sort: bool = True, tag: str | None = None) -> int:
+    def write(self, tables: dict[str, DataFrame], sort: bool | None = None,
+              tag: str | None = None) -> int:
         """Write all tables as the next version, then commit it.
 
-        Tables are range-partitioned and sorted on their keys, so files are
-        clustered by place (useful min/max statistics for name filters).
+        ``sort=True`` orders each table globally on its keys (a range
+        shuffle; files read in order give the saved-table order). The
+        default does so for CSV, whose row order is part of the format; for
+        parquet it sorts within partitions only, which the upsert's hash
+        partitioning on the keys makes cheap, and adds no shuffle.
         ``tag`` names the input of the version (e.g. a stream's micro-batch)
         so a replay can be recognised.
         """
+        if sort is None:
+            sort = self.fmt == "csv"
         prev = self.latest_version()
         v = 0 if prev is None else prev + 1
         for table, df in tables.items():
             schema, keys = S.TABLES[table]
             out = df.select(*S.columns(schema))
-            if sort:
-                out = out.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+            ordering = [F.col(k).asc_nulls_first() for k in keys]
+            out = out.orderBy(*ordering) if sort else out.sortWithinPartitions(*ordering)
             path = self.table_path(table, v)
             # version v is not committed, so no reader uses it: a run that
             # died half-way left at most debris here, which is replaced
