@@ -80,7 +80,7 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     done and None is returned.
     """
     store = SnapshotStore(spark, store_root, fmt)
-    if tag is not None and tag in store.committed_tags():
+    if tag is not None and store.has_tag(tag):
         return None
     staged = stage_records(spark, docs, mode)
     counts = staged.agg(F.count(F.lit(1)).alias("n"),

@@ -43,16 +43,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``. Only when the session has none
-    (local runs, tests) is a folder created and set, so executors that
-    come and go always see one location.
+    Read from ``spark.checkpoint.dir``, else from the context's checkpoint
+    folder. Only when neither is set (local runs, tests) is a folder created
+    and made the context's checkpoint folder, so ``checkpoint()`` and staged
+    tables share one location.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
+    sc = spark.sparkContext
     if not root:
-        root = tempfile.mkdtemp(prefix="skyfold-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = sc.getCheckpointDir()
+    if not root:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="skyfold-ckpt-"))
+        root = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

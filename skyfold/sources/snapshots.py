@@ -112,15 +112,15 @@ class SnapshotStore:
             return read_csv(self.spark, path, table)
         return self.spark.read.schema(_schema(table)).parquet(path)
 
-    def committed_tags(self) -> set[str]:
-        """Tags of committed versions (one tiny read of the commit markers)."""
+    def has_tag(self, tag: str) -> bool:
+        """Whether a committed version carries ``tag`` (a point lookup)."""
         try:
             commits = self.spark.read.parquet(f"{self.root}/_commits")
         except AnalysisException:
-            return set()
+            return False
         if "tag" not in commits.columns:
-            return set()
-        return {r.tag for r in commits.where(F.col("tag").isNotNull()).select("tag").collect()}
+            return False
+        return bool(commits.where(F.col("tag") == tag).limit(1).count())
 
     def write(self, tables: dict[str, DataFrame], sort: bool | None = None,
               tag: str | None = None) -> int:
