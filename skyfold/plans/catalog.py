@@ -308,3 +308,11 @@ def q_pipeline_location(spark, sf):
     root = scratch_path(spark, "store")
     run(spark, _documents(spark, sf), root, mode="quarantine")
     return SnapshotStore(spark, root).read("location")
+
+
+def q_local_to_utc_transitions(spark, sf):
+    """Local -> UTC for wall times in spring gaps and autumn overlaps."""
+    from ..functions import local_to_utc
+    t = D.transition_times(spark, sf)
+    return t.select("event_id", "tz_id", "local_time",
+                    local_to_utc("local_time", "tz_id").alias("utc_time"))

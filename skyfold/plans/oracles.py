@@ -258,6 +258,21 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_location": valid_run(
             "select name, region, country, lat, lon, tz_id, localtime_epoch, localtime from loc"),
     })
+    zone = _case("n.n_regionkey", list(enumerate(D.REGION_ZONES)))
+    sp, au = D.TRANSITION_DAYS["default"]
+    day = f"case when event_id % 2 = 0 then '{sp}' else '{au}' end"
+    for tz, (s1, a1) in D.TRANSITION_DAYS.items():
+        if tz != "default":
+            day = (f"case when tz_id = '{tz}' then (case when event_id % 2 = 0 then '{s1}' "
+                   f"else '{a1}' end) else {day} end")
+    q["local_to_utc_transitions"] = (
+        "select event_id, tz_id, local_time, timezone('UTC', timezone(tz_id, local_time)) utc_time "
+        "from (select event_id, tz_id, make_timestamp(year(d), month(d), day(d), "
+        "cast(floor(m / 60) as bigint), m % 60, 0) local_time from ("
+        f"select event_id, tz_id, cast({day} as date) d, "
+        f"(hour(ts) * 60 + minute(ts)) % {D.TRANSITION_WINDOW_MINUTES} m from ("
+        f"select e.event_id, e.ts, {zone} tz_id from events e "
+        "join nation n on n.n_nationkey = e.user_id % 25)))")
     q["upsert_merged"] = two_runs(_merged_recomputed(
         upsert_sql("mg1", "mg2", S.MERGED_KEYS, S.columns(S.MERGED_SCHEMA))))
     return q

@@ -311,3 +311,42 @@ def write_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the documents of all pulls as newline-delimited JSON under ``path``."""
     documents_of(pulls(spark, sf_dir)).write.mode("errorifexists").text(path)
     return path
+
+
+# ---------------------------------------------------------------------------
+# Clock-change cases for the local -> UTC conversion.
+# ---------------------------------------------------------------------------
+
+# 2024 clock changes (spring, autumn) of the zones above that
+# have them; the others use the first pair.
+TRANSITION_DAYS = {"default": ("2024-03-10", "2024-11-03"),
+                   "Europe/Paris": ("2024-03-31", "2024-10-27")}
+# Fixed value: each event's time of day is folded into the first 4 hours.
+TRANSITION_WINDOW_MINUTES = 240
+
+
+def transition_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a local wall time around a clock change of its place's zone.
+
+    Even event ids take the spring day, odd ones the autumn day; the time of
+    day is folded into 00:00-04:00, which covers both gaps and overlaps.
+    """
+    ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    zone = F.lit(None).cast("string")
+    for key, tz in reversed(list(enumerate(REGION_ZONES))):
+        zone = F.when(F.col("n_regionkey") == key, F.lit(tz)).otherwise(zone)
+    spring = F.col("event_id") % 2 == 0
+    day = F.when(spring, F.lit(TRANSITION_DAYS["default"][0])).otherwise(
+        F.lit(TRANSITION_DAYS["default"][1]))
+    for tz, (sp, au) in TRANSITION_DAYS.items():
+        if tz != "default":
+            day = F.when(F.col("tz_id") == tz, F.when(spring, F.lit(sp)).otherwise(F.lit(au))) \
+                .otherwise(day)
+    m = (F.hour("ts") * 60 + F.minute("ts")) % TRANSITION_WINDOW_MINUTES
+    placed = ev.join(nation, (ev.user_id % 25) == nation.n_nationkey) \
+        .select("event_id", "ts", zone.alias("tz_id"))
+    d = day.cast("date")
+    local = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
+                                 (m / 60).cast("int"), m % 60, F.lit(0))
+    return placed.select("event_id", "tz_id", local.alias("local_time"))
