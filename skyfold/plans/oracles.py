@@ -22,7 +22,9 @@ def _f(x: str) -> str:
     return f"({x}) * cast(1.8 as double) + cast(32.0 as double)"
 
 
-VALID = (f"obs_ts is not null and ((d - DATE '1970-01-01') + user_id) % {D.BAD_CODE_EVERY} <> 0")
+RULE = "((d - DATE '1970-01-01') + user_id)"
+VALID = (f"obs_ts is not null and {RULE} % {D.BAD_CODE_EVERY} <> 0 "
+         f"and {RULE} % {D.AWARE_TIME_EVERY} <> 0 and {RULE} % {D.BAD_CHANCE_EVERY} <> 0")
 
 
 def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False,
@@ -226,11 +228,16 @@ def oracle_sql() -> dict[str, str]:
     for key, (cte, table) in runs.items():
         schema, keys = S.TABLES[table]
         q[key] = two_runs(upsert_sql(f"{cte}1", f"{cte}2", keys, S.columns(schema)))
-    bad_code = f"((d - DATE '1970-01-01') + user_id) % {D.BAD_CODE_EVERY} = 0"
-    violations = ("case when obs_ts is null then 'current: missing' "
-                  f"when {bad_code} then 'current.condition.code: expected a whole number' "
-                  "else '' end")
-    localtime = "strftime(created_date_local, '%Y-%m-%d %H:%M')"
+    chance = "; ".join(f"forecast.forecastday[{i}].day.daily_chance_of_rain: expected a whole number"
+                       for i in range(len(D.HORIZON_DAYS)))
+    violations = (
+        "concat_ws('; ', "
+        f"case when {RULE} % {D.AWARE_TIME_EVERY} = 0 then 'location.localtime: timezone-aware datetime' end, "
+        "case when obs_ts is null then 'current: missing' "
+        f"when {RULE} % {D.BAD_CODE_EVERY} = 0 then 'current.condition.code: expected a whole number' end, "
+        f"case when {RULE} % {D.BAD_CHANCE_EVERY} = 0 then '{chance}' end)")
+    localtime = (f"strftime(created_date_local, '%Y-%m-%d %H:%M') || "
+                 f"case when {RULE} % {D.AWARE_TIME_EVERY} = 0 then '{D.AWARE_SUFFIX}' else '' end")
     fcols = ", ".join(S.columns(S.FORECAST_SCHEMA))
     ccols = ", ".join(S.columns(S.CURRENT_SCHEMA))
     q.update({

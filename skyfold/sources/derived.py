@@ -230,13 +230,17 @@ def second_run(spark: SparkSession, sf_dir: str) -> Batch:
 # Places per document, and the encodings each pull selects.
 # Odd event counts write the observed temperature as text; counts divisible
 # by 3 write rain as "yes"/"no"; when (days since 1970 + user id) is
-# divisible by 13 the condition code is fractional (invalid). Days without
-# observation have no "current" object (invalid).
+# divisible by 13 the condition code is fractional, by 17 the pull time
+# carries a zone suffix, by 19 every day's rain chance is fractional text
+# (all invalid). Days without observation have no "current" object (invalid).
 PLACES_PER_DOCUMENT = 64
 TEXT_TEMP_EVERY = 2
 WORD_RAIN_EVERY = 3
 BAD_CODE_EVERY = 13
 BAD_CODE_FRACTION = 0.5
+AWARE_TIME_EVERY = 17
+AWARE_SUFFIX = "Z"
+BAD_CHANCE_EVERY = 19
 LOCAL_FORMAT = "yyyy-MM-dd HH:mm"
 OBSERVED_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -248,10 +252,13 @@ def _json_struct(*cols: Column) -> Column:
 def record_json(p: DataFrame) -> DataFrame:
     """(d, user_id, label, record text) per pull: a projection, no shuffle."""
     n = F.col("n")
+    rule = F.unix_date("d") + F.col("user_id")
+    local_text = F.date_format("created_date_local", LOCAL_FORMAT)
     loc = _json_struct(
         "name", "region", "country", "lat", "lon", "tz_id",
         epoch_seconds(F.col("created_date_utc")).alias("localtime_epoch"),
-        F.date_format("created_date_local", LOCAL_FORMAT).alias("localtime"))
+        F.when(rule % AWARE_TIME_EVERY == 0, F.concat(local_text, F.lit(AWARE_SUFFIX)))
+        .otherwise(local_text).alias("localtime"))
 
     cur = dict(zip(["last_updated", "temp_c", "temp_f", "is_day", "text", "code"], _current_cols()))
     head = [F.date_format("obs_ts", OBSERVED_FORMAT).alias("last_updated")]
@@ -259,7 +266,7 @@ def record_json(p: DataFrame) -> DataFrame:
     as_text = F.col("obs_value").cast("string").alias("temp_c")
     base = F.when(n % TEXT_TEMP_EVERY == 1, _json_struct(*head, as_text, *tail)) \
         .otherwise(_json_struct(*head, cur["temp_c"], *tail))
-    bad_code = (F.unix_date("d") + F.col("user_id")) % BAD_CODE_EVERY == 0
+    bad_code = rule % BAD_CODE_EVERY == 0
     cond = F.when(bad_code, _json_struct(cur["text"], (cur["code"] + F.lit(BAD_CODE_FRACTION))
                                          .alias("code"))) \
         .otherwise(_json_struct(cur["text"], cur["code"]))
@@ -267,13 +274,16 @@ def record_json(p: DataFrame) -> DataFrame:
     cur_json = F.concat(F.expr("substring(_base, 1, length(_base) - 1)"),
                         F.lit(',"condition":'), F.col("_cond"), F.lit("}"))
 
-    def day_struct(h: Column, worded: bool) -> Column:
+    def day_struct(h: Column, worded: bool, bad_chance: bool) -> Column:
         cols = dict(zip([f.name for f in S.FORECAST_SCHEMA.fields if f.name not in
                          ("name", "region", "country", "created_date_local", "created_date_utc")],
                         _forecast_cols(h)))
         if worded:
             cols["daily_will_it_rain"] = F.when(cols["daily_will_it_rain"], F.lit("yes")) \
                 .otherwise(F.lit("no")).alias("daily_will_it_rain")
+        if bad_chance:
+            cols["daily_chance_of_rain"] = F.concat(
+                cols["daily_chance_of_rain"].cast("string"), F.lit(".5")).alias("daily_chance_of_rain")
         day = [cols[c] for c in S.DAY_SPEC if c not in ("condition", "uv")]
         return F.struct(
             F.date_format(cols["date"], "yyyy-MM-dd").alias("date"),
@@ -282,9 +292,15 @@ def record_json(p: DataFrame) -> DataFrame:
                      cols["uv"]).alias("day"))
 
     horizon = F.array(*[F.lit(x) for x in HORIZON_DAYS])
-    fc_bool = _json_struct(F.transform(horizon, lambda h: day_struct(h, False)).alias("forecastday"))
-    fc_word = _json_struct(F.transform(horizon, lambda h: day_struct(h, True)).alias("forecastday"))
-    fc_json = F.when(n % WORD_RAIN_EVERY == 0, fc_word).otherwise(fc_bool)
+    def days_json(worded: bool, bad_chance: bool) -> Column:
+        return _json_struct(F.transform(horizon, lambda h: day_struct(h, worded, bad_chance))
+                            .alias("forecastday"))
+
+    worded, bad_chance = n % WORD_RAIN_EVERY == 0, rule % BAD_CHANCE_EVERY == 0
+    fc_json = (F.when(worded & bad_chance, days_json(True, True))
+               .when(worded, days_json(True, False))
+               .when(bad_chance, days_json(False, True))
+               .otherwise(days_json(False, False)))
     body = F.concat(
         F.lit('{"location":'), loc,
         F.when(F.col("obs_ts").isNotNull(), F.concat(F.lit(',"current":'), cur_json))
