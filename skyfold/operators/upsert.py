@@ -51,11 +51,6 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list
     return joined.select(*[out[c].alias(c) for c in columns])
 
 
-def sort_by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Ascending, nulls first; a range-partitioned global sort."""
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-
-
 def upsert_table(table: str, old: DataFrame | None, new: DataFrame,
                  on_duplicate: str = "error") -> DataFrame:
     """Upsert with the keys and columns of one of the five tables."""

@@ -58,10 +58,6 @@ def _is_object(x: Column) -> Column:
     return _get(x, to="struct<>").isNotNull()
 
 
-def _is_array(x: Column) -> Column:
-    return _get(x, to="array<variant>").isNotNull()
-
-
 def _numeric(t: Column) -> Column:
     return t.isin(*INTEGRAL_TYPES, *FLOATING_TYPES) | t.startswith(DECIMAL_PREFIX)
 

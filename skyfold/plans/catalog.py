@@ -259,7 +259,6 @@ def q_parse_dates(spark, sf):
 
 
 def q_snapshot_read(spark, sf):
-    from ..operators.flatten import location_table  # noqa: F401  (table set below)
     from ..session import scratch_path
     from ..sources.snapshots import SnapshotStore
     b = D.weather_batch(spark, sf)

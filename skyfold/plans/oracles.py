@@ -9,7 +9,6 @@ from __future__ import annotations
 from ..sources import derived as D
 
 SEEN = "event_type <> 'error'"
-DBL = "cast({} as double)"
 
 
 def _case(column: str, mapping, default="NULL") -> str:
