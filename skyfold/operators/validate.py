@@ -208,7 +208,8 @@ def _once(key: str, build) -> Column:
     as unresolved expressions they can serve any number of DataFrames.
     """
     from pyspark import SparkContext
-    k = (key, id(SparkContext._active_spark_context))
+    sc = SparkContext._active_spark_context
+    k = (key, sc.applicationId if sc is not None else None)
     if k not in _built:
         _built[k] = build()
     return _built[k]
