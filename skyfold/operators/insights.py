@@ -17,8 +17,17 @@ from ..functions import exact_mean, first_token, two_decimals
 ROW_ORDER = S.MERGED_KEYS
 
 
-def _for_city(df: DataFrame, city: str | None) -> DataFrame:
-    return df if city is None else df.where(F.col("name") == F.lit(city))
+def _for_city(df: DataFrame, city) -> DataFrame:
+    """``city`` is a place name (all regions of that name, like the dashboard)
+    or a full (name, region, country) key."""
+    if city is None:
+        return df
+    if isinstance(city, str):
+        return df.where(F.col("name") == F.lit(city))
+    cond = F.lit(True)
+    for k, v in zip(S.PLACE_KEYS, city):
+        cond = cond & (F.col(k) == F.lit(v))
+    return df.where(cond)
 
 
 def current_vs_forecast(merged: DataFrame) -> DataFrame:
@@ -61,7 +70,7 @@ def lowest_forecast(merged):
     return extreme_row(merged, "forecast_mintemp_c", largest=False)
 
 
-def latest_snapshot(merged: DataFrame, city: str | None = None) -> DataFrame:
+def latest_snapshot(merged: DataFrame, city=None) -> DataFrame:
     """Rows of each name's latest pull day.
 
     The latest day per name is a partially aggregated group-by (skew-safe),
@@ -72,7 +81,7 @@ def latest_snapshot(merged: DataFrame, city: str | None = None) -> DataFrame:
     return m.join(latest, ["name", "created_date_local"], "left_semi")
 
 
-def city_range(merged: DataFrame, city: str | None = None) -> DataFrame:
+def city_range(merged: DataFrame, city=None) -> DataFrame:
     """Forecast range series of the latest pull, per name."""
     snap = latest_snapshot(merged, city)
     return snap.select(
@@ -83,7 +92,7 @@ def city_range(merged: DataFrame, city: str | None = None) -> DataFrame:
     )
 
 
-def city_detail(merged: DataFrame, stats: DataFrame, city: str | None = None) -> DataFrame:
+def city_detail(merged: DataFrame, stats: DataFrame, city=None) -> DataFrame:
     """Detail panel per place: hottest day, its high, mean forecast, uv, wind.
 
     The uv and wind means are over the place's latest pull; their display

@@ -25,29 +25,37 @@ def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> D
     return df.select(F.input_file_name().alias("source"), F.col("value").alias("text"))
 
 
-def _last_per_label(m: Column) -> Column:
-    """Entries of map ``m``; a repeated label keeps only its last value.
+def _entries_with_position() -> Column:
+    """(pos, key, value) entries of map ``m``, as a Python dict would keep them.
 
-    ``from_json`` keeps every entry of a repeated key, a Python dict only
-    the last. Labels are sorted once by (label, -position): the first of
-    each run of equal labels is then the last occurrence. O(n log n) per
-    document, no shuffle, and only for documents that repeat a label.
-    Needs the helper columns ``_ranked``, ``_keys`` and ``_vals``.
+    ``from_json`` keeps every entry of a repeated label; a dict keeps one,
+    at the position of the first occurrence, with the last value. Labels
+    are sorted once by (label, -index): in each run of equal labels the
+    first element is the last occurrence and the final element the first
+    one. O(n log n) per document, no shuffle, and only for documents that
+    repeat a label. Uses the helper columns ``_ranked``, ``_keys``, ``_vals``.
     """
-    last_idx = F.transform(
-        F.filter("_ranked", lambda e, j: (j == 0) | (F.col("_ranked")[j - 1]["k"] != e["k"])),
-        lambda e: -e["ni"])
-    deduped = F.transform(
-        F.array_sort(last_idx),
-        lambda i: F.struct(F.col("_keys")[i].alias("key"), F.col("_vals")[i].alias("value")))
-    return F.when(F.col("_ranked").isNull(), F.map_entries(m)).otherwise(deduped)
+    ranked = F.col("_ranked")
+    n = F.size(ranked)
+    last = F.filter(ranked, lambda e, j: (j == 0) | (ranked[j - 1]["k"] != e["k"]))
+    first = F.filter(ranked, lambda e, j: (j == n - 1) | (ranked[j + 1]["k"] != e["k"]))
+    pairs = F.array_sort(F.transform(
+        F.arrays_zip(first.alias("f"), last.alias("l")),
+        lambda p: F.struct((-p["f"]["ni"]).alias("pos"), (-p["l"]["ni"]).alias("src"))))
+    deduped = F.transform(pairs, lambda p: F.struct(
+        p["pos"].alias("pos"), F.col("_keys")[p["src"]].alias("key"),
+        F.col("_vals")[p["src"]].alias("value")))
+    plain = F.transform(F.col("_keys"), lambda k, i: F.struct(
+        i.alias("pos"), k.alias("key"), F.col("_vals")[i].alias("value")))
+    return F.when(ranked.isNull(), plain).otherwise(deduped)
 
 
 def decode_documents(docs: DataFrame) -> DataFrame:
-    """One row per record: (source, doc_ok, label, record variant).
+    """One row per record: (source, doc_ok, pos, label, record variant).
 
-    ``doc_ok`` is false for text that is not a JSON object; such a document
-    yields one row with a null label and record, so it can be reported.
+    ``pos`` is the record's position in its document. ``doc_ok`` is false
+    for text that is not a JSON object; such a document yields one row with
+    a null label and record, so it can be reported.
     """
     m = F.col("m")
     keys = F.map_keys(m)
@@ -61,7 +69,8 @@ def decode_documents(docs: DataFrame) -> DataFrame:
     out = parsed.select(
         "source",
         m.isNotNull().alias("doc_ok"),
-        F.explode_outer(F.when(m.isNotNull(), _last_per_label(m))).alias("e"),
+        F.explode_outer(F.when(m.isNotNull(), _entries_with_position())).alias("e"),
     )
     return out.where(F.col("e").isNotNull() | ~F.col("doc_ok")).select(
-        "source", "doc_ok", F.col("e.key").alias("label"), F.col("e.value").alias("record"))
+        "source", "doc_ok", F.col("e.pos").alias("pos"), F.col("e.key").alias("label"),
+        F.col("e.value").alias("record"))
