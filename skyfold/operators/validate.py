@@ -244,7 +244,7 @@ def validate_records(records: DataFrame, keep_parts: bool = False) -> DataFrame:
     ``keep_parts`` keeps the extracted part columns for ``typed_record``.
     """
     v = _once("violations", lambda: F.when(
-        ~F.col("doc_ok"), F.array(F.lit("document: not a JSON object")))
+        ~F.col("doc_ok"), F.array(F.lit("document: malformed JSON or not an object")))
         .otherwise(record_violations(F.col("record"))))
     out = with_parts(records).withColumn("violations", v)
     return out if keep_parts else drop_parts(out)
