@@ -71,10 +71,25 @@ def batch_tables(staged: DataFrame, collapse: bool = True) -> dict[str, DataFram
     return tables
 
 
+def _stage_and_count(spark: SparkSession, docs: DataFrame, mode: str,
+                     root: str) -> tuple[DataFrame, int, int]:
+    """Stage the batch; set invalid records aside under ``<root>/_rejected``.
+
+    Returns (staged records, records, rejected); the counts are one row.
+    """
+    staged = stage_records(spark, docs, mode)
+    bad = F.size("violations") > 0
+    counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("bad")).first()
+    if counts["bad"]:
+        staged.where(bad).select("source", "label", "violations", "record_json") \
+            .write.mode("append").parquet(f"{root}/_rejected")
+    return staged, int(counts["n"]), int(counts["bad"])
+
+
 def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
                   on_duplicate: str = "error", fmt: str = "parquet",
                   tag: str | None = None) -> RunResult | None:
-    """Apply one batch of documents (source, text) to the store.
+    """Apply one batch of documents (source, text) to a ``SnapshotStore``.
 
     With a ``tag`` already committed (a replayed stream batch) nothing is
     done and None is returned.
@@ -82,33 +97,23 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     store = SnapshotStore(spark, store_root, fmt)
     if tag is not None and store.has_tag(tag):
         return None
-    staged = stage_records(spark, docs, mode)
-    counts = staged.agg(F.count(F.lit(1)).alias("n"),
-                        F.count(F.when(F.size("violations") > 0, 1)).alias("bad")).first()
-    if counts["bad"]:
-        staged.where(F.size("violations") > 0).select("source", "label", "violations", "record_json") \
-            .write.mode("append").parquet(f"{store.root}/_rejected")
-    new = batch_tables(staged)
+    staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
     prev = store.latest_version()
     out = {t: upsert_table(t, store.read(t, prev) if prev is not None else None, df, on_duplicate)
-           for t, df in new.items()}
-    version = store.write(out, tag=tag)
-    return RunResult(version, int(counts["n"]), int(counts["bad"]))
+           for t, df in batch_tables(staged).items()}
+    return RunResult(store.write(out, tag=tag), n, bad)
 
 
 def run_by_day(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
                on_duplicate: str = "error") -> RunResult:
-    """Apply one batch to a ``DayPartitionedStore``: only its pull days are rewritten."""
-    staged = stage_records(spark, docs, mode)
-    counts = staged.agg(F.count(F.lit(1)).alias("n"),
-                        F.count(F.when(F.size("violations") > 0, 1)).alias("bad")).first()
+    """Apply one batch to a ``DayPartitionedStore``: only its pull days are rewritten.
+
+    The returned version is -1: this layout has no versions.
+    """
     store = DayPartitionedStore(spark, store_root)
-    if counts["bad"]:
-        staged.where(F.size("violations") > 0).select("source", "label", "violations", "record_json") \
-            .write.mode("append").parquet(f"{store.root}/_rejected")
-    store.apply(batch_tables(staged),
-                lambda t, old, new: upsert_table(t, old, new, on_duplicate))
-    return RunResult(-1, int(counts["n"]), int(counts["bad"]))
+    staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
+    store.apply(batch_tables(staged), lambda t, old, new: upsert_table(t, old, new, on_duplicate))
+    return RunResult(-1, n, bad)
 
 
 def run(spark: SparkSession, input_path: str, store_root: str, mode: str = "fail",
