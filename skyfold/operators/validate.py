@@ -29,6 +29,9 @@ DECIMAL_PREFIX = "DECIMAL"
 PART_PREFIX = "_part_"
 SHAPED_PREFIX = "_shaped_"
 
+# Ranges of the integer column types.
+INT_RANGES = {"int": (-(2 ** 31), 2 ** 31 - 1), "bigint": (-(2 ** 63), 2 ** 63 - 1)}
+
 # Words accepted as booleans (compared in lower case).
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
@@ -62,24 +65,29 @@ def _numeric(t: Column) -> Column:
     return t.isin(*INTEGRAL_TYPES, *FLOATING_TYPES) | t.startswith(DECIMAL_PREFIX)
 
 
-def _leaf_ok(x: Column, kind: str) -> tuple[Column, str]:
-    """(is acceptable, what was expected) for a present leaf value."""
+def _leaf_ok(x: Column, kind: str, name: str = "") -> tuple[Column, str]:
+    """(is acceptable, what was expected) for a present leaf value.
+
+    Casting the variant to double is null exactly for what is not a number,
+    a boolean or numeric text, so most checks need no type name at all;
+    inside the array lambdas (evaluated without code generation) every
+    evaluation saved counts. The type name is read at most once per check.
+    """
     t = _type(x)
     s = _get(x, to="string")
     d = _get(x, to="double")
-    numeric = _numeric(t)
     if kind == "str":
         return t == "STRING", "a string"
     if kind == "float":
-        return numeric | (t == "BOOLEAN") | ((t == "STRING") & d.isNotNull()), "a number"
+        return d.isNotNull(), "a number"
     if kind == "int":
-        whole = numeric & (d == F.floor(d))
-        return (t.isin(*INTEGRAL_TYPES) | whole | (t == "BOOLEAN")
-                | ((t == "STRING") & s.rlike(INT_TEXT))), "a whole number"
+        lo, hi = INT_RANGES[S.leaf_type(name, "int").simpleString()]
+        whole = d.isNotNull() & (d == F.floor(d)) & d.between(lo, hi)
+        return whole & ((t != "STRING") | s.rlike(INT_TEXT)), "a whole number"
     if kind == "bool":
         words = list(TRUE_WORDS + FALSE_WORDS)
-        return ((t == "BOOLEAN") | (numeric & d.isin(0.0, 1.0))
-                | ((t == "STRING") & F.lower(s).isin(words))), "a boolean"
+        return F.when(t == "STRING", F.lower(s).isin(words)).otherwise(d.isin(0.0, 1.0)), \
+            "a boolean"
     if kind == "date":
         return ((t == "STRING") & s.rlike(DATE_TEXT) & s.try_cast("date").isNotNull()), \
             "a date (YYYY-MM-DD)"
@@ -109,9 +117,9 @@ def shape_ddl(spec) -> str:
     return "variant"
 
 
-def _leaf_problem(x: Column, kind: str, prefix: Column) -> Column:
+def _leaf_problem(x: Column, kind: str, prefix: Column, name: str = "") -> Column:
     """Null, or the one problem of leaf variant ``x``."""
-    ok, expected = _leaf_ok(x, kind)
+    ok, expected = _leaf_ok(x, kind, name)
     out = F.when(_missing(x), _msg(prefix, ": missing"))
     if kind == "datetime":
         aware = _numeric(_type(x)) | ((_type(x) == "STRING")
@@ -131,7 +139,7 @@ def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
     fallback = F.when(_missing(raw), F.array(_msg(prefix, ": missing"))) \
         .otherwise(F.array(_msg(prefix, wrong)))
     if isinstance(spec, dict):
-        leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")))
+        leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")), k)
                   for k, sub in spec.items() if not isinstance(sub, (dict, list))]
         nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")), _get(raw, f"$.{k}"))
                   for k, sub in spec.items() if isinstance(sub, (dict, list))]
@@ -147,26 +155,20 @@ def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
 
 
 def _leaf_typed(x: Column, spec: str, name: str) -> Column:
-    t = _type(x)
-    s = _get(x, to="string")
-    flag = _get(x, to="boolean")
+    """The typed value of a leaf that passed ``_leaf_ok``."""
     if spec == "str":
-        return s
+        return _get(x, to="string")
     if spec == "float":
-        return F.when(t == "BOOLEAN", flag.cast("double")).otherwise(_get(x, to="double"))
+        return _get(x, to="double")
     if spec == "int":
-        num = (F.when(t == "BOOLEAN", flag.cast("decimal(38,10)"))
-               .when(t == "STRING", F.trim(s).try_cast("decimal(38,10)"))
-               .otherwise(_get(x, to="decimal(38,10)")))
-        return num.cast(S.leaf_type(name, "int"))
+        return _get(x, to="decimal(38,10)").cast(S.leaf_type(name, "int"))
     if spec == "bool":
-        return (F.when(t == "BOOLEAN", flag)
-                .when(t == "STRING", F.lower(s).isin(list(TRUE_WORDS)))
-                .otherwise(_get(x, to="double") != 0))
+        return F.when(_type(x) == "STRING", F.lower(_get(x, to="string")).isin(list(TRUE_WORDS))) \
+            .otherwise(_get(x, to="double") != 0)
     if spec == "date":
-        return s.try_cast("date")
+        return _get(x, to="string").try_cast("date")
     if spec == "datetime":
-        return s.try_cast("timestamp_ntz")
+        return _get(x, to="string").try_cast("timestamp_ntz")
     raise ValueError(spec)
 
 
