@@ -31,8 +31,10 @@ class RunResult:
     rejected: int
 
 
-def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail") -> DataFrame:
-    """Decode + validate + type once, written to the shared folder.
+def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail",
+                  path: str | None = None) -> DataFrame:
+    """Decode + validate + type once, written to ``path`` (default: a new
+    folder under the shared folder).
 
     ``fail``: the write itself fails at the first invalid record.
     ``quarantine``: invalid records are kept with their violations and text.
@@ -48,8 +50,8 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail") -> D
         F.when(~bad, typed_record()).alias("rec"),
         F.when(bad, F.to_json("record")).alias("record_json"),
     )
-    path = scratch_path(spark, "staged-records")
-    staged.write.parquet(path)
+    path = path or scratch_path(spark, "staged-records")
+    staged.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -77,7 +79,8 @@ def _stage_and_count(spark: SparkSession, docs: DataFrame, mode: str,
 
     Returns (staged records, records, rejected); the counts are one row.
     """
-    staged = stage_records(spark, docs, mode)
+    # one staging folder per store, replaced by the next run: bounded space
+    staged = stage_records(spark, docs, mode, path=f"{root}/_staging")
     bad = F.size("violations") > 0
     counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("bad")).first()
     if counts["bad"]:
