@@ -1,11 +1,12 @@
 """Column expressions used by the operators."""
 
 from .numeric import exact_mean, forecast_error, horizontal_max, horizontal_min, round2
-from .temporal import date_order, day_diff, day_of, local_to_utc, truncate_minute
+from .temporal import (day_diff, day_of, epoch_seconds, local_to_utc, pull_order,
+                       truncate_minute)
 from .text import first_token, two_decimals
 
 __all__ = [
-    "date_order", "day_diff", "day_of", "exact_mean", "first_token", "forecast_error",
+    "day_diff", "day_of", "epoch_seconds", "exact_mean", "pull_order", "first_token", "forecast_error",
     "horizontal_max", "horizontal_min", "local_to_utc", "round2", "truncate_minute",
     "two_decimals",
 ]

@@ -54,13 +54,18 @@ def truncate_minute(c) -> Column:
                                 F.hour(c), F.minute(c), F.lit(0))
 
 
-def date_order(*dates) -> Column:
-    """Pack dates into one bigint that sorts like the tuple of dates.
+def epoch_seconds(utc_ntz) -> Column:
+    """Unix seconds of a UTC wall-clock ``timestamp_ntz`` (session-independent)."""
+    c = _col(utc_ntz)
+    return (F.unix_date(F.to_date(c)).cast("bigint") * 86400
+            + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c).cast("bigint"))
 
-    Each date takes 22 bits (about +-5,700 years around 1970). A bigint
-    ordinal keeps ``min_by`` on the fast hash aggregate.
+
+def pull_order(pull_utc, date) -> Column:
+    """Bigint sorting like (pull instant, date): input order within a place.
+
+    Seconds since 1970 take the high bits (below 2^31 until 2038 and far
+    from 2^41 for any real time), the date 22 low bits.
     """
-    out = F.lit(0).cast("bigint")
-    for d in dates:
-        out = out * F.lit(1 << 22) + (F.unix_date(_col(d)).cast("bigint") + F.lit(1 << 21))
-    return out
+    return epoch_seconds(pull_utc) * F.lit(1 << 22) + (
+        F.unix_date(_col(date)).cast("bigint") + F.lit(1 << 21))

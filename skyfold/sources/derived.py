@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import local_to_utc, truncate_minute
+from ..functions import epoch_seconds, local_to_utc, truncate_minute
 
 # Time zone of each region key 0..4.
 REGION_ZONES = ("Africa/Johannesburg", "America/New_York", "Asia/Bangkok",
@@ -117,13 +117,6 @@ def pulls(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None,
      .withColumn("created_date_utc", local_to_utc("created_date_local", "tz_id"))
 
 
-def epoch_seconds(utc_ntz: Column) -> Column:
-    """Unix seconds of a UTC wall-clock ``timestamp_ntz`` (session-independent)."""
-    return (F.unix_date(F.to_date(utc_ntz)).cast("bigint") * 86400
-            + F.hour(utc_ntz) * 3600 + F.minute(utc_ntz) * 60
-            + F.second(utc_ntz).cast("bigint"))
-
-
 def location_of(p: DataFrame) -> DataFrame:
     """Latest pull per place (the location table's grain is the place)."""
     g = p.groupBy("name", "region", "country", "tz_id", "lat", "lon").agg(
