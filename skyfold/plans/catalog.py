@@ -202,7 +202,7 @@ def q_json_source(spark, sf):
 def q_explode_map(spark, sf):
     r = _records(spark, sf)
     return r.select(
-        "label",
+        "label", "pos",
         F.try_variant_get("record", "$.location.region", "string").alias("region"),
         F.try_variant_get("record", "$.location.country", "string").alias("country"),
     )

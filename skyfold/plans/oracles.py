@@ -243,7 +243,10 @@ def oracle_sql() -> dict[str, str]:
         "json_source": one_run(
             f"select name label, name, {localtime} localtime, obs_ts is not null has_current, "
             f"{len(D.HORIZON_DAYS)} n_forecast_days from p"),
-        "explode_map": one_run("select name label, region, country from p"),
+        "explode_map": one_run(
+            "select name label, cast(row_number() over (partition by d, "
+            f"user_id // {D.PLACES_PER_DOCUMENT} order by user_id) - 1 as integer) pos, "
+            "region, country from p"),
         "validate_records": one_run(
             f"select name label, {localtime} localtime, {violations} violations from p"),
         "location_table": valid_run(

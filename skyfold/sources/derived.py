@@ -315,13 +315,15 @@ def documents_of(p: DataFrame) -> DataFrame:
     """One JSON object per (pull day, group of places): label -> record.
 
     Groups hold at most ``PLACES_PER_DOCUMENT`` records whatever the scale,
-    so no document grows with the data.
+    so no document grows with the data. Places appear in user-id order, so
+    a record's position in its document is known.
     """
     r = record_json(p)
     entry = F.concat(F.lit('"'), F.col("label"), F.lit('":'), F.col("record"))
     docs = r.groupBy("d", (F.col("user_id") / PLACES_PER_DOCUMENT).cast("bigint").alias("g")).agg(
-        F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value"))
-    return docs.select("value")
+        F.array_sort(F.collect_list(F.struct("user_id", entry.alias("e")))).alias("entries"))
+    body = F.array_join(F.transform("entries", lambda x: x["e"]), ",")
+    return docs.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
 
 
 def write_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
