@@ -9,6 +9,8 @@ next run reuses and replaces the uncommitted version. One writer per store.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,7 +140,8 @@ class SnapshotStore:
             sort = self.fmt == "csv"
         prev = self.latest_version()
         v = 0 if prev is None else prev + 1
-        for table, df in tables.items():
+
+        def write_one(table: str, df: DataFrame) -> None:
             schema, keys = S.TABLES[table]
             out = df.select(*S.columns(schema))
             ordering = [F.col(k).asc_nulls_first() for k in keys]
@@ -150,6 +153,12 @@ class SnapshotStore:
                 write_csv(out, path, mode="overwrite")
             else:
                 out.write.mode("overwrite").parquet(path)
+
+        # the tables are independent jobs: submitted together, the small
+        # ones and the large ones' last tasks overlap instead of queueing
+        with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+            for f in [pool.submit(write_one, t, df) for t, df in tables.items()]:
+                f.result()
         marker = self.spark.createDataFrame([(True, tag)], "committed boolean, tag string")
         marker.write.mode("errorifexists").parquet(f"{self.root}/_commits/version={v}")
         return v
@@ -204,11 +213,7 @@ class DayPartitionedStore:
 
     def apply(self, new: dict[str, DataFrame], upsert_fn) -> None:
         """Upsert each new table; ``upsert_fn(table, old, new) -> DataFrame``."""
-        small = {}
-        for table, df in new.items():
-            if table not in DAY_TABLES:
-                small[table] = upsert_fn(table, self.small.read(table), df)
-                continue
+        def replace_days(table: str, df: DataFrame) -> None:
             # the days of one batch: a handful of dates, bounded by the batch
             days = [r[0] for r in df.select(pull_day(table).alias("d")).distinct().collect()]
             old = self.read(table, days)
@@ -217,5 +222,12 @@ class DayPartitionedStore:
             (out.sortWithinPartitions(DAY_COLUMN, *keys).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COLUMN)
              .parquet(self.path(table)))
+
+        small = {t: upsert_fn(t, self.small.read(t), df) for t, df in new.items()
+                 if t not in DAY_TABLES}
+        # independent jobs, submitted together (see SnapshotStore.write)
+        with ThreadPoolExecutor(max_workers=len(DAY_TABLES)) as pool:
+            for f in [pool.submit(replace_days, t, df) for t, df in new.items() if t in DAY_TABLES]:
+                f.result()
         if small:
             self.small.write(small)
