@@ -165,6 +165,8 @@ def queries() -> dict[str, Query]:
 
 _written: dict[tuple, str] = {}
 
+STREAM_WAIT_SECONDS = 3600
+
 
 def _documents(spark: SparkSession, sf: str) -> str:
     from ..session import scratch_path, shared_dir
@@ -285,7 +287,10 @@ def q_stream_ingest(spark, sf):
     from ..streaming.ingest import start_ingest
     root = scratch_path(spark, "store")
     q = start_ingest(spark, _documents(spark, sf), root, mode="quarantine")
-    q.awaitTermination()
+    # available-now streams stop by themselves; never wait without bound
+    if not q.awaitTermination(STREAM_WAIT_SECONDS):
+        q.stop()
+        raise TimeoutError(f"ingest stream did not finish in {STREAM_WAIT_SECONDS} s")
     return SnapshotStore(spark, root).read("merged")
 
 
