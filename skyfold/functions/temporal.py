@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Zones where the earlier instant of an ambiguous local time
-# is the standard-time reading, so the plain conversion is kept there.
-PLAIN_OVERLAP_ZONES = ("Europe/Dublin", "Africa/Windhoek")
+# is the standard-time reading (negative or seasonal offsets), so the plain
+# conversion is kept there.
+PLAIN_OVERLAP_ZONES = ("Europe/Dublin", "Africa/Windhoek", "Africa/Casablanca",
+                       "Africa/El_Aaiun")
 
 # Longest clock set-backs tried, in minutes, in this order.
 OVERLAP_STEPS_MINUTES = (60, 30)
