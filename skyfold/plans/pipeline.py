@@ -55,16 +55,22 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail",
     return spark.read.parquet(path)
 
 
-def batch_tables(staged: DataFrame, collapse: bool = True) -> dict[str, DataFrame]:
+def batch_tables(staged: DataFrame, collapse: bool = True,
+                 merged_path: str | None = None) -> dict[str, DataFrame]:
     """The five tables of this batch alone, one row per key.
 
     Several pulls of one place in a batch collapse as if upserted one by
     one; stats are over all of the batch's merged rows. ``collapse=False``
-    keeps one row per record (the flatten operators' own output).
+    keeps one row per record (the flatten operators' own output). With
+    ``merged_path`` the batch's merged rows are written there once, so the
+    merged table and the stats do not each run the merge join.
     """
     keyed = with_pull_keys(staged.where(F.size("violations") == 0))
     current, forecast = current_table(keyed), forecast_table(keyed)
     merged = merge_forecast(forecast, current)
+    if merged_path is not None:
+        merged.write.mode("overwrite").parquet(merged_path)
+        merged = staged.sparkSession.read.schema(merged.schema).parquet(merged_path)
     tables = {"location": location_table(keyed), "current_temp": current,
               "forecast_temp": forecast, "merged": merged}
     if collapse:
@@ -103,7 +109,7 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
     prev = store.latest_version()
     out = {t: upsert_table(t, store.read(t, prev) if prev is not None else None, df, on_duplicate)
-           for t, df in batch_tables(staged).items()}
+           for t, df in batch_tables(staged, merged_path=f"{store.root}/_staging_merged").items()}
     return RunResult(store.write(out, tag=tag), n, bad)
 
 
@@ -115,7 +121,8 @@ def run_by_day(spark: SparkSession, docs: DataFrame, store_root: str, mode: str
     """
     store = DayPartitionedStore(spark, store_root)
     staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
-    store.apply(batch_tables(staged), lambda t, old, new: upsert_table(t, old, new, on_duplicate))
+    tables = batch_tables(staged, merged_path=f"{store.root}/_staging_merged")
+    store.apply(tables, lambda t, old, new: upsert_table(t, old, new, on_duplicate))
     return RunResult(-1, n, bad)
 
 
