@@ -60,6 +60,7 @@ def main() -> None:
         "rows": rows,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
+        "repeat": repeat,
     }))
     spark.stop()
 
