@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .temporal import _col
 
-# Fixed value: scale at which means are summed exactly.
+# Precision and scale at which means are summed exactly
+# (values up to 10^32 in magnitude, six decimals).
+MEAN_PRECISION = 38
 MEAN_SCALE = 6
 
 
@@ -42,5 +44,5 @@ def exact_mean(c, scale: int = MEAN_SCALE) -> Column:
     merge order give the same bits), then divided as double.
     """
     c = _col(c)
-    total = F.sum(c.cast(f"decimal({18 + scale},{scale})"))
+    total = F.sum(c.cast(f"decimal({MEAN_PRECISION},{scale})"))
     return total.cast("double") / F.count(c)

@@ -120,7 +120,7 @@ def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False,
 
 
 def mean(col: str, rounded: bool = False) -> str:
-    m = f"cast(sum(cast({col} as decimal(24,6))) as double) / count({col})"
+    m = f"cast(sum(cast({col} as decimal(38,6))) as double) / count({col})"
     return f"round({m} * 100, 0) / 100" if rounded else m
 
 
