@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import epoch_seconds, local_to_utc, truncate_minute
 
+# Fixed value: nations in the TPC-H nation table (a user's nation is id % 25).
+NATIONS = 25
+
 # Time zone of each region key 0..4.
 REGION_ZONES = ("Africa/Johannesburg", "America/New_York", "Asia/Bangkok",
                 "Europe/Paris", "Asia/Dubai")
@@ -95,26 +98,27 @@ def pulls(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None,
     )
     nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    zone = F.lit(None).cast("string")
-    for key, tz in reversed(list(enumerate(REGION_ZONES))):
-        zone = F.when(F.col("r_regionkey") == key, F.lit(tz)).otherwise(zone)
     placed = (
-        day.join(nation, (day.user_id % 25) == nation.n_nationkey)
+        day.join(nation, (day.user_id % NATIONS) == nation.n_nationkey)
         .join(region, F.col("n_regionkey") == region.r_regionkey)
     )
-    pull_local = truncate_minute(F.col("last_ts"))
     return placed.select(
         "user_id", "d", "lo", "hi", "n", "n_err", "obs_ts", "obs_value", "obs_type",
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"),
         F.col("n_name").alias("region"),
         F.col("r_name").alias("country"),
-        (F.col("user_id") % 170).cast("double") - F.lit(84.5),
-        ((F.col("user_id") * 37) % 360).cast("double") - F.lit(179.5),
-        zone.alias("tz_id"),
-        pull_local.alias("created_date_local"),
-    ).toDF("user_id", "d", "lo", "hi", "n", "n_err", "obs_ts", "obs_value", "obs_type",
-           "name", "region", "country", "lat", "lon", "tz_id", "created_date_local") \
-     .withColumn("created_date_utc", local_to_utc("created_date_local", "tz_id"))
+        ((F.col("user_id") % 170).cast("double") - F.lit(84.5)).alias("lat"),
+        (((F.col("user_id") * 37) % 360).cast("double") - F.lit(179.5)).alias("lon"),
+        _region_zone("r_regionkey").alias("tz_id"),
+        truncate_minute(F.col("last_ts")).alias("created_date_local"),
+    ).withColumn("created_date_utc", local_to_utc("created_date_local", "tz_id"))
+
+
+def _region_zone(region_key: str) -> Column:
+    zone = F.lit(None).cast("string")
+    for key, tz in reversed(list(enumerate(REGION_ZONES))):
+        zone = F.when(F.col(region_key) == key, F.lit(tz)).otherwise(zone)
+    return zone
 
 
 def location_of(p: DataFrame) -> DataFrame:
@@ -352,9 +356,7 @@ def transition_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
-    zone = F.lit(None).cast("string")
-    for key, tz in reversed(list(enumerate(REGION_ZONES))):
-        zone = F.when(F.col("n_regionkey") == key, F.lit(tz)).otherwise(zone)
+    zone = _region_zone("n_regionkey")
     spring = F.col("event_id") % 2 == 0
     day = F.when(spring, F.lit(TRANSITION_DAYS["default"][0])).otherwise(
         F.lit(TRANSITION_DAYS["default"][1]))
@@ -363,7 +365,7 @@ def transition_times(spark: SparkSession, sf_dir: str) -> DataFrame:
             day = F.when(F.col("tz_id") == tz, F.when(spring, F.lit(sp)).otherwise(F.lit(au))) \
                 .otherwise(day)
     m = (F.hour("ts") * 60 + F.minute("ts")) % TRANSITION_WINDOW_MINUTES
-    placed = ev.join(nation, (ev.user_id % 25) == nation.n_nationkey) \
+    placed = ev.join(nation, (ev.user_id % NATIONS) == nation.n_nationkey) \
         .select("event_id", "ts", zone.alias("tz_id"))
     d = day.cast("date")
     local = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
