@@ -75,9 +75,19 @@ def parse_dates(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read a saved CSV table with its fixed schema (never inferred)."""
-    raw = spark.read.schema(text_schema(table)).options(header="true").csv(path)
-    return parse_dates(raw, table)
+    """Read a saved CSV table into its fixed schema (never inferred).
+
+    Columns are matched by header name, not position, so files written with
+    another column order (as a first run of the reference job writes them)
+    read correctly; every value is read as text and cast to its type.
+    """
+    raw = spark.read.options(header="true", inferSchema="false").csv(path)
+    dated = parse_dates(raw.select(*[F.col(f"`{c}`") for c in S.columns(_schema(table))]), table)
+    return dated.select(*[
+        F.col(f.name) if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        else F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in _schema(table).fields
+    ])
 
 
 # ---------------------------------------------------------------------------
