@@ -24,7 +24,7 @@ HEADLINE = [
     "upsert_stats",
     "validate_records",
     "flatten",
-    "pipeline",          # whole run: documents -> validated tables -> upsert -> snapshot
+    "weather_pipeline",  # whole run: documents -> validated tables -> upsert -> snapshot
 ]
 
 

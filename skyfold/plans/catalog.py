@@ -271,7 +271,7 @@ def q_snapshot_read(spark, sf):
     return store.read("merged")
 
 
-def q_pipeline(spark, sf):
+def q_weather_pipeline(spark, sf):
     from ..session import scratch_path
     from ..sources.snapshots import SnapshotStore
     from .pipeline import run

@@ -261,7 +261,7 @@ def oracle_sql() -> dict[str, str]:
             "select name, region, country, created_date_local, created_date_utc, forecast_date, "
             "current_temp_last_updated from mg"),
         "snapshot_read": one_run(f"select {mcols} from mg"),
-        "pipeline": valid_run("select * from sx"),
+        "weather_pipeline": valid_run("select * from sx"),
         "stream_ingest": valid_run(f"select {mcols} from mg"),
         "pipeline_by_day": valid_run(f"select {mcols} from mg"),
         "pipeline_location": valid_run(
