@@ -6,15 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import minhash, mixing, packing, tokens
 from .common import read_table
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
