@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, tokens
+from . import minhash, mixing, packing, rabitq, tokens
 from .common import read_table
 
 
@@ -31,6 +31,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
