@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, rabitq, tokens
+from . import graph, minhash, mixing, packing, rabitq, tokens
 from .common import read_table
 
 
@@ -31,6 +31,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
 
+def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th embedding, by inner product."""
+    return graph.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
