@@ -202,10 +202,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
     shards = max(1, math.ceil(table.count() / shard))
     blocks = max(1, math.ceil(asked.count() / block))
     dim = F.size("embedding").alias("dim")
-    left = table.select("cid", "embedding", dim, F.pmod(F.xxhash64("cid"), F.lit(shards)).alias("shard"),
+    share = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    left = table.select("cid", "embedding", dim, share("cid", shards).alias("shard"),
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     right = asked.select("query_id", "embedding", dim, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-                         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
+                         share("query_id", blocks).alias("block"))
     keys = ["shard", "block", "dim"]
 
     def work(nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
