@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import graph, minhash, mixing, packing, rabitq, tokens
+from ..session import scratch_path
+from . import graph, lines, minhash, mixing, packing, rabitq, secrets, tokens
 from .common import read_table
 
 
@@ -36,6 +38,18 @@ def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, through a ledger that starts empty."""
+    found = secrets.scan(read_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    return secrets.report(found)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents, later repeats of three-line windows removed."""
+    return lines.dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
@@ -46,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": lines.ORACLE}
