@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import graph, lines, minhash, mixing, packing, rabitq, secrets, tokens
+from . import graph, licenses, lines, minhash, mixing, packing, rabitq, secrets, tokens
 from .common import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of all documents."""
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+                        *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "licenses", "unmatched")])
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
@@ -60,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": lines.ORACLE}
+    return {"op1_license_scan": licenses.oracle(), "op9_line_dedup": lines.ORACLE}
