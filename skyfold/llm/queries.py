@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import graph, licenses, lines, minhash, mixing, packing, rabitq, secrets, tokens
+from . import graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
 from .common import read_table
 
 
@@ -19,6 +19,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "licenses", "unmatched")])
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return ppm.identify(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(read_table(spark, sf_dir, "documents"), tokens.vocabulary_path())
