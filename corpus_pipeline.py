@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm.common import read_table, stage
-from skyfold.llm.stages import near_dedup
+from skyfold.llm.stages import language, line_dedup, mix, near_dedup, pack
 
 STAGES = [
+    ("language", language),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("mix", mix),
+    ("pack", pack),
 ]
 
 #: the language model and the packing heuristic are not expressible in SQL

@@ -1,13 +1,61 @@
-"""The operators as stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame."""
+"""The operators as stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame.
+
+All but the last return the columns of ``docs``; ``n_chars``, where there is
+one, follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import lines, minhash, mixing, packing, ppm, tokens
+from .common import WHITE
+
+#: a text that no language codes in fewer bits than plain bytes has none of them
+PLAIN_BITS = 8.0
+
+
+def _with_lengths(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``df``, ``n_chars`` counted anew."""
+    if "n_chars" in columns:
+        df = df.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
+    return df.select(*columns)
+
 
-from .minhash import near_duplicates
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without letters or text, and texts that no language's model compresses;
+    a missing label becomes the prediction."""
+    known = ppm.identify(docs).where((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("bits_per_byte") < PLAIN_BITS))
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later repeats of three-line windows; a document that loses all its lines goes."""
+    cut = lines.dedup_lines(docs).where("n_lines = 0 or n_removed < n_lines")
+    return _with_lengths(cut, docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of each near-duplicate group stays: the smallest id, once."""
+    found = minhash.near_duplicates(docs)
+    copies = found.where("not kept").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1):
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it; where it takes a part, its first words."""
+    taken = mixing.mix(docs).where("taken > 0").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(taken - 1) div size"))))
+    words = F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size"))
+    pieces = F.regexp_extract_all("text", F.lit(f"[{WHITE}]*[^{WHITE}]+"), F.lit(0))
+    part = F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
+    return _with_lengths(taken.withColumn("text", F.when(words < F.col("size"), part).otherwise(F.col("text"))), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(docs, tokens.vocabulary_path())
