@@ -1,6 +1,8 @@
 """Approximate nearest neighbours on robust-pruned directed graphs.
 
-Vectors are dealt into shards of bounded size; every shard gets a graph. A new
+Vectors are dealt into shards of bounded size and nearly equal length, as a query
+finds its way badly among nodes that are near only by their length; every shard
+gets a graph. A new
 vector's neighbours are proposed by a greedy beam search on the graph so far;
 pruning walks them from near to far and drops those to which an already kept
 neighbour is closer by the factor ``1 / alpha`` than the vector itself, which
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import workers_import_us
@@ -26,6 +28,8 @@ from .vectors import classes, usable
 #: vectors in a shard, edges of a node, beam widths of building and of
 #: searching, relaxation of the pruning, queries in a block
 SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA, QUERIES = 4096, 32, 64, 96, 1.2, 2048
+#: ratio of the lengths of the vectors in a shard
+LENGTHS = 1.1
 #: vectors a batch inserts at most, and searches that run together
 BATCH = 512
 #: shares of a class's members that are ranked apart before they meet
@@ -181,6 +185,16 @@ def _few_members(members: DataFrame, k: int) -> DataFrame:
     return salted.select("cid", "vec_id")
 
 
+_ANSWER = {"query_id": "long", "rank": "int", "vec_id": "long", "score": "double"}
+
+
+def _band(v: Column) -> Column:
+    """Vectors of one band differ in length by at most LENGTHS; 1 lies in the middle of one."""
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
+    squares = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))
+    return F.floor((F.log(largest) + F.log(squares) / 2) / math.log(LENGTHS) + 0.5).cast("int")
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD, width: int = BEAM,
             block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found of every query.
@@ -199,11 +213,19 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
     table, members = classes(vectors)
     asked = (vectors.where(usable()).where(F.col("vec_id") % every == 0)
              .select(F.col("vec_id").cast("long").alias("query_id"), "embedding").distinct())
-    shards = max(1, math.ceil(table.count() / shard))
+    # one row a band of lengths; a shard's number is its band's first plus a hash
+    table = table.withColumn("band", _band(F.col("embedding")))
+    shards, first = 0, {}
+    for r in table.groupBy("band").count().orderBy("band").collect():
+        first[r.band] = (shards, -(-r["count"] // shard))
+        shards += first[r.band][1]
+    if not shards:
+        return vectors.select(*[F.lit(None).cast(t).alias(c) for c, t in _ANSWER.items()]).where("false")
+    look = lambda k: F.element_at(F.create_map(*[F.lit(x) for b, v in first.items() for x in (b, v[k])]), F.col("band"))
     blocks = max(1, math.ceil(asked.count() / block))
     dim = F.size("embedding").alias("dim")
     share = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-    left = table.select("cid", "embedding", dim, share("cid", shards).alias("shard"),
+    left = table.select("cid", "embedding", dim, (look(0) + F.pmod(F.xxhash64("cid"), look(1))).cast("int").alias("shard"),
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     right = asked.select("query_id", "embedding", dim, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                          share("query_id", blocks).alias("block"))
@@ -227,4 +249,4 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.join(few, "cid").where("vec_id <> query_id")
             .withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
+            .select(*[F.col(c).cast(t) for c, t in _ANSWER.items()]))
