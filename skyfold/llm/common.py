@@ -137,6 +137,61 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
         return mix64(value + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+# ---------------------------------------------------------------------------
+# Pairs within groups
+# ---------------------------------------------------------------------------
+
+#: rows of a bucket that are compared in one piece, and pairs worked on at once
+BLOCK, PAIRS = 1024, 1 << 17
+
+
+def in_blocks(rows: DataFrame, node: str, block: int = BLOCK) -> DataFrame:
+    """``rows(bucket, node, ...)`` of buckets with several rows, dealt for comparison.
+
+    A large bucket is cut into blocks by hash and every two of its blocks meet
+    under a key of their own, so no group exceeds about two blocks. ``own`` is a
+    row's block; where ``cross`` is set only rows of different blocks are a pair.
+    """
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    return (rows.join(counts, "bucket").withColumn("n_rows", F.ceil(F.col("n_rows") / block).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64(node, "bucket"), F.col("n_rows")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)))
+            .withColumn("cross", F.col("own") != F.col("other"))
+            .withColumn("key", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
+            .drop("bucket", "n_rows", "other"))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.Table]:
+    """Tables of whole groups out of batches sorted by a key: its rows never part."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        key = batch.column(column).to_numpy()
+        first = int(np.searchsorted(key, key[-1]))
+        if first or (held and held[-1].column(column)[-1].as_py() != key[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, first)]).combine_chunks()
+            held = []
+        held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def group_pairs(key: np.ndarray, own: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions i < j of all pairs of a sorted key, about ``PAIRS`` at a time."""
+    ends = np.searchsorted(key, key, side="right")
+    todo = np.flatnonzero(ends - np.arange(len(key)) > 1)
+    while len(todo):
+        many = np.cumsum(ends[todo] - todo - 1)
+        take = max(1, int(np.searchsorted(many, PAIRS, side="right")))
+        rows, todo = todo[:take], todo[take:]
+        reps = ends[rows] - rows - 1
+        i = np.repeat(rows, reps)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(reps) - reps, reps) + i + 1
+        ok = ~cross[i] | (own[i] != own[j])
+        yield i[ok], j[ok]
+
+
 # ---------------------------------------------------------------------------
 # Connected components
 # ---------------------------------------------------------------------------

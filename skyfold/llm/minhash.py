@@ -10,26 +10,32 @@ shingle sets, and verified links grouped into components.
 
 Defined cases: null or empty texts, and texts of white space alone, have no
 shingles and link with nothing; texts of fewer words than a shingle count as
-one shingle; equal rows share a set and so a component; an empty table gives an
-empty result; columns other than ``doc_id`` and ``text`` are ignored.
+one shingle; repeated rows share a set and so a component; rows without an id
+link with nothing and are kept; an empty table gives an empty result; columns
+other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix64, slices, span_hashes, stage, text_buffer, word_spans, workers_import_us
+from .common import (components, group_pairs, in_blocks, mix64, slices, span_hashes, stage, text_buffer,
+                     whole_groups, word_spans, workers_import_us)
 
 #: words in a shingle, and the least similarity of a link in hundredths
 SHINGLE_WORDS, PERCENT = 5, 75
 #: positions in a band, and bands: a pair at similarity 0.75 shares no band
 #: with probability (1 - 0.75**6)**60 = 8e-6, at 0.8 with 1e-8
 BAND_ROWS, BANDS = 6, 60
+#: deviations of the estimate below the threshold at which a pair is not compared
+DEVIATIONS = 4.0
 #: rounds after which the few elements still walking get an explicit permutation
 LAZY_ROUNDS = 24
 WALK_ELEMENTS = 20_000
@@ -137,104 +143,146 @@ def _band_keys(ranks: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return value
 
 
-_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+_SKETCH = "row long, doc_id long, n int, set_a long, set_b long, ranks binary, bands array<long>"
+
+
+def _prints(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 128-bit fingerprint of every set, as two rows of signed numbers."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    out = np.zeros((2, len(bounds) - 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for row, salt in zip(out, _ODD[40:42]):
+            np.add.at(row, owner, mix64(value * salt))
+    return out.view(np.int64)
+
+
+def _listed(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
+
+
+def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids and sets of a batch ``doc_id, text``, some documents at a time."""
+    raw, offsets = text_buffer(batch.column(1))
+    for lo, hi in slices(offsets):
+        yield (batch.column(0).slice(lo, hi - lo),
+               *shingle_sets(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words))
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """Per document: set size, a 128-bit fingerprint of the set, and band keys."""
+    """Per document: a number of its own, set size and fingerprint, a byte of every rank, and band keys."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            raw, offsets = text_buffer(batch.column(1))
-            ids = batch.column(0)
-            for lo, hi in slices(offsets):
-                value, bounds = shingle_sets(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words)
-                n = hi - lo
-                sizes = np.diff(bounds)
-                owner = np.repeat(np.arange(n), sizes)
-                prints = np.zeros((2, n), np.uint64)
-                with np.errstate(over="ignore"):
-                    for row, salt in zip(prints, _ODD[40:42]):
-                        np.add.at(row, owner, mix64(value * salt))
-                keys = _band_keys(superminhash(value, bounds, bands * rows), bands, rows).view(np.int64)
-                listed = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands),
-                                                  pa.array(keys.reshape(-1)))
+            for ids, value, bounds in _sets(batch, words):
+                n = len(ids)
+                ranks = superminhash(value, bounds, bands * rows)
+                short = mix64(ranks).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, n), pa.array(sizes.astype(np.int64)), pa.array(prints[0].view(np.int64)),
-                     pa.array(prints[1].view(np.int64)), listed],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                    [pa.array(np.arange(row, row + n)), ids, pa.array(np.diff(bounds).astype(np.int32)),
+                     *map(pa.array, _prints(value, bounds)), pa.array([r.tobytes() for r in short], pa.binary()),
+                     _listed(_band_keys(ranks, bands, rows).reshape(-1), np.arange(n + 1) * bands)],
+                    names=["row", "doc_id", "n", "set_a", "set_b", "ranks", "bands"])
+                row += n
 
     workers_import_us(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _SKETCH)
 
 
 def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, shingles``: the full set of every document."""
+    """``doc_id, set_a, set_b, shingles``: the full set of every document and its fingerprint."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_buffer(batch.column(1))
-            for lo, hi in slices(offsets):
-                value, bounds = shingle_sets(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(value.view(np.int64)))],
-                    names=["doc_id", "shingles"])
+            for ids, value, bounds in _sets(batch, words):
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, _prints(value, bounds)), _listed(value, bounds)],
+                                                 names=["doc_id", "set_a", "set_b", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, shingles array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        work, "doc_id long, set_a long, set_b long, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity."""
-    a, b = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+    a, b = (sets.select(F.col("cid").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
     both = F.size(F.array_intersect("set_a", "set_b"))
     return (pairs.join(a, "a").join(b, "b")
             .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both))
             .select("a", "b"))
 
 
+def _likely_pairs(rows: DataFrame, percent: int, bands: int) -> DataFrame:
+    """Pairs ``a, b`` within the groups of ``rows(key, own, cross, band, cid, c, n, ranks)`` that lie
+    in different components ``c`` and whose ranks don't rule a link out.
+
+    The share of equal ranks estimates the similarity with a deviation of at
+    most ``sqrt(p (1 - p) / m)``; pairs more than DEVIATIONS below the threshold
+    are left. A pair is looked at in the first band it shares.
+    """
+    p = percent / 100
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches):
+            key, own, cross, band, cid, c, n = (t.column(k).to_numpy() for k in range(7))
+            ranks = np.stack([np.frombuffer(r, np.uint8) for r in t.column(7).to_pylist()])
+            least = p - DEVIATIONS * math.sqrt(p * (1 - p) / ranks.shape[1])
+            for i, j in group_pairs(key, own, cross):
+                ok = (c[i] != c[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                i, j = i[ok], j[ok]
+                same = ranks[i] == ranks[j]
+                first = same.reshape(len(i), bands, ranks.shape[1] // bands).all(axis=2).argmax(axis=1)
+                ok = (same.mean(axis=1) >= least) & (first == band[i])
+                a, b = cid[i[ok]], cid[j[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return (rows.select("key", "own", "cross", "band", "cid", "c", "n", "ranks")
+            .repartition("key").sortWithinPartitions("key").mapInArrow(work, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = BAND_ROWS,
                     words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
-    Documents with the same set are one class, found by the set's fingerprint;
-    only its smallest id goes on. Within a bucket every class is first compared
-    with the bucket's smallest id alone, which unites a group of copies with one
-    pair a member. Only pairs that are then still in different components are
-    compared with each other, so no link between components is lost and a group
-    of thousands never becomes all its pairs.
+    Documents with the same set are one class, found by the set's fingerprint,
+    and enter the search once. Within a bucket every class is first compared
+    with the bucket's smallest alone, which unites a group of copies with one
+    pair a member. Then the pairs that are still in different components are
+    looked at in blocks; those that full signatures don't rule out are compared
+    too, so that no link between components is lost and a group of thousands
+    never becomes all its pairs.
     """
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     sketch = stage(sketches(docs, bands, rows, words), "sketches")
-    classes = sketch.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
-    reps = stage(sketch.where("n_shingles > 0").join(classes, ["set_a", "set_b"])
-                 .select("doc_id", "rep"), "classes")
-
-    lone = reps.where("doc_id = rep").select("doc_id")
-    rows_ = (sketch.join(lone, "doc_id")
-             .select("doc_id", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("bucket")))
-    hubs = (rows_.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").alias("hub"), F.col("n").alias("m"))).alias("h"),
-                                        F.max("doc_id").alias("top"))
+    full = sketch.where("n > 0 and doc_id is not null")
+    classes = stage(full.groupBy("set_a", "set_b").agg(F.min("row").alias("cid"), F.min("doc_id").alias("low")), "classes")
+
+    reps = full.select("row", "n", "bands").join(classes.select(F.col("cid").alias("row")), "row")
+    listed = reps.select(F.col("row").alias("cid"), "n", F.posexplode("bands").alias("band", "bucket"))
+    hubs = (listed.groupBy("bucket").agg(F.min(F.struct(F.col("cid").alias("hub"), F.col("n").alias("m"))).alias("h"),
+                                         F.max("cid").alias("top"))
             .where("h.hub < top").select("bucket", "h.hub", "h.m"))
-    shared = stage(rows_.join(hubs, "bucket"), "buckets")
-    asked = shared.select("doc_id").distinct()
-    sets = stage(full_sets(docs.join(asked, "doc_id", "left_semi"), words), "sets")
-
-    pairs = shared.where("hub < doc_id").where(near).select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    first = stage(_confirmed(pairs, sets, percent), "links")
-    found = components(first)
-
-    owned = (shared.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-             .select("bucket", "doc_id", "n", "hub", F.coalesce("component", "doc_id").alias("c")))
-    open_ = (owned.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo < hi").select("bucket"))
-    rest = owned.where("hub < doc_id").join(open_, "bucket")
-    left = rest.select("bucket", F.col("doc_id").alias("a"), "n", F.col("c").alias("ca"))
-    right = rest.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
-    others = left.join(right, "bucket").where("a < b and ca <> cb").where(near).select("a", "b").distinct()
-    links = first.unionAll(_confirmed(others, sets, percent))
-
-    merged = components(links).withColumnRenamed("id", "rep")
-    named = (reps.join(merged, "rep", "left")
-             .select("doc_id", F.coalesce("component", "rep").alias("component_id")))
-    return (sketch.select("doc_id", "n_shingles").join(named, "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.expr("doc_id = component_id")))
+    shared = stage(listed.join(hubs, "bucket"), "buckets")
+    asked = shared.select("cid").distinct().join(classes, "cid").select("low", "cid", "set_a", "set_b")
+    text = docs.join(asked.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = stage(full_sets(text, words).join(asked, ["set_a", "set_b"]).where("doc_id = low").select("cid", "shingles"), "sets")
+    if sets.groupBy("cid").count().where("count > 1").take(1):  # the same row more than once
+        sets = stage(sets.dropDuplicates(["cid"]), "sets")
+
+    pairs = shared.where("hub < cid").where(near).select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+    links = stage(_confirmed(pairs, sets, percent), "links")
+    found = components(links)
+
+    owned = (shared.join(found.withColumnRenamed("id", "cid"), "cid", "left")
+             .select("bucket", "band", "cid", "n", F.coalesce("component", "cid").alias("c")))
+    open_ = owned.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
+    ranks = sketch.select(F.col("row").alias("cid"), "ranks")
+    dealt = in_blocks(owned.join(open_, "bucket"), "cid").join(ranks, "cid")
+    others = stage(_confirmed(_likely_pairs(dealt, percent, bands), sets, percent), "links")
+
+    merged = components(links.unionAll(others)).withColumnRenamed("id", "cid")
+    owner = classes.join(merged, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
+    least = owner.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id"), "components")
+    return (sketch.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                    F.when(F.expr("n > 0 and doc_id is not null"), F.col("component_id"))
+                    .otherwise(F.col("doc_id")).alias("component_id"))
+            .withColumn("kept", F.expr("coalesce(doc_id = component_id, true)")))
