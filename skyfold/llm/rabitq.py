@@ -25,14 +25,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix64, stage, workers_import_us
+from .common import BLOCK, components, group_pairs, in_blocks, mix64, stage, whole_groups, workers_import_us
 from .vectors import classes, matrix, rotation
 
 #: least cosine of a link, deviations within a bound, chance to miss a pair at
-#: the threshold, and vectors in a block of a bucket
-COSINE, DEVIATIONS, MISS, BLOCK = 0.95, 4.5, 1e-4, 1024
-#: pairs worked on at once
-PAIRS = 1 << 17
+#: the threshold
+COSINE, DEVIATIONS, MISS = 0.95, 4.5, 1e-4
 
 
 def band_plan(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
@@ -97,18 +95,8 @@ def _links_within(key: np.ndarray, own: np.ndarray, cross: np.ndarray, band: np.
     signs = np.where(np.unpackbits(codes, axis=1)[:, :d], 1.0, -1.0)
     spread = deviations * np.sqrt(np.maximum(1 / factor ** 2 - 1, 0) / max(d - 1, 1))
     scale = factor * math.sqrt(d)
-    ends = np.searchsorted(key, key, side="right")
     found = []
-    todo = np.flatnonzero(ends - np.arange(n) > 1)
-    while len(todo):  # rows with their followers in the same group, some rows at a time
-        many = np.cumsum(ends[todo] - todo - 1)
-        take = max(1, int(np.searchsorted(many, PAIRS, side="right")))
-        rows, todo = todo[:take], todo[take:]
-        reps = ends[rows] - rows - 1
-        i = np.repeat(rows, reps)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(reps) - reps, reps) + i + 1
-        ok = ~cross[i] | (own[i] != own[j])
-        i, j = i[ok], j[ok]
+    for i, j in group_pairs(key, own, cross):
         for coded, exact in ((0, 1), (1, 0)):  # either one's code may rule a pair out
             a, b = (i, j)[coded], (i, j)[exact]
             ok = np.einsum("ij,ij->i", signs[a], turned[b]) / scale[a] + spread[a] >= cosine
@@ -117,9 +105,8 @@ def _links_within(key: np.ndarray, own: np.ndarray, cross: np.ndarray, band: np.
         i, j = i[ok], j[ok]
         ok = (bands[i] == bands[j]).argmax(axis=1) == band[i]
         found.append((i[ok], j[ok]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*found))
+    none = np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip((none, none), *found))
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -153,51 +140,28 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
     bits, bands = band_plan(table.count(), cosine, miss)
     coded = stage(_encode(table, bits, bands), "codes")
     rows = coded.select("cid", "embedding", "bands").mapInArrow(_buckets, "cid long, band int, bucket long")
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    shared = (rows.join(counts, "bucket").select("cid", "band", "bucket", blocks.alias("blocks"))
-              .withColumn("own", F.pmod(F.xxhash64("cid", "bucket"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("cid", "band", "own", (F.col("own") != F.col("other")).alias("cross"),
-                      F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key")))
-    loaded = shared.join(coded, "cid").select("key", "own", "cross", "band", "cid", "size", "embedding",
+    loaded = in_blocks(rows, "cid", block).join(coded, "cid").select("key", "own", "cross", "band", "cid", "size", "embedding",
                                               "code", "factor", "bands")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tell(t: pa.Table) -> pa.RecordBatch:
-            t = t.combine_chunks()
-            key, own, cross, band, cid, size = (t.column(k).to_numpy() for k in range(6))
-            code, keys = (t.column(k).combine_chunks().to_pylist() for k in (7, 9))
-            i, j = _links_within(
-                key, own, cross, band, unit(matrix(t.column(6).combine_chunks())),
-                np.stack([np.frombuffer(c, np.uint8) for c in code]), t.column(8).to_numpy(),
-                np.stack([np.frombuffer(k, "<u4") for k in keys]), cosine, deviations)
-            links = np.bincount(i, size[j], len(key)) + np.bincount(j, size[i], len(key))
-            root = _roots(len(key), i, j)
-            at = np.flatnonzero(links)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cid[at]), pa.array(links[at].astype(np.int64)), pa.array(cid[root[at]])],
-                names=["cid", "links", "root"])
-
-        def groups(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            """One call for each length of vectors; a key's rows have one length."""
-            lengths = np.asarray(pc.list_value_length(t.column(6)).combine_chunks())
-            for d in np.unique(lengths):
-                yield tell(t.filter(pa.array(lengths == d)))
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:  # sorted by key; the last key's rows wait for the next batch
-            key = batch.column(0).to_numpy()
-            first = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if first:
-                yield from groups(pa.Table.from_batches([*held, batch.slice(0, first)]))
-                held = []
-            elif held and held[-1].column(0)[-1] != batch.column(0)[0]:
-                yield from groups(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(first))
-        if held:
-            yield from groups(pa.Table.from_batches(held))
+        for table in whole_groups(batches):
+            lengths = np.asarray(pc.list_value_length(table.column(6)).combine_chunks())
+            for d in np.unique(lengths):  # a key's vectors have one length
+                yield tell(table.filter(pa.array(lengths == d)).combine_chunks())
+
+    def tell(t: pa.Table) -> pa.RecordBatch:
+        key, own, cross, band, cid, size = (t.column(k).to_numpy() for k in range(6))
+        code, keys = (t.column(k).to_pylist() for k in (7, 9))
+        i, j = _links_within(
+            key, own, cross, band, unit(matrix(t.column(6).combine_chunks())),
+            np.stack([np.frombuffer(c, np.uint8) for c in code]), t.column(8).to_numpy(),
+            np.stack([np.frombuffer(k, "<u4") for k in keys]), cosine, deviations)
+        links = np.bincount(i, size[j], len(key)) + np.bincount(j, size[i], len(key))
+        root = _roots(len(key), i, j)
+        at = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cid[at]), pa.array(links[at].astype(np.int64)), pa.array(cid[root[at]])],
+            names=["cid", "links", "root"])
 
     told = stage(loaded.repartition("key").sortWithinPartitions("key")
                  .mapInArrow(work, "cid long, links long, root long"), "links")
