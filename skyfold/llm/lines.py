@@ -25,7 +25,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, _print, _length, at, a, b``: a 128-bit hash of every window, and which it is."""
     lines = _keyed(docs.select("doc_id", "text")).where("text is not null").withColumn("l", F.split("text", "\n"))
-    solid = lines.withColumn("l", F.filter(F.transform("l", F.trim), lambda x: x != ""))
+    solid = lines.withColumn("l", F.filter(F.transform("l", lambda x: F.trim(x)), lambda x: x != ""))
     hashed = solid.select("doc_id", "_print", "_length",
                           F.transform("l", lambda x: F.xxhash64(F.lit(2), x)).alias("ha"),
                           F.transform("l", lambda x: F.xxhash64(F.lit(3), x)).alias("hb"))
