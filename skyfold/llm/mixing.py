@@ -98,17 +98,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     """
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
     sized = docs.select(
-        *own, F.coalesce(F.regexp_count("text", F.lit(f"[^{WHITE}]+")).cast("long"), F.lit(0).cast("long")).alias("size"),
+        F.struct(*own).alias("doc"), F.col("source").alias("s"),
+        F.coalesce(F.regexp_count("text", F.lit(f"[^{WHITE}]+")).cast("long"), F.lit(0).cast("long")).alias("size"),
         F.xxhash64("doc_id", F.xxhash64("text")).bitwiseAND(F.lit((1 << ALL_BITS) - 1)).alias("h"))
-    rows = stage(sized.select("source", "size", "h"), "sizes")
+    rows = stage(sized.select(F.col("s").alias("source"), "size", "h"), "sizes")
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     goal = stage(goal.withColumn("base", F.least(F.lit(most).cast("long"), F.floor(
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0))))
         .withColumn("budget", F.round("target").cast("long") - F.col("base") * F.col("source_size")), "targets")
-    edges = _thresholds(rows, goal)
+    edges = _thresholds(rows, goal).withColumnRenamed("source", "s")
 
-    goal = goal.join(edges.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    full = sized.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    goal = goal.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    full = sized.join(goal, F.col("source").eqNullSafe(F.col("s")))
     below = F.when(F.col("edge").isNull(), (F.col("budget") > 0).cast("long")).otherwise((F.col("h") < F.col("edge")).cast("long"))
     plain = full.where("edge is null or h <> edge or size = 0").withColumn("taken", (F.col("base") + below) * F.col("size"))
     tie = Window.partitionBy("s", "h").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,4 +118,4 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
                .withColumn("taken", F.col("base") * F.col("size")
                            + F.greatest(F.lit(0), F.least("size", F.expr("owed - before"))))
                .drop("before"))
-    return plain.unionByName(at_edge).select(*own, "size", "source_size", "target", "taken")
+    return plain.unionByName(at_edge).select("doc.*", "size", "source_size", "target", "taken")

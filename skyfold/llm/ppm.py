@@ -82,7 +82,7 @@ class ContextTree:
                 minus_n[todo] = np.where(known, level["below"][at], 0)
                 minus_q[todo] = np.where(known, level["q"][at], 0)
             todo = todo[~found]
-        out[todo] += np.log2(256 - len(self.levels[0]["key"]))
+        out[todo] += np.log2(max(256 - len(self.levels[0]["key"]), 1))
         return out
 
 
