@@ -1,0 +1,62 @@
+import random
+
+import corpus_pipeline
+from skyfold.llm import stages
+
+
+def test_stages_keep_the_columns(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    ids = {r.doc_id for r in docs.collect()}
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stage(apply(spark, docs, "/root/testdata/sf0.001"), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        rows = docs.collect()
+        assert {r.doc_id for r in rows} <= ids
+        assert all(r.n_chars == len(r.text) for r in rows)
+        ids = {r.doc_id for r in rows}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert {r.doc_id for r in packed.collect()} == ids
+
+
+def test_run_applies_all_stages(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert got.count() > 0
+
+
+def test_language_keeps_clean_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    noise = spark.createDataFrame([(10 ** 6, "12345 !!", "en", "x", 8), (10 ** 6 + 1, None, None, None, None)], docs.schema)
+    got = stages.language(spark, docs.unionAll(noise), "")
+    assert {r.doc_id for r in got.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_copies_leave_one_document(spark):
+    rng = random.Random(1)
+    text = lambda: "\n".join(" ".join(rng.choice("abcdefgh") * 4 for _ in range(8)) for _ in range(9))
+    base = [text() for _ in range(4)]
+    rows = [(k, base[k % 4], "en", "s", len(base[k % 4])) for k in range(20)]
+    rows += [(3, base[3], "en", "s", len(base[3]))]  # a row again
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in stages.near_dedup(spark, df, "").collect()) == [0, 1, 2, 3]
+    assert sorted({r.doc_id for r in stages.line_dedup(spark, df, "").collect()}) == [0, 1, 2, 3]
+
+
+def test_mix_repeats_and_cuts(spark):
+    df = spark.createDataFrame([(k, f" one\ttwo  three\nfour five {k} ", "en", "ab"[k % 2], 29) for k in range(9)],
+                               "doc_id long, text string, lang string, source string, n_chars int")
+    got = stages.mix(spark, df, "").collect()
+    words = sum(len(r.text.split()) for r in got)
+    assert words == round(1.5 * 54)
+    assert all(r.n_chars == len(r.text) for r in got)
+    whole = {r.doc_id: r.text for r in df.collect()}
+    assert all(whole[r.doc_id].startswith(r.text) for r in got)
+
+
+def test_odd_and_empty_tables(odd_docs, no_docs, spark):
+    for name, apply in corpus_pipeline.STAGES:
+        got = apply(spark, odd_docs, "")
+        if name != "pack":
+            assert got.columns == odd_docs.columns
+        assert got.count() > 0
+        assert apply(spark, no_docs, "").count() == 0
