@@ -44,14 +44,20 @@ def tile_count(merged: DataFrame) -> DataFrame:
 def extreme_row(merged: DataFrame, column: str, largest: bool) -> DataFrame:
     """First row (in saved-table order) holding the table-wide max or min.
 
-    One pass: each partition keeps its best row, then one row is merged
-    (take-ordered), instead of an aggregate followed by a filter scan.
+    One aggregate, the least (sign * value, row order): each task sends one
+    row. It ignores repeats, so Spark drops the merge's left join when the
+    column comes from the forecast side.
     """
-    value = F.col(column)
-    key = value.desc() if largest else value.asc()
-    return merged.where(value.isNotNull()) \
-        .orderBy(key, *[F.col(k).asc_nulls_first() for k in ROW_ORDER]) \
-        .select("name", column).limit(1)
+    rank = -F.col(column) if largest else F.col(column)
+    best = F.min(F.struct(rank.alias("rank"), *ROW_ORDER, F.col(column).alias("value")))
+    return merged.where(F.col(column).isNotNull()).agg(best.alias("best")).where("best is not null") \
+        .select("best.name", F.col("best.value").alias(column))
+
+
+def extreme_rows(merged: DataFrame, column: str, largest: bool) -> DataFrame:
+    """Every row holding the table-wide max or min: one aggregate, joined back on its one value."""
+    best = merged.agg((F.max if largest else F.min)(column).alias(column))
+    return merged.join(best, column).select("name", "created_date_local", "forecast_date", column)
 
 
 def hottest_current(merged):

@@ -100,6 +100,35 @@ def q_lowest_forecast(spark, sf):
     return I.lowest_forecast(_merged(spark, sf))
 
 
+def q_hottest_current_rows(spark, sf):
+    return I.extreme_rows(_merged(spark, sf), "current_temp_c", largest=True)
+
+
+def q_coldest_current_rows(spark, sf):
+    return I.extreme_rows(_merged(spark, sf), "current_temp_c", largest=False)
+
+
+def q_highest_forecast_rows(spark, sf):
+    return I.extreme_rows(_merged(spark, sf), "forecast_maxtemp_c", largest=True)
+
+
+def q_lowest_forecast_rows(spark, sf):
+    return I.extreme_rows(_merged(spark, sf), "forecast_mintemp_c", largest=False)
+
+
+# Fixed value: the place asked for where a query narrows to one.
+CITY = "u7"
+
+
+def q_city_detail_one(spark, sf):
+    m = _merged(spark, sf)
+    return I.city_detail(m, place_stats(m), city=CITY)
+
+
+def q_city_range_one(spark, sf):
+    return I.city_range(_merged(spark, sf), city=CITY)
+
+
 def q_latest_snapshot(spark, sf):
     return I.latest_snapshot(_merged(spark, sf))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from ..sources import derived as D
 
+# Fixed value: the place asked for where a query narrows to one (as in the catalog).
+CITY = "u7"
 SEEN = "event_type <> 'error'"
 
 
@@ -168,10 +170,30 @@ def _extreme(col: str, largest: bool) -> str:
                    "name, region, country, created_date_local, forecast_date limit 1")
 
 
+def _extreme_rows(col: str, which: str) -> str:
+    return one_run(f"select name, created_date_local, forecast_date, {col} from mg "
+                   f"where {col} = (select {which}({col}) from mg)")
+
+
 LATEST = ("(select m.* from mg m join (select name, max(created_date_local) mx from mg group by name) l"
           " on m.name = l.name and m.created_date_local = l.mx)")
 
 
+def _city_range() -> str:
+    return ("select name, cast(forecast_date as varchar) forecast_day, forecast_mintemp_c, forecast_maxtemp_c, "
+            f"forecast_avgtemp_c, forecast_maxtemp_c - forecast_mintemp_c range_c from {LATEST} s")
+
+
+def _city_detail() -> str:
+    return ("select s.name, s.region, s.country, s.highest_temp_date, s.max_temp, s.mean_forecast, "
+            "d.uv_mean, d.wind_mean, printf('%.2f', d.uv_mean) uv_text, "
+            "printf('%.2f', d.wind_mean) wind_text from sx s join ("
+            f"select name, region, country, {mean('uv')} uv_mean, "
+            f"{mean('forecast_maxwind_kph')} wind_mean from {LATEST} l "
+            "group by name, region, country) d "
+            "on s.name = d.name and s.region = d.region and s.country = d.country")
+
+
 def oracle_sql() -> dict[str, str]:
     from .. import schemas as S
     mcols = ", ".join(S.columns(S.MERGED_SCHEMA))
@@ -203,18 +225,15 @@ def oracle_sql() -> dict[str, str]:
         "coldest_current": _extreme("current_temp_c", False),
         "highest_forecast": _extreme("forecast_maxtemp_c", True),
         "lowest_forecast": _extreme("forecast_mintemp_c", False),
+        "hottest_current_rows": _extreme_rows("current_temp_c", "max"),
+        "coldest_current_rows": _extreme_rows("current_temp_c", "min"),
+        "highest_forecast_rows": _extreme_rows("forecast_maxtemp_c", "max"),
+        "lowest_forecast_rows": _extreme_rows("forecast_mintemp_c", "min"),
         "latest_snapshot": one_run(f"select {mcols} from {LATEST} s"),
-        "city_range": one_run(
-            "select name, cast(forecast_date as varchar) forecast_day, forecast_mintemp_c, forecast_maxtemp_c, "
-            f"forecast_avgtemp_c, forecast_maxtemp_c - forecast_mintemp_c range_c from {LATEST} s"),
-        "city_detail": one_run(
-            "select s.name, s.region, s.country, s.highest_temp_date, s.max_temp, s.mean_forecast, "
-            "d.uv_mean, d.wind_mean, printf('%.2f', d.uv_mean) uv_text, "
-            "printf('%.2f', d.wind_mean) wind_text from sx s join ("
-            f"select name, region, country, {mean('uv')} uv_mean, "
-            f"{mean('forecast_maxwind_kph')} wind_mean from {LATEST} l "
-            "group by name, region, country) d "
-            "on s.name = d.name and s.region = d.region and s.country = d.country"),
+        "city_range": one_run(_city_range()),
+        "city_detail": one_run(_city_detail()),
+        "city_range_one": one_run(f"select * from ({_city_range()}) where name = '{CITY}'"),
+        "city_detail_one": one_run(f"select * from ({_city_detail()}) where name = '{CITY}'"),
         "place_names": one_run("select name from loc"),
         "stats_table": one_run("select * from sx"),
     }

@@ -204,13 +204,11 @@ def weather_batch(spark: SparkSession, sf_dir: str, first_day: dt.date | None =
                   before_day: dt.date | None = None, second_run: bool = False) -> Batch:
     """Location, current and forecast tables of the pulls in a day range.
 
-    The pulls are materialised once (a reliable checkpoint in the shared
-    folder): the three tables and both sides of a later merge read that
-    copy, so ``events`` is scanned and aggregated once, not once per side.
+    Planned lazily, so a query reads only the columns of ``events`` that its
+    own tables need; where a plan uses the pulls twice, Spark reuses the
+    exchange of the shared aggregation.
     """
-    from ..session import shared_dir
-    shared_dir(spark)
-    p = pulls(spark, sf_dir, first_day, before_day).checkpoint()
+    p = pulls(spark, sf_dir, first_day, before_day)
     return Batch(
         location=location_of(p),
         current=current_of(p, 1.0 if second_run else 0.0),
