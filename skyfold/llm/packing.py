@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stage, text_buffer, workers_import_us
-from .tokens import word_ids
+from .tokens import decoded, unit_ids
 
 #: tokens in a sequence, pieces up to which a rest is not halved again, and windows in a group
 CAPACITY, LEAST_PIECE, GROUP_WINDOWS = 2048, 64, 128
@@ -52,19 +52,17 @@ def cuts(tokens: int, capacity: int = CAPACITY, least: int = LEAST_PIECE) -> lis
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LEAST_PIECE) -> DataFrame:
     """All pieces of all documents; full ones already have a sequence of their own."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = word_ids(path)
+        book = unit_ids(path)
         task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             ids = batch.column(0).to_pylist()
             for lo, hi in slices(offsets):
-                whole = raw[offsets[lo]:offsets[hi]].tobytes()
-                at = (offsets[lo:hi + 1] - offsets[lo]).tolist()
-                texts = [whole[a:b].split() for a, b in zip(at, at[1:])]
-                get = book.learn(w for t in texts for w in t).__getitem__
+                texts = [book.units(t) for t in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])]
+                get = book.learn(set().union(*texts)).__getitem__
                 rows = []
-                for i, words in enumerate(texts, lo):
-                    stream = b"".join(map(get, words)) + END
+                for i, units in enumerate(texts, lo):
+                    stream = b"".join(map(get, units)) + END
                     n = len(stream) // 4
                     for start, length in cuts(n, capacity, least):
                         code = (task << 33) + serial
@@ -80,32 +78,44 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
 
 
 def difference(sizes: np.ndarray, k: int) -> np.ndarray:
-    """Karmarkar-Karp: the window (0 .. k-1) of every piece, sums nearly equal."""
-    n = len(sizes)
-    parent = np.arange(n)
-    heap = []
-    for i, x in enumerate(sizes):
-        sums, own = np.zeros(k, np.int64), np.full(k, -1)
-        sums[0], own[0] = x, i
-        heap.append((-int(x) if k > 1 else 0, i, sums, own))
+    """Karmarkar-Karp: the window (0 .. k-1) of every piece, sums nearly equal.
+
+    A partial partition is its k sums in falling order, less the smallest, with
+    a piece standing for each window's pieces. While single pieces have the
+    largest imbalances, opposing them only puts them into free windows, so up to
+    k of them are merged at once.
+    """
+    if k == 1:
+        return np.zeros(len(sizes), np.int64)
+    parent = np.arange(len(sizes))
+    heap = [(-int(x), i, None, i) for i, x in enumerate(sizes)]
     heapq.heapify(heap)
-    while len(heap) > 1:
+    while len(heap) > 1 or heap[0][2] is None:
         _, i, a, in_a = heapq.heappop(heap)
-        _, j, b, in_b = heapq.heappop(heap)
-        sums, with_ = a + b[::-1], in_b[::-1]
-        both = (in_a >= 0) & (with_ >= 0)
-        parent[with_[both]] = in_a[both]
-        own = np.where(in_a >= 0, in_a, with_)
-        order = np.argsort(-sums, kind="stable")
-        sums, own = sums[order], own[order]
-        sums -= sums[-1]
-        heapq.heappush(heap, (-int(sums[0]), i, sums, own))
+        if a is None:
+            singles = [in_a]
+            while heap and heap[0][2] is None and len(singles) < k:
+                singles.append(heapq.heappop(heap)[3])
+            a, in_a = np.zeros(k, np.int64), np.full(k, -1)
+            a[:len(singles)], in_a[:len(singles)] = sizes[singles], singles
+        else:
+            _, _, b, in_b = heapq.heappop(heap)
+            if b is None:
+                b, in_b = np.append(sizes[in_b], np.zeros(k - 1, np.int64)), np.append(in_b, np.full(k - 1, -1))
+            a, with_ = a + b[::-1], in_b[::-1]
+            both = (in_a >= 0) & (with_ >= 0)
+            parent[with_[both]] = in_a[both]
+            in_a = np.where(in_a >= 0, in_a, with_)
+            order = np.argsort(-a, kind="stable")
+            a, in_a = a[order], in_a[order]
+        a = a - a[-1]
+        heapq.heappush(heap, (-int(a[0]), i, a, in_a))
     while True:
         above = parent[parent]
         if (above == parent).all():
             break
         parent = above
-    window = np.full(n, -1)
+    window = np.full(len(sizes), -1)
     own = heap[0][3]
     window[own[own >= 0]] = np.flatnonzero(own >= 0)
     return window[parent]

@@ -1,18 +1,19 @@
 """Token ids of the public word tokenizer, and token counts of every document.
 
-The tokenizer drops white space and never joins across it, and its special
-strings hold none, so a text's ids are those of its white-space separated words
-in a row. ``WordIds`` keeps the ids of words it has met; ASCII words are split
-further into the tokenizer's pre-tokens, so a new word costs the library only
-its new pre-tokens.
+The tokenizer drops white space and encodes every pre-token for itself, so a
+text's ids are those of its pre-tokens in a row, and the library is asked once
+for each new one. Words that hold other characters than ASCII and Latin
+letters, or one of the tokenizer's special strings, are asked for as a whole:
+the tokenizer never joins across white space, and special strings hold none.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,63 +21,97 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage, text_buffer, workers_import_us
+from .common import WHITE, slices, stage, text_buffer, workers_import_us
 
-#: pre-tokens of a lower-cased ASCII word without white space (fixed by the vocabulary file)
-PRE_TOKENS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-#: words kept in each of a worker's two generations
-KEPT_WORDS = 250_000
+#: ASCII and precomposed Latin letters: their lower case, normal form and letter
+#: class are the same in every Unicode version
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+PLAIN = re.compile(f"[!-~{_LATIN}{WHITE}]*")
+WORDS = re.compile(f"[^{WHITE}]+")
+#: pre-tokens of lower-cased plain text (fixed by the vocabulary file)
+PRE_TOKENS = re.compile(f"[a-z{_LATIN}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^a-z0-9{_LATIN}{WHITE}]+")
+SPECIAL = "<|"
+#: units kept in each of a worker's two generations, and pre-tokens asked of the library at once
+KEPT_UNITS, ASKED = 250_000, 500
 
-_books: dict[str, "WordIds"] = {}
+_books: dict[str, "UnitIds"] = {}
 
 
-class WordIds:
-    """Ids of words, as little-endian unsigned 32-bit bytes, by the library."""
+class UnitIds:
+    """Ids of a text's units, as little-endian unsigned 32-bit bytes, by the library."""
 
-    def __init__(self, path: str, kept: int = KEPT_WORDS):
+    def __init__(self, path: str, kept: int = KEPT_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library, self.kept = Tokenizer.from_file(path), kept
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        """A text's pre-tokens, or whole words where they are not plain, in order."""
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return PRE_TOKENS.findall(text.lower())
+        out = []
+        for w in WORDS.findall(text):
+            if PLAIN.fullmatch(w) and SPECIAL not in w:
+                out += PRE_TOKENS.findall(w.lower())
+            else:
+                out.append(w)
+        return out
 
-    def _by_library(self, words: list[bytes]) -> Iterator[bytes]:
-        for e in self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False):
+    def _of_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of any words, each asked for itself."""
+        for e in self.library.encode_batch_fast(words, add_special_tokens=False):
             yield np.array(e.ids, dtype="<u4").tobytes()
 
-    def learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of all ``words``; the table returned holds at least these."""
-        if len(self.new) > self.kept:
-            self.old, self.new = self.new, {}
-        missing = set(words).difference(self.new)
-        split, whole = {}, []
-        for w in missing:
-            ids = self.old.get(w)
-            if ids is not None:
-                self.new[w] = ids
-            elif w.isascii() and b"<|" not in w:
-                split[w] = PRE_TOKENS.findall(w.lower())
-            else:
-                whole.append(w)
-        self.new.update(zip(whole, self._by_library(whole)))
-        if len(self.parts) > self.kept:
-            self.parts = {}
-        parts = list({p for ps in split.values() for p in ps if p not in self.parts})
-        self.parts.update(zip(parts, self._by_library(parts)))
-        get = self.parts.__getitem__
-        for w, ps in split.items():
-            self.new[w] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
-        return self.new
-
-
-def word_ids(path: str) -> WordIds:
+    def _of_parts(self, parts: list[str]) -> Iterator[bytes]:
+        """Ids of plain pre-tokens: in a row, each ends at the next id that ends one."""
+        rows = [" ".join(parts[lo:lo + ASKED]) for lo in range(0, len(parts), ASKED)]
+        for e in self.library.encode_batch_fast(rows, add_special_tokens=False):
+            ids = np.array(e.ids, dtype="<u4")
+            ends, raw, at = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist(), ids.tobytes(), 0
+            for end in ends:
+                yield raw[at:end]
+                at = end
+
+    def learn(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of all ``units``; the table returned holds at least these."""
+        gc.disable()  # nothing here is cyclic, and each pass would walk the whole table
+        try:
+            if len(self.new) > self.kept:
+                self.old, self.new = self.new, {}
+            new, old, parts, whole = self.new, self.old, [], []
+            for u in units.difference(new):
+                ids = old.get(u)
+                if ids is not None:
+                    new[u] = ids
+                elif PLAIN.fullmatch(u) and SPECIAL not in u:
+                    parts.append(u)
+                else:
+                    whole.append(u)
+            new.update(zip(whole, self._of_words(whole), strict=True))
+            new.update(zip(parts, self._of_parts(parts), strict=True))
+            return new
+        finally:
+            gc.enable()
+
+
+def unit_ids(path: str) -> UnitIds:
     """This worker's table for a vocabulary file; it outlives a task."""
     if path not in _books:
-        _books[path] = WordIds(path)
+        _books[path] = UnitIds(path)
     return _books[path]
 
 
+def decoded(raw: np.ndarray, offsets: np.ndarray) -> list[str]:
+    at, whole = offsets.tolist(), raw.tobytes()
+    return [whole[a:b].decode() for a, b in zip(at, at[1:])]
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -86,14 +121,14 @@ def vocabulary_path() -> str:
 # Token counts
 # ---------------------------------------------------------------------------
 
-#: documents expected in the sample that chooses the common words, and the
-#: number and length (bytes) of common words: what is sent to every worker is
-#: at most COMMON_WORDS * (COMMON_BYTES + 8) bytes, whatever the input
-SAMPLE_DOCS, COMMON_WORDS, COMMON_BYTES = 4096, 1 << 16, 40
+#: documents expected in the sample that chooses the common units, and the
+#: number and length (bytes) of common units: what is sent to every worker is
+#: at most COMMON_UNITS * (COMMON_BYTES + 8) bytes, whatever the input
+SAMPLE_DOCS, COMMON_UNITS, COMMON_BYTES = 12288, 1 << 18, 40
 
 
-def _frequencies(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
-    """Per document: bytes, tokens of its common words, and its other words with counts."""
+def _frequencies(docs: DataFrame, common: dict[str, int]) -> DataFrame:
+    """Per document: bytes, tokens of its common units, and its other units with counts."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,52 +137,52 @@ def _frequencies(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             for lo, hi in slices(offsets):
-                sums, words, counts, bounds = [], [], [], [0]
-                for i in range(lo, hi):
+                sums, units, counts, bounds = [], [], [], [0]
+                for text in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]):
                     tokens = 0
-                    for w, n in Counter(raw[offsets[i]:offsets[i + 1]].tobytes().split()).items():
-                        p = known.get(w)
+                    for u, n in Counter(UnitIds.units(text)).items():
+                        p = known.get(u)
                         if p is None:
-                            words.append(w)
+                            units.append(u)
                             counts.append(n)
                         else:
                             tokens += n * p
                     sums.append(tokens)
-                    bounds.append(len(words))
+                    bounds.append(len(units))
                 n, bounds = hi - lo, pa.array(bounds, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, n), pa.array(np.arange(row, row + n)),
                      pa.array(np.diff(offsets[lo:hi + 1])), pa.array(sums, pa.int64()),
-                     pa.ListArray.from_arrays(bounds, pa.array(words, pa.binary())),
-                     pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int64()))],
-                    names=["doc_id", "row", "n_bytes", "common", "words", "counts"])
+                     pa.ListArray.from_arrays(bounds, pa.array(units, pa.string())),
+                     pa.ListArray.from_arrays(bounds, pa.array(counts, pa.int32()))],
+                    names=["doc_id", "row", "n_bytes", "common", "units", "counts"])
                 row += n
 
     return docs.mapInArrow(work, "doc_id long, row long, n_bytes long, common long, "
-                                 "words array<binary>, counts array<long>")
+                                 "units array<string>, counts array<int>")
 
 
-def _piece_counts(words: DataFrame, path: str) -> DataFrame:
-    """``word, pieces``: the library is asked once for each row of ``words``."""
+def _piece_counts(units: DataFrame, path: str) -> DataFrame:
+    """``unit, pieces``: the library is asked once for each row of ``units``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = word_ids(path)
+        book = unit_ids(path)
         for batch in batches:
             listed = batch.column(0).to_pylist()
-            ids = book.learn(listed)
+            ids = book.learn(set(listed))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(ids[w]) // 4 for w in listed], pa.int64())], names=["word", "pieces"])
+                [batch.column(0), pa.array([len(ids[u]) // 4 for u in listed], pa.int32())], names=["unit", "pieces"])
 
-    return words.mapInArrow(work, "word binary, pieces long")
+    return units.mapInArrow(work, "unit string, pieces int")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``.
 
-    Words common in a bounded sample are counted first and sent to every worker;
-    they are most of a text. All other words go through a join: pieces are
-    counted once for each distinct word of the corpus, joined to the documents'
-    word frequencies, and summed. No ids are kept. The sample only decides which
-    way a word takes, so the counts are exact whatever it holds.
+    Units common in a bounded sample are counted first and sent to every worker;
+    they are most of a text. All others go through a join: pieces are counted
+    once for each distinct unit of the corpus, joined to the documents' unit
+    frequencies, and summed. No ids are kept. The sample only decides which way
+    a unit takes, so the counts are exact whatever it holds.
 
     Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows
     are counted each for itself; special strings count as the library's default
@@ -158,17 +193,17 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     total = docs.count()
     part = min(1.0, SAMPLE_DOCS / max(total, 1))
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
-    exploded = lambda df: df.select("row", F.explode(F.arrays_zip("words", "counts")).alias("f")).select(
-        "row", F.col("f.words").alias("word"), F.col("f.counts").alias("n"))
-    frequent = (exploded(_frequencies(sample, {})).where(F.octet_length("word") <= COMMON_BYTES)
-                .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-                .orderBy(F.desc("n"), "word").limit(COMMON_WORDS))
-    common = {bytes(r.word): r.pieces for r in _piece_counts(frequent.select("word"), path).collect()}
+    exploded = lambda df: df.select("row", F.explode(F.arrays_zip("units", "counts")).alias("f")).select(
+        "row", F.col("f.units").alias("unit"), F.col("f.counts").alias("n"))
+    frequent = (exploded(_frequencies(sample, {})).where(F.octet_length("unit") <= COMMON_BYTES)
+                .groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1")
+                .orderBy(F.desc("n"), "unit").limit(COMMON_UNITS))
+    common = {r.unit: r.pieces for r in _piece_counts(frequent.select("unit"), path).collect()}
 
     table = stage(_frequencies(docs, common), "frequencies")
     rest = exploded(table)
-    pieces = _piece_counts(rest.select("word").distinct(), path)
-    sums = rest.join(pieces, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("others"))
+    pieces = _piece_counts(rest.select("unit").distinct(), path)
+    sums = rest.join(pieces, "unit").groupBy("row").agg(F.sum(F.col("n").cast("long") * F.col("pieces")).alias("others"))
     return (table.select("doc_id", "row", "n_bytes", "common").join(sums, "row", "left")
             .select("doc_id", "n_bytes", (F.col("common") + F.coalesce("others", F.lit(0))).alias("n_tokens"))
             .withColumn("over_limit", F.col("n_tokens") > limit))
