@@ -1,11 +1,11 @@
 """Command-line entry points (``spark-submit -m``-style or ``python -m skyfold``).
 
-    python -m skyfold run --input <docs> --store <root> [--mode quarantine] [--multiline] [--layout by_day]
-    python -m skyfold report --store <root> [--city NAME] [--layout by_day]
+    python -m skyfold run --input <docs> --store <root> [--mode quarantine] [--multiline]
+    python -m skyfold report --store <root> --out <folder> [--city NAME]
 
-``run`` applies one batch of documents to the store; ``report`` prints the
-dashboard's answers (tiles, extremes, one place's range series and detail,
-the stats table). An existing Spark session (spark-submit) is used as is.
+``run`` applies one batch of documents to the store; ``report`` writes the
+dashboard's answers (tiles, extremes, range series and details, the stats
+table), each whole, as CSV folders under ``--out``. An existing Spark session (spark-submit) is used as is.
 """
 
 from __future__ import annotations
@@ -32,26 +32,21 @@ def _run(args) -> None:
 
 def _report(args) -> None:
     from .operators import insights as I
-    from .sources.snapshots import DayPartitionedStore, SnapshotStore
-    spark = _session()
-    store = (DayPartitionedStore(spark, args.store) if args.layout == "by_day"
-             else SnapshotStore(spark, args.store, args.format))
+    from .sources.snapshots import SnapshotStore, write_csv
+    store = SnapshotStore(_session(), args.store, args.format)
     merged, stats, location = store.read("merged"), store.read("stats"), store.read("location")
     if merged is None:
         raise SystemExit(f"no committed tables under {args.store}")
-    I.current_vs_forecast(merged).show(args.rows, truncate=False)
-    for name, q in [("hottest", I.hottest_current), ("coldest", I.coldest_current),
-                    ("highest forecast", I.highest_forecast), ("lowest forecast", I.lowest_forecast)]:
-        row = q(merged).first()
-        print(f"{name}: {tuple(row) if row else None}")
-    city = args.city
-    if city is None:
-        first = I.place_names(location).orderBy("name").first()
-        city = first.name if first else None
-    if city is not None:
-        I.city_range(merged, city).orderBy("forecast_day").show(args.rows, truncate=False)
-        I.city_detail(merged, stats, city).show(args.rows, truncate=False)
-    I.stats_table(stats).orderBy("name", "region", "country").show(args.rows, truncate=False)
+    answers = {
+        "current_vs_forecast": I.current_vs_forecast(merged), "hottest": I.hottest_current(merged),
+        "coldest": I.coldest_current(merged), "highest_forecast": I.highest_forecast(merged),
+        "lowest_forecast": I.lowest_forecast(merged), "places": I.place_names(location),
+        "range": I.city_range(merged, args.city), "detail": I.city_detail(merged, stats, args.city),
+        "stats": I.stats_table(stats),
+    }
+    for name, df in answers.items():
+        write_csv(df, f"{args.out.rstrip('/')}/{name}", mode="overwrite")
+        print(f"{name}: {args.out.rstrip('/')}/{name}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,16 +55,16 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("run", "report"):
         s = sub.add_parser(name)
         s.add_argument("--store", required=True, help="root folder of the tables")
-        s.add_argument("--layout", choices=["versioned", "by_day"], default="versioned")
         s.add_argument("--format", choices=["parquet", "csv"], default="parquet")
         if name == "run":
             s.add_argument("--input", required=True, help="document file(s) or folder")
             s.add_argument("--mode", choices=["fail", "quarantine"], default="fail")
-            s.add_argument("--multiline", action="store_true", help="one pretty-printed document per file")
-            s.add_argument("--on-duplicate", choices=["error", "multiply"], default="error")
+            s.add_argument("--layout", choices=["by_day", "versioned"], default="by_day")
+            s.add_argument("--multiline", action="store_true", default=None, help="one document per file")
+            s.add_argument("--on-duplicate", choices=["last", "error", "multiply"], default="last")
         else:
-            s.add_argument("--city", help="place name for the range series and detail")
-            s.add_argument("--rows", type=int, default=20)
+            s.add_argument("--out", required=True, help="folder of the answers")
+            s.add_argument("--city", help="only this place's range series and detail")
     args = p.parse_args(argv)
     (_run if args.command == "run" else _report)(args)
 

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Zones where the earlier instant of an ambiguous local time
-# is the standard-time reading (negative or seasonal offsets), so the plain
-# conversion is kept there.
-PLAIN_OVERLAP_ZONES = ("Europe/Dublin", "Africa/Windhoek", "Africa/Casablanca",
-                       "Africa/El_Aaiun")
-
-# Longest clock set-backs tried, in minutes, in this order.
-OVERLAP_STEPS_MINUTES = (60, 30)
+# Zones whose standard time is named the other way round or
+# changes with Ramadan, where the earlier instant of an ambiguous local time
+# is the standard-time reading.
+PLAIN_OVERLAP_ZONES = ("Europe/Dublin", "Africa/Casablanca", "Africa/El_Aaiun")
 
 
 def _col(c) -> Column:
@@ -24,19 +20,18 @@ def local_to_utc(local, tz) -> Column:
 
     Non-existent times (spring gap) move forward by the gap. Ambiguous
     times (autumn overlap) take the standard-time reading, i.e. the later
-    instant: the plain conversion gives the earlier one, so each set-back
-    step is tried and kept when it maps back to the same wall time.
-    Independent of the session time zone.
+    instant: the plain conversion gives the earlier one, so the zone's offset
+    a day later, after the change, is tried and kept when it maps back to the
+    same wall time, however far the clocks were set back. Independent of the
+    session time zone.
     """
     local, tz = _col(local), _col(tz)
     utc = F.lit("UTC")
     plain = F.convert_timezone(tz, utc, local)
-    result = plain
-    for step in reversed(OVERLAP_STEPS_MINUTES):
-        later = plain + F.expr(f"INTERVAL {step} MINUTES")
-        maps_back = F.convert_timezone(utc, tz, later) == local
-        result = F.when(maps_back & ~tz.isin(*PLAIN_OVERLAP_ZONES), later).otherwise(result)
-    return result
+    after = plain + F.expr("INTERVAL 1 DAY")
+    later = local - (F.convert_timezone(utc, tz, after) - after)
+    maps_back = F.convert_timezone(utc, tz, later) == local
+    return F.when(maps_back & ~tz.isin(*PLAIN_OVERLAP_ZONES), later).otherwise(plain)
 
 
 def day_of(c) -> Column:
@@ -61,13 +56,3 @@ def epoch_seconds(utc_ntz) -> Column:
     c = _col(utc_ntz)
     return (F.unix_date(F.to_date(c)).cast("bigint") * 86400
             + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c).cast("bigint"))
-
-
-def pull_order(pull_utc, date) -> Column:
-    """Bigint sorting like (pull instant, date): input order within a place.
-
-    Seconds since 1970 take the high bits (below 2^31 until 2038 and far
-    from 2^41 for any real time), the date 22 low bits.
-    """
-    return epoch_seconds(pull_utc) * F.lit(1 << 22) + (
-        F.unix_date(_col(date)).cast("bigint") + F.lit(1 << 21))

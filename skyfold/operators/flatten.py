@@ -34,14 +34,19 @@ def typed_records(records: DataFrame, mode: str = "fail") -> tuple[DataFrame, Da
         good, bad = fail_on_violation(checked), None
     else:
         good, bad = valid_only(checked), quarantined(checked)
-    return good.select("source", "label", typed_record().alias("rec")), bad
+    return good.select("source", "doc", "pos", "label", typed_record().alias("rec")), bad
+
+
+# Input order of a row, carried beside the tables' own columns until a batch
+# is collapsed: source, document, record, then forecast day.
+ORDER = "_order"
 
 
 def with_pull_keys(typed: DataFrame) -> DataFrame:
-    """Place keys, pull time and its UTC reading beside each record."""
+    """Place keys, pull time and its UTC reading beside each record, and its input order."""
     loc = F.col("rec.location")
     return typed.select(
-        "rec",
+        "rec", F.struct("source", "doc", "pos").alias(ORDER),
         loc["name"].alias("name"), loc["region"].alias("region"), loc["country"].alias("country"),
         loc["localtime"].alias("created_date_local"),
         local_to_utc(loc["localtime"], loc["tz_id"]).alias("created_date_utc"),
@@ -49,15 +54,15 @@ def with_pull_keys(typed: DataFrame) -> DataFrame:
 
 
 def location_table(keyed: DataFrame) -> DataFrame:
-    return keyed.select("rec.location.*").select(*S.columns(S.LOCATION_SCHEMA))
+    return keyed.select(ORDER, "rec.location.*").select(*S.columns(S.LOCATION_SCHEMA), ORDER)
 
 
 def current_table(keyed: DataFrame) -> DataFrame:
     """Observation per record, condition unnested to text/code."""
-    return keyed.select(*PARENT, "rec.current.*").select(
+    return keyed.select(*PARENT, ORDER, "rec.current.*").select(
         *PARENT, "last_updated", "temp_c", "temp_f", "is_day",
-        F.col("condition.text").alias("text"), F.col("condition.code").alias("code"),
-    ).select(*S.columns(S.CURRENT_SCHEMA))
+        F.col("condition.text").alias("text"), F.col("condition.code").alias("code"), ORDER,
+    ).select(*S.columns(S.CURRENT_SCHEMA), ORDER)
 
 
 def forecast_table(keyed: DataFrame) -> DataFrame:
@@ -65,12 +70,12 @@ def forecast_table(keyed: DataFrame) -> DataFrame:
 
     A record without forecast days yields no rows.
     """
-    days = keyed.select(*PARENT, F.explode("rec.forecast.forecastday").alias("fd"))
-    flat = days.select(*PARENT, "fd.date", "fd.date_epoch", "fd.day.*")
+    days = keyed.select(*PARENT, ORDER, F.posexplode("rec.forecast.forecastday").alias("day_pos", "fd"))
+    flat = days.select(*PARENT, F.struct(f"{ORDER}.*", "day_pos").alias(ORDER), "fd.date", "fd.date_epoch", "fd.day.*")
     return flat.select(
         *[c for c in flat.columns if c != "condition"],
         F.col("condition.text").alias("text"), F.col("condition.code").alias("code"),
-    ).select(*S.columns(S.FORECAST_SCHEMA))
+    ).select(*S.columns(S.FORECAST_SCHEMA), ORDER)
 
 
 def flatten(records: DataFrame, mode: str = "fail") -> Flat:
@@ -81,4 +86,4 @@ def flatten(records: DataFrame, mode: str = "fail") -> Flat:
     """
     typed, bad = typed_records(records, mode)
     keyed = with_pull_keys(typed)
-    return Flat(location_table(keyed), current_table(keyed), forecast_table(keyed), bad)
+    return Flat(*[t.drop(ORDER) for t in (location_table(keyed), current_table(keyed), forecast_table(keyed))], bad)

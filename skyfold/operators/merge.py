@@ -11,27 +11,24 @@ from ..functions import day_diff, day_of, forecast_error
 JOIN_KEYS = S.PLACE_KEYS + ["created_date_local"]
 
 
-def merge_forecast(forecast: DataFrame, current: DataFrame, match: str = "pull") -> DataFrame:
-    """Left-join each forecast row to the observation of its pull day.
+def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
+    """Left-join each forecast row to the observations of its pull day.
 
     The pull day is the date of the forecast's ``created_date_local``; the
-    observation day is the date of ``last_updated``; they must be equal.
-    ``match="pull"`` also requires the observation to come from the same
-    pull (same ``created_date_local``), as in the input record where they
-    are siblings; ``match="day"`` matches any observation of that day, so
-    several pulls on one day multiply rows. With one pull per place and day
-    both give the same rows. Forecasts without an observation keep null
-    observation columns; the error is filled only for the pull day itself.
+    observation day is the date of ``last_updated``; they must be equal. So
+    an observation of the day before midnight meets that day's pulls, and
+    several pulls of a place on one day multiply rows; an upsert's rule for
+    repeated keys decides about those. Forecasts without an observation
+    keep null observation columns; the error is filled only for the pull
+    day itself.
 
     Both sides shuffle on the join keys unless AQE finds the observation
-    side under the broadcast threshold at run time.
+    side under the broadcast threshold at run time. Where the sides carry
+    their input order, the result has the forecast's, then the observation's.
     """
-    if match not in ("pull", "day"):
-        raise ValueError(f"match must be 'pull' or 'day', not {match!r}")
-    pull = ["_pull"] if match == "pull" else []
+    ordered = "_order" in forecast.columns and "_order" in current.columns
     fc = forecast.select(
         *S.PLACE_KEYS,
-        *([F.col("created_date_local").alias("_pull")] if pull else []),
         day_of("created_date_local").alias("created_date_local"),
         "created_date_utc",
         F.col("date").alias("forecast_date"),
@@ -42,16 +39,18 @@ def merge_forecast(forecast: DataFrame, current: DataFrame, match: str = "pull")
         "daily_chance_of_rain",
         "daily_chance_of_snow",
         F.col("maxwind_kph").alias("forecast_maxwind_kph"),
+        *([F.col("_order").alias("_forecast")] if ordered else []),
     )
     ob = current.select(
         *S.PLACE_KEYS,
-        *([F.col("created_date_local").alias("_pull")] if pull else []),
         day_of("last_updated").alias("created_date_local"),
         F.col("last_updated").alias("current_temp_last_updated"),
         F.col("temp_c").alias("current_temp_c"),
+        *([F.col("_order").alias("_observed")] if ordered else []),
     )
-    joined = fc.join(ob, JOIN_KEYS + pull, "left")
-    return with_forecast_error(joined).select(*S.columns(S.MERGED_SCHEMA))
+    merged = with_forecast_error(fc.join(ob, JOIN_KEYS, "left"))
+    return merged.select(*S.columns(S.MERGED_SCHEMA),
+                         *([F.struct("_forecast", "_observed").alias("_order")] if ordered else []))
 
 
 def with_forecast_error(merged: DataFrame) -> DataFrame:

@@ -6,26 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import exact_mean, horizontal_max, horizontal_min, pull_order, round2
+from ..functions import exact_mean, horizontal_max, horizontal_min, round2
 
 
 def place_stats(merged: DataFrame, order: Column | None = None) -> DataFrame:
     """Min/max/mean forecast, first observation and hottest day per place.
 
-    "First" means first in input order: by default the pull (its UTC
-    instant, so two pulls of one day stay apart), then the forecast date,
-    packed in a bigint.
-    The first observation keeps nulls. The hottest day is the pull day when
+    "First" means first in input order: the rows' own where they carry it,
+    else the pull (its UTC instant, so two pulls of one day stay apart),
+    then the forecast date. The first observation keeps nulls. The hottest day is the pull day when
     the first observation reaches the highest forecast high, else the first
     forecast date carrying that high.
 
     One shuffle on the place keys, after map-side partial aggregation, so a
     place holding a third of all rows sends one partial row per partition.
     """
-    o = order if order is not None else pull_order("created_date_utc", "forecast_date")
+    if order is None:
+        order = F.col("_order") if "_order" in merged.columns else F.struct("created_date_utc", "forecast_date")
     m = merged.select(*S.PLACE_KEYS, "current_temp_c", "forecast_mintemp_c",
                       "forecast_maxtemp_c", "forecast_avgtemp_c", "created_date_local",
-                      "forecast_date", o.alias("_ord"))
+                      "forecast_date", order.alias("_ord"))
     g = m.groupBy(*S.PLACE_KEYS).agg(
         F.min_by("current_temp_c", "_ord").alias("current_temp_c"),
         F.min("forecast_mintemp_c").alias("min_forecast"),

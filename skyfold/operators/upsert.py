@@ -62,6 +62,9 @@ def upsert_table(table: str, old: DataFrame | None, new: DataFrame,
     return out
 
 
+# The columns of merged that come from the observation.
+OBSERVED = ("current_temp_last_updated", "current_temp_c")
+
 # The column giving pull order within each table, used when
 # one batch carries several pulls of the same key.
 PULL_ORDER = {
@@ -73,21 +76,32 @@ PULL_ORDER = {
 
 
 def collapse_batch(table: str, df: DataFrame) -> DataFrame:
-    """One row per key, as if the batch's pulls had been upserted one by one.
+    """One row per key: the last one in input order, whole.
 
-    Each column takes its last non-null value in pull order. The group-by
-    is on the upsert keys, so the following full join reuses its hash
-    partitioning; partial aggregation keeps a hot key cheap.
+    ``merged`` takes its last forecast and, apart from it, the last observation
+    there was, as upserting the batch's pulls one by one would. Order is the
+    rows' own where they carry it, else the pull time. The group-by is on the
+    upsert keys, so the following full join reuses its hash partitioning;
+    partial aggregation keeps a hot key cheap.
     """
     schema, keys = S.TABLES[table]
-    order = F.col(PULL_ORDER[table])
-    cols = S.columns(schema)
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
-            for c in cols if c not in keys]
-    out = df.groupBy(*keys).agg(*aggs).select(*cols)
+    order = "_order" if "_order" in df.columns else PULL_ORDER[table]
+    cols = [c for c in S.columns(schema) if c not in keys]
+    seen = [c for c in cols if table == "merged" and c in OBSERVED]
+    parts = {"rest": ([c for c in cols if c not in seen], F.lit(True))}
+    if seen:
+        parts["seen"] = (seen, F.col("current_temp_last_updated").isNotNull())
+    out = df.groupBy(*keys).agg(*[
+        F.max_by(F.struct(*names), F.when(keep, F.col(order))).alias(p) for p, (names, keep) in parts.items()])
+    out = out.select(*keys, *[f"{p}.*" for p in parts]).select(*S.columns(schema))
     return with_forecast_error(out) if table == "merged" else out
 
 
+def checked_batch(table: str, df: DataFrame) -> DataFrame:
+    """The rows as they are; a repeated key fails the job."""
+    return _fail_on_duplicate_keys(df, S.TABLES[table][1], table).select(*S.columns(S.TABLES[table][0]))
+
+
 def upsert_location(old, new, on_duplicate="error"):
     return upsert_table("location", old, new, on_duplicate)
 

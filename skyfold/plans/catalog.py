@@ -194,8 +194,6 @@ def queries() -> dict[str, Query]:
 
 _written: dict[tuple, str] = {}
 
-STREAM_WAIT_SECONDS = 3600
-
 
 def _documents(spark: SparkSession, sf: str) -> str:
     from ..session import scratch_path, shared_dir
@@ -215,7 +213,7 @@ def _flat(spark, sf):
     from ..sources.documents import read_documents
     from .pipeline import batch_tables, stage_records
     staged = stage_records(spark, read_documents(spark, _documents(spark, sf)), mode="quarantine")
-    return batch_tables(staged, collapse=False)
+    return batch_tables(staged, on_duplicate="multiply")
 
 
 def q_json_source(spark, sf):
@@ -305,7 +303,7 @@ def q_weather_pipeline(spark, sf):
     from ..sources.snapshots import SnapshotStore
     from .pipeline import run
     root = scratch_path(spark, "store")
-    run(spark, _documents(spark, sf), root, mode="quarantine")
+    run(spark, _documents(spark, sf), root, mode="quarantine", layout="versioned")
     return SnapshotStore(spark, root).read("stats")
 
 
@@ -316,21 +314,18 @@ def q_stream_ingest(spark, sf):
     from ..streaming.ingest import start_ingest
     root = scratch_path(spark, "store")
     q = start_ingest(spark, _documents(spark, sf), root, mode="quarantine")
-    # available-now streams stop by themselves; never wait without bound
-    if not q.awaitTermination(STREAM_WAIT_SECONDS):
-        q.stop()
-        raise TimeoutError(f"ingest stream did not finish in {STREAM_WAIT_SECONDS} s")
+    q.awaitTermination()  # an available-now stream stops by itself
     return SnapshotStore(spark, root).read("merged")
 
 
 def q_pipeline_by_day(spark, sf):
     """The run into the day-partitioned layout; the stored merged table."""
     from ..session import scratch_path
-    from ..sources.snapshots import DayPartitionedStore
+    from ..sources.snapshots import SnapshotStore
     from .pipeline import run
     root = scratch_path(spark, "daystore")
     run(spark, _documents(spark, sf), root, mode="quarantine", layout="by_day")
-    return DayPartitionedStore(spark, root).read("merged")
+    return SnapshotStore(spark, root).read("merged")
 
 
 def q_pipeline_location(spark, sf):
@@ -343,6 +338,113 @@ def q_pipeline_location(spark, sf):
     return SnapshotStore(spark, root).read("location")
 
 
+def q_merged_many_pulls(spark, sf):
+    """Several pulls a day, observations that belong to the day before."""
+    b = D.event_pulls(spark, sf)
+    return merge_forecast(b.forecast, b.current).select(
+        *S.PLACE_KEYS, "created_date_local", "created_date_utc", "forecast_date", "current_temp_last_updated",
+        "current_temp_c", "forecast_avgtemp_c", "day_diff", "forecast_current_temp_diff")
+
+
+def q_stats_many_pulls(spark, sf):
+    """First observations and hottest days by input order, which is not time order."""
+    b = D.event_pulls(spark, sf)
+    return place_stats(merge_forecast(b.forecast, b.current))
+
+
+def q_collapse_many_pulls(spark, sf):
+    """The batch's last row of every key in input order, for two tables that must agree."""
+    from ..operators.upsert import collapse_batch
+    b = D.event_pulls(spark, sf)
+    merged = collapse_batch("merged", merge_forecast(b.forecast, b.current))
+    return merged.select(*S.PLACE_KEYS, "created_date_local", "forecast_date", "created_date_utc",
+                         "current_temp_last_updated", "current_temp_c", "forecast_avgtemp_c")
+
+
+def q_json_edge_documents(spark, sf):
+    """Texts that are one object, several, malformed or with repeated keys."""
+    from ..sources.documents import decode_documents
+    r = decode_documents(D.edge_documents(spark, sf))
+    return r.select("source", "doc_ok", "label", "pos", F.try_variant_get("record", "$.v", "bigint").alias("v"), "text")
+
+
+def q_mean_precise(spark, sf):
+    """Means of small numbers, with NaN in some groups."""
+    from ..functions import exact_mean
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    nan = (F.col("user_id") % 10 == 3) & (F.col("event_type") == "error")
+    v = F.when(nan, F.lit(float("nan"))).otherwise(F.col("value") / 70000000)
+    return ev.groupBy("user_id").agg((F.round(exact_mean(v) * 1e15, 0) / 1e15).alias("mean"))
+
+
+def q_csv_five_tables(spark, sf):
+    """All five tables through CSV: names with blanks, quotes and line breaks, two column orders."""
+    from ..session import scratch_path
+    from ..sources.snapshots import read_csv, write_csv
+    b = D.weather_batch(spark, sf)
+    merged = merge_forecast(b.forecast, b.current)
+    tables = {"location": (b.location, "lat"), "current_temp": (b.current, "temp_c"),
+              "forecast_temp": (b.forecast, "avgtemp_c"), "merged": (merged, "forecast_avgtemp_c"),
+              "stats": (place_stats(merged), "max_forecast")}
+    out = None
+    for name, (df, value) in tables.items():
+        odd = df.withColumn("name", F.concat(F.lit(' "'), F.col("name"), F.lit('",\n x ')))
+        path = scratch_path(spark, f"csv-{name}")
+        half = F.pmod(F.xxhash64("region"), F.lit(2)) == 0
+        write_csv(odd.where(half), path)
+        write_csv(odd.where(~half).select(*reversed(odd.columns)), path, mode="append")
+        rows = read_csv(spark, path, name).groupBy("name").agg(
+            F.count("*").alias("n"), F.round(F.sum(F.col(value).cast("decimal(30,6)")), 3).cast("double").alias("total"))
+        rows = rows.select(F.lit(name).alias("table_name"), "name", "n", "total")
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
+def q_saved_order(spark, sf):
+    """Rows of a saved table with their number in saved order."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    store = SnapshotStore(spark, scratch_path(spark, "store"))
+    store.write({"merged": _merged(spark, sf)}, sort=True)
+    at = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    rows = store.read("merged").select(*S.MERGED_KEYS, at.alias("at"))
+    from pyspark.sql import Window
+    return rows.select(*S.MERGED_KEYS, F.row_number().over(Window.orderBy("at")).alias("n"))
+
+
+def _after_two_runs(spark, sf, table):
+    """A table after two overlapping batches of documents, the second one degree warmer."""
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotStore
+    from .pipeline import run
+    root = scratch_path(spark, "store")
+    one = D.write_documents(spark, sf, scratch_path(spark, "documents"), before_day=D.FIRST_RUN_BEFORE)
+    two = D.write_documents(spark, sf, scratch_path(spark, "documents"), first_day=D.SECOND_RUN_FROM, temp_shift=1.0)
+    for documents in (one, two):
+        run(spark, documents, root, mode="quarantine", multiline=False)
+    return SnapshotStore(spark, root).read(table)
+
+
+def q_two_runs_location(spark, sf):
+    return _after_two_runs(spark, sf, "location")
+
+
+def q_two_runs_current(spark, sf):
+    return _after_two_runs(spark, sf, "current_temp")
+
+
+def q_two_runs_forecast(spark, sf):
+    return _after_two_runs(spark, sf, "forecast_temp")
+
+
+def q_two_runs_merged(spark, sf):
+    return _after_two_runs(spark, sf, "merged")
+
+
+def q_two_runs_stats(spark, sf):
+    return _after_two_runs(spark, sf, "stats")
+
+
 def q_local_to_utc_transitions(spark, sf):
     """Local -> UTC for wall times in spring gaps and autumn overlaps."""
     from ..functions import local_to_utc

@@ -29,7 +29,7 @@ VALID = (f"obs_ts is not null and {RULE} % {D.BAD_CODE_EVERY} <> 0 "
 
 
 def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False,
-               valid_only=False) -> list[str]:
+               valid_only=False, warmer=False) -> list[str]:
     """CTEs p{tag}, loc{tag}, cur{tag}, fc{tag}, mg{tag}, sx{tag} of one run.
 
     ``valid_only`` keeps the pulls whose documents pass validation.
@@ -42,7 +42,7 @@ def batch_ctes(tag: str = "", first_day=None, before_day=None, second_run=False,
     w = ("where " + " and ".join(where)) if where else ""
     zone = _case("r.r_regionkey", list(enumerate(D.REGION_ZONES)))
     code = _case("obs_type", list(D.OBSERVED_CODES.items()))
-    shift = " + cast(1.0 as double)" if second_run else ""
+    shift = " + cast(1.0 as double)" if second_run or warmer else ""
     mx = "hi + h"
     if second_run:
         mx = "case when h <> 1 then hi + h + cast(1.0 as double) end"
@@ -194,6 +194,77 @@ def _city_detail() -> str:
             "on s.name = d.name and s.region = d.region and s.country = d.country")
 
 
+MANY = f"""
+ev as (select e.event_id, e.value, e.ts, concat('u', cast(e.user_id as varchar)) name, n.n_name region, r.r_name country
+       from events e join nation n on n.n_nationkey = e.user_id % 25 join region r on r.r_regionkey = n.n_regionkey),
+many as (select f.name, f.region, f.country, cast(f.ts as date) created_date_local, f.ts created_date_utc,
+           cast(cast(f.ts as date) + h as date) forecast_date, o.ts - interval {D.OBSERVED_MINUTES_BEFORE} minute current_temp_last_updated,
+           o.value current_temp_c, f.value + h forecast_avgtemp_c, f.value + 2 hi, f.value - 2 lo, h day_diff,
+           f.event_id fe, o.event_id oe
+         from (select *, unnest([{', '.join(map(str, D.MANY_HORIZON))}]) h from ev) f left join ev o
+           on f.name = o.name and f.region = o.region and f.country = o.country
+          and cast(f.ts as date) = cast(o.ts - interval {D.OBSERVED_MINUTES_BEFORE} minute as date))"""
+
+
+def _edge_sql() -> str:
+    """What each text shape holds, by hand."""
+    id_ = "event_id"
+    text = " ".join(f"when {k} then replace('{t.replace(chr(39), chr(39) * 2)}', '@', {id_} :: varchar)"
+                    for k, t in enumerate(D.EDGE_SHAPES))
+    one = f"'a' || {id_}"
+    return f"""
+with t as (select event_id, event_id % {len(D.EDGE_SHAPES)} k, event_id :: varchar source from events),
+rows as (
+  select source, true doc_ok, {one} as label, 0 pos, event_id v, null :: varchar as text from t where k in (0, 3, 5)
+  union all select source, true, 'b' || {id_}, 1, 1, null from t where k = 3
+  union all select source, false, null, null, null, case k {text} end from t where k in (1, 2, 4, 6, 8, 9))
+select source, doc_ok, label, cast(pos as integer) pos, cast(v as bigint) v, text from rows"""
+
+
+def _more(S) -> dict[str, str]:
+    """Oracles of the queries on odd input and on two runs."""
+    diff = "case when day_diff = 0 then round((current_temp_c - forecast_avgtemp_c) * 100, 0) / 100 end"
+    order = "fe desc, day_diff, oe desc"
+    keys = "name, region, country, created_date_local, forecast_date"
+    out = {
+        "merged_many_pulls": f"with {MANY} select {keys}, created_date_utc, current_temp_last_updated, current_temp_c, "
+                             f"forecast_avgtemp_c, cast(day_diff as integer) day_diff, {diff} forecast_current_temp_diff from many",
+        "stats_many_pulls": f"""with {MANY}, g as (select name, region, country,
+              first(current_temp_c order by {order}) current_temp_c, min(lo) min_forecast, max(hi) max_forecast,
+              round(fsum(forecast_avgtemp_c) / count(*) * 100, 0) / 100 mean_forecast,
+              first(created_date_local order by {order}) created,
+              first(forecast_date order by hi desc, {order}) hottest from many group by name, region, country)
+            select name, region, country, current_temp_c, min_forecast, max_forecast, mean_forecast,
+              case when current_temp_c >= max_forecast then created else hottest end highest_temp_date,
+              least(min_forecast, current_temp_c) min_temp, greatest(max_forecast, current_temp_c) max_temp from g""",
+        "collapse_many_pulls": f"""with {MANY}, l as (select {keys},
+              last(created_date_utc order by {order}) created_date_utc, last(forecast_avgtemp_c order by {order}) forecast_avgtemp_c,
+              last(current_temp_last_updated order by {order}) filter (where oe is not null) current_temp_last_updated,
+              last(current_temp_c order by {order}) filter (where oe is not null) current_temp_c
+            from many group by {keys}) select * from l""",
+        "json_edge_documents": _edge_sql(),
+        "mean_precise": "select user_id, round(case when bool_or(user_id % 10 = 3 and event_type = 'error') then 'nan' :: double "
+                        "else fsum(value / 70000000) / count(*) end * 1e15, 0) / 1e15 as mean from events group by user_id",
+        "saved_order": one_run("select name, region, country, created_date_local, forecast_date, cast(row_number() over (order by "
+                               "name, region, country, created_date_local, forecast_date) as integer) n from mg"),
+    }
+    tables = {"location": ("loc", "lat"), "current_temp": ("cur", "temp_c"), "forecast_temp": ("fc", "avgtemp_c"),
+              "merged": ("mg", "forecast_avgtemp_c"), "stats": ("sx", "max_forecast")}
+    odd = "' \"' || name || '\",' || chr(10) || ' x '"
+    out["csv_five_tables"] = one_run(" union all ".join(
+        f"select '{t}' table_name, {odd} as name, count(*) n, "
+        f"cast(round(sum(cast({v} as decimal(30,6))), 3) as double) total from {cte} group by name" for t, (cte, v) in tables.items()))
+    runs = {"location": ("loc", "location"), "current": ("cur", "current_temp"), "forecast": ("fc", "forecast_temp"),
+            "merged": ("mg", "merged"), "stats": ("sx", "stats")}
+    both = (batch_ctes("1", before_day=D.FIRST_RUN_BEFORE, valid_only=True)
+            + batch_ctes("2", first_day=D.SECOND_RUN_FROM, valid_only=True, warmer=True))
+    for name, (cte, table) in runs.items():
+        schema, table_keys = S.TABLES[table]
+        sql = upsert_sql(f"{cte}1", f"{cte}2", table_keys, S.columns(schema))
+        out[f"two_runs_{name}"] = with_ctes(both, _merged_recomputed(sql) if table == "merged" else sql)
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     from .. import schemas as S
     mcols = ", ".join(S.columns(S.MERGED_SCHEMA))
@@ -286,6 +357,7 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_location": valid_run(
             "select name, region, country, lat, lon, tz_id, localtime_epoch, localtime from loc"),
     })
+    q.update(_more(S))
     zone = _case("n.n_regionkey", list(enumerate(D.REGION_ZONES)))
     sp, au = D.TRANSITION_DAYS["default"]
     day = f"case when event_id % 2 = 0 then '{sp}' else '{au}' end"

@@ -1,10 +1,10 @@
 """One run of the whole job: documents -> validated tables -> upserted snapshot.
 
 Per run: decode and validate the documents, stage the typed records once in
-the shared folder (cuts the lineage, so a lost executor recomputes from the
-staged copy, not from the raw text), build the three flat tables, merge
-forecasts with observations, compute per-place stats from this batch, upsert
-all five into the previous snapshot and commit a new version.
+the store (cuts the lineage, so a lost executor recomputes from the staged
+copy, not from the raw text), build the three flat tables, merge forecasts
+with observations, compute per-place stats from this batch, upsert all five
+into the previous snapshot and commit a new version.
 """
 
 from __future__ import annotations
@@ -14,14 +14,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators.flatten import current_table, forecast_table, location_table, with_pull_keys
 from ..operators.merge import merge_forecast
 from ..operators.stats import place_stats
-from ..operators.upsert import collapse_batch, upsert_table
+from ..operators.upsert import checked_batch, collapse_batch, upsert_table
 from ..operators.validate import fail_on_violation, typed_record, validate_records
 from ..session import scratch_path
 from ..sources.documents import decode_documents, read_documents
-from ..sources.snapshots import DayPartitionedStore, SnapshotStore
+from ..sources.snapshots import DAY_TABLES, SnapshotStore
+
+# What a batch does with rows of one key: the last one wins, the run fails,
+# or every one is kept and the joins multiply them.
+ON_DUPLICATE = ("last", "error", "multiply")
+LAYOUTS = ("by_day", "versioned")
 
 
 @dataclass
@@ -46,25 +52,26 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail",
         checked = fail_on_violation(checked)
     bad = F.size("violations") > 0
     staged = checked.select(
-        "source", "label", "violations",
+        "source", "doc", "pos", "label", "violations",
         F.when(~bad, typed_record()).alias("rec"),
-        F.when(bad, F.to_json("record")).alias("record_json"),
+        F.when(bad, F.coalesce("text", F.to_json("record"))).alias("record_json"),
     )
     path = path or scratch_path(spark, "staged-records")
     staged.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def batch_tables(staged: DataFrame, collapse: bool = True,
+def batch_tables(staged: DataFrame, on_duplicate: str = "last",
                  merged_path: str | None = None) -> dict[str, DataFrame]:
-    """The five tables of this batch alone, one row per key.
+    """The five tables of this batch alone; stats are over all its merged rows.
 
-    Several pulls of one place in a batch collapse as if upserted one by
-    one; stats are over all of the batch's merged rows. ``collapse=False``
-    keeps one row per record (the flatten operators' own output). With
-    ``merged_path`` the batch's merged rows are written there once, so the
-    merged table and the stats do not each run the merge join.
+    ``on_duplicate`` decides about rows of one key (several pulls of a place):
+    see ``ON_DUPLICATE``. With ``merged_path`` the batch's merged rows are
+    written there once, so the merged table and the stats do not each run the
+    merge join.
     """
+    if on_duplicate not in ON_DUPLICATE:
+        raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
     keyed = with_pull_keys(staged.where(F.size("violations") == 0))
     current, forecast = current_table(keyed), forecast_table(keyed)
     merged = merge_forecast(forecast, current)
@@ -73,71 +80,57 @@ def batch_tables(staged: DataFrame, collapse: bool = True,
         merged = staged.sparkSession.read.schema(merged.schema).parquet(merged_path)
     tables = {"location": location_table(keyed), "current_temp": current,
               "forecast_temp": forecast, "merged": merged}
-    if collapse:
-        tables = {t: collapse_batch(t, df) for t, df in tables.items()}
+    rule = {"last": collapse_batch, "error": checked_batch,
+            "multiply": lambda t, df: df.select(*S.columns(S.TABLES[t][0]))}[on_duplicate]
+    tables = {t: rule(t, df) for t, df in tables.items()}
     tables["stats"] = place_stats(merged)
     return tables
 
 
-def _stage_and_count(spark: SparkSession, docs: DataFrame, mode: str,
-                     root: str) -> tuple[DataFrame, int, int]:
-    """Stage the batch; set invalid records aside under ``<root>/_rejected``.
-
-    Returns (staged records, records, rejected); the counts are one row.
-    """
-    # one staging folder per store, replaced by the next run: bounded space
-    staged = stage_records(spark, docs, mode, path=f"{root}/_staging")
-    bad = F.size("violations") > 0
-    counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("bad")).first()
-    if counts["bad"]:
-        staged.where(bad).select("source", "label", "violations", "record_json") \
-            .write.mode("append").parquet(f"{root}/_rejected")
-    return staged, int(counts["n"]), int(counts["bad"])
-
-
 def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
-                  on_duplicate: str = "error", fmt: str = "parquet",
+                  on_duplicate: str = "last", fmt: str = "parquet", layout: str = "by_day",
                   tag: str | None = None) -> RunResult | None:
-    """Apply one batch of documents (source, text) to a ``SnapshotStore``.
+    """Apply one batch of documents (source, text) to a store.
 
-    With a ``tag`` already committed (a replayed stream batch) nothing is
-    done and None is returned.
+    Invalid records go to ``<root>/v=<N>/_rejected`` of the version that the
+    batch makes, so a batch that is run again replaces them. With a ``tag``
+    already committed (a replayed stream batch) nothing is done and None is
+    returned.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     store = SnapshotStore(spark, store_root, fmt)
     if tag is not None and store.has_tag(tag):
         return None
-    staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
+    # one staging folder per store, replaced by the next run: bounded space
+    staged = stage_records(spark, docs, mode, path=f"{store.root}/_staging")
+    bad = F.size("violations") > 0
+    counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("bad")).first()
+    if counts["bad"]:
+        staged.where(bad).select("source", "label", "violations", "record_json") \
+            .write.mode("overwrite").parquet(f"{store.root}/v={store.next_version()}/_rejected")
+    days = None
+    if layout == "by_day" and fmt == "parquet":
+        # the pull days of one batch, read from the staged records once
+        day = F.to_date("rec.location.localtime")
+        days = [r[0] for r in staged.where(~bad).select(day.alias("d")).distinct().collect()]
     prev = store.latest_version()
-    out = {t: upsert_table(t, store.read(t, prev) if prev is not None else None, df, on_duplicate)
-           for t, df in batch_tables(staged, merged_path=f"{store.root}/_staging_merged").items()}
-    return RunResult(store.write(out, tag=tag), n, bad)
-
-
-def run_by_day(spark: SparkSession, docs: DataFrame, store_root: str, mode: str = "fail",
-               on_duplicate: str = "error") -> RunResult:
-    """Apply one batch to a ``DayPartitionedStore``: only its pull days are rewritten.
-
-    The returned version is -1: this layout has no versions.
-    """
-    store = DayPartitionedStore(spark, store_root)
-    staged, n, bad = _stage_and_count(spark, docs, mode, store.root)
-    tables = batch_tables(staged, merged_path=f"{store.root}/_staging_merged")
-    store.apply(tables, lambda t, old, new: upsert_table(t, old, new, on_duplicate))
-    return RunResult(-1, n, bad)
+    rule = "error" if on_duplicate == "error" else "multiply"
+    out = {}
+    for t, df in batch_tables(staged, on_duplicate, merged_path=f"{store.root}/_staging_merged").items():
+        old = store.read(t, prev, days if t in DAY_TABLES else None) if prev is not None else None
+        out[t] = upsert_table(t, old, df, rule)
+    return RunResult(store.write(out, tag=tag, days=days), int(counts["n"]), int(counts["bad"]))
 
 
 def run(spark: SparkSession, input_path: str, store_root: str, mode: str = "fail",
-        multiline: bool = False, on_duplicate: str = "error", fmt: str = "parquet",
-        layout: str = "versioned") -> RunResult:
+        multiline: bool | None = None, on_duplicate: str = "last", fmt: str = "parquet",
+        layout: str = "by_day") -> RunResult:
     """Read documents at ``input_path`` and apply them to the store.
 
-    ``layout="versioned"``: every run commits a new snapshot of all tables
-    (atomic, whole rewrite). ``layout="by_day"``: large tables partitioned
-    by pull day, only the batch's days rewritten (incremental, for scale).
+    ``layout="by_day"`` (default): of the tables kept by pull day only the
+    batch's days are read and written. ``layout="versioned"``, and CSV: every
+    run writes all tables whole.
     """
-    docs = read_documents(spark, input_path, multiline)
-    if layout == "by_day":
-        return run_by_day(spark, docs, store_root, mode, on_duplicate)
-    if layout != "versioned":
-        raise ValueError(f"layout must be 'versioned' or 'by_day', not {layout!r}")
-    return run_documents(spark, docs, store_root, mode, on_duplicate, fmt)
+    return run_documents(spark, read_documents(spark, input_path, multiline), store_root, mode,
+                         on_duplicate, fmt, layout)

@@ -8,6 +8,7 @@ one place that decides where intermediate tables may be written.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,15 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir``, else from the context's checkpoint
-    folder. Only when neither is set (local runs, tests) is a folder created
+    folder. Only when neither is set in local mode (tests) is a folder created
     and made the context's checkpoint folder, so ``checkpoint()`` and staged
-    tables share one location.
+    tables share one location; a cluster, whose executors would each write
+    to their own disk, must name one.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     sc = spark.sparkContext
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="skyfold-ckpt-"))
         root = sc.getCheckpointDir()
     elif sc.getCheckpointDir() is None:

@@ -252,7 +252,7 @@ def _json_struct(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols))
 
 
-def record_json(p: DataFrame) -> DataFrame:
+def record_json(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
     """(d, user_id, label, record text) per pull: a projection, no shuffle."""
     n = F.col("n")
     rule = F.unix_date("d") + F.col("user_id")
@@ -263,10 +263,10 @@ def record_json(p: DataFrame) -> DataFrame:
         F.when(rule % AWARE_TIME_EVERY == 0, F.concat(local_text, F.lit(AWARE_SUFFIX)))
         .otherwise(local_text).alias("localtime"))
 
-    cur = dict(zip(["last_updated", "temp_c", "temp_f", "is_day", "text", "code"], _current_cols()))
+    cur = dict(zip(["last_updated", "temp_c", "temp_f", "is_day", "text", "code"], _current_cols(temp_shift)))
     head = [F.date_format("obs_ts", OBSERVED_FORMAT).alias("last_updated")]
     tail = [cur["temp_f"], cur["is_day"]]
-    as_text = F.col("obs_value").cast("string").alias("temp_c")
+    as_text = cur["temp_c"].cast("string").alias("temp_c")
     base = F.when(n % TEXT_TEMP_EVERY == 1, _json_struct(*head, as_text, *tail)) \
         .otherwise(_json_struct(*head, cur["temp_c"], *tail))
     bad_code = rule % BAD_CODE_EVERY == 0
@@ -313,27 +313,81 @@ def record_json(p: DataFrame) -> DataFrame:
         .select("d", "user_id", F.col("name").alias("label"), body.alias("record"))
 
 
-def documents_of(p: DataFrame) -> DataFrame:
+def documents_of(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
     """One JSON object per (pull day, group of places): label -> record.
 
     Groups hold at most ``PLACES_PER_DOCUMENT`` records whatever the scale,
     so no document grows with the data. Places appear in user-id order, so
-    a record's position in its document is known.
+    a record's position in its document is known; documents are in order of
+    day, so input order is pull order.
     """
-    r = record_json(p)
+    r = record_json(p, temp_shift)
     entry = F.concat(F.lit('"'), F.col("label"), F.lit('":'), F.col("record"))
     docs = r.groupBy("d", (F.col("user_id") / PLACES_PER_DOCUMENT).cast("bigint").alias("g")).agg(
         F.array_sort(F.collect_list(F.struct("user_id", entry.alias("e")))).alias("entries"))
     body = F.array_join(F.transform("entries", lambda x: x["e"]), ",")
-    return docs.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
+    return docs.orderBy("d", "g").select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
 
 
-def write_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Write the documents of all pulls as newline-delimited JSON under ``path``."""
-    documents_of(pulls(spark, sf_dir)).write.mode("errorifexists").text(path)
+def write_documents(spark: SparkSession, sf_dir: str, path: str, first_day: dt.date | None = None,
+                    before_day: dt.date | None = None, temp_shift: float = 0.0) -> str:
+    """Write the documents of a day range's pulls as newline-delimited JSON under ``path``."""
+    documents_of(pulls(spark, sf_dir, first_day, before_day), temp_shift).write.mode("errorifexists").text(path)
     return path
 
 
+# ---------------------------------------------------------------------------
+# Several pulls of a place on one day, listed out of time order.
+# ---------------------------------------------------------------------------
+
+# An observation is this much older than its pull, so those just
+# after midnight are of the day before; a pull's forecast horizon in days.
+OBSERVED_MINUTES_BEFORE = 600
+MANY_HORIZON = (0, 1)
+
+
+def event_pulls(spark: SparkSession, sf_dir: str) -> Batch:
+    """Every event as a pull of its user's place; input order is by falling event id."""
+    ev = _read(spark, sf_dir, "events")
+    nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    p = (ev.join(nation, (ev.user_id % NATIONS) == nation.n_nationkey)
+         .join(region, F.col("n_regionkey") == region.r_regionkey)
+         .select("event_id", "value", F.col("ts").alias("created_date_local"), F.col("ts").alias("created_date_utc"),
+                 F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"),
+                 F.col("n_name").alias("region"), F.col("r_name").alias("country")))
+    head = ["name", "region", "country", "created_date_local", "created_date_utc"]
+    current = p.select(*head, (F.col("created_date_local") - F.expr(f"INTERVAL {OBSERVED_MINUTES_BEFORE} MINUTES"))
+                       .alias("last_updated"), F.col("value").alias("temp_c"), F.struct(-F.col("event_id")).alias("_order"))
+    h = F.col("h")
+    forecast = p.withColumn("h", F.explode(F.array(*[F.lit(x) for x in MANY_HORIZON]))).select(
+        *head, F.date_add(F.to_date("created_date_local"), h).alias("date"), (F.col("value") + h).alias("avgtemp_c"),
+        (F.col("value") + 2).alias("maxtemp_c"), (F.col("value") - 2).alias("mintemp_c"), F.lit(1.0).alias("uv"),
+        F.lit(0).alias("daily_chance_of_rain"), F.lit(0).alias("daily_chance_of_snow"), F.lit(5.0).alias("maxwind_kph"),
+        F.struct(-F.col("event_id"), h).alias("_order"))
+    return Batch(location=p.select(*head), current=current, forecast=forecast)
+
+
+# ---------------------------------------------------------------------------
+# Documents that are not quite what they should be.
+# ---------------------------------------------------------------------------
+
+# One text shape per (event id % 10); @ is the id.
+EDGE_SHAPES = (
+    '{"a@": {"v": @}}', '{"a@": {"v": @}}{"b@": {"v": 1}}', '{"a@": {"v": @}} tail', '{"a@": {"v": 0, "v": @}, "b@": {"v": 1}}',
+    "{'a@': {'v': @}}", '{"a@": {"v": 1}, "a@": {"v": @}}', '{"a@": {"v": @}', '{}', '[{"a@": {"v": @}}]',
+    '{"a@": {"v": @}}, {"b@": {"v": 2}}',
+)
+
+
+def edge_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, text): every event as one text of the shapes above."""
+    shape = F.element_at(F.array(*[F.lit(x) for x in EDGE_SHAPES]), (F.col("event_id") % len(EDGE_SHAPES) + 1).cast("int"))
+    return _read(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("source"),
+        F.replace(shape, F.lit("@"), F.col("event_id").cast("string")).alias("text"))
+
+
 # ---------------------------------------------------------------------------
 # Clock-change cases for the local -> UTC conversion.
 # ---------------------------------------------------------------------------

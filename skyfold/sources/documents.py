@@ -2,13 +2,17 @@
 
 Two layouts are read:
 
-* ``multiline=False`` (default): newline-delimited documents, one JSON
-  object per line. Files split, so many documents read in parallel.
+* ``multiline=False``: newline-delimited documents, one JSON object per
+  line. Files split, so many documents read in parallel.
 * ``multiline=True``: one (pretty-printed) document per file, read whole;
   parallelism then comes from the number of files.
+* ``multiline=None`` (default): a file none of whose lines is a JSON object
+  is one document, any other is newline-delimited. Costs one pass over the
+  lines; say which it is where that matters.
 
-A document that is not a JSON object decodes to a null map and is reported
-as malformed; ``{}`` decodes to no records.
+A document that is not one JSON object decodes to a null map and is reported
+as malformed with its text; ``{}`` decodes to no records. A line that is
+itself a record (it has a location and a forecast) is one record without label.
 """
 
 from __future__ import annotations
@@ -17,12 +21,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+# What JSON itself does not allow.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# Fixed value: a key repeated in a record then keeps its last value.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+# The parts by which an object is told to be a record itself.
+RECORD_PARTS = ("location", "forecast")
+
+
+def read_documents(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Raw documents: (source, text)."""
-    df = spark.read.text(path, wholetext=multiline)
-    if not multiline:
-        df = df.where(F.length(F.trim("value")) > 0)
-    return df.select(F.input_file_name().alias("source"), F.col("value").alias("text"))
+    def read(whole: bool, files: DataFrame | None = None) -> DataFrame:
+        df = spark.read.text(path, wholetext=whole).select(F.input_file_name().alias("source"), F.col("value").alias("text"))
+        df = df if whole else df.where(F.length(F.trim("text")) > 0)
+        return df if files is None else df.join(files, "source", "left_semi")
+
+    if multiline is not None:
+        return read(multiline)
+    lines = read(False)
+    files = lines.groupBy("source").agg(F.max(F.json_object_keys("text").isNotNull()).alias("by_line"))
+    if not files.where("not by_line").take(1):
+        return lines
+    return read(False, files.where("by_line")).unionByName(read(True, files.where("not by_line")))
 
 
 def _entries_with_position() -> Column:
@@ -50,27 +72,48 @@ def _entries_with_position() -> Column:
     return F.when(ranked.isNull(), plain).otherwise(deduped)
 
 
+def _parsed(text: str) -> Column:
+    """The map of a text that is one JSON object and nothing else, or null.
+
+    A parser reads one value and forgets the rest of the text. So the text is
+    read as the only element of a list and as the only field of an object: what
+    follows the object breaks one or the other.
+    """
+    field = F.json_object_keys(F.concat(F.lit('{"d":'), F.col(text), F.lit("}")))
+    listed = F.from_json(F.concat(F.lit("["), F.col(text), F.lit("]")), "array<map<string,variant>>", STRICT)
+    return F.when((F.size(field) == 1) & (F.size(listed) == 1), listed[0])
+
+
 def decode_documents(docs: DataFrame) -> DataFrame:
-    """One row per record: (source, doc_ok, pos, label, record variant).
+    """One row per record: (source, doc, doc_ok, text, pos, label, record variant).
 
-    ``pos`` is the record's position in its document. ``doc_ok`` is false
-    for text that is not a JSON object; such a document yields one row with
-    a null label and record, so it can be reported.
+    ``doc`` rises with the documents of a source and ``pos`` is the record's
+    position in its document: together, input order. ``doc_ok`` is false
+    for text that is not one JSON object; such a document yields one row
+    with its text and a null label and record, so it can be reported. A
+    record that repeats a key keeps the key's last value, as a dict does.
     """
+    docs.sparkSession.conf.set(REPEATED_KEYS, "true")
     m = F.col("m")
     keys = F.map_keys(m)
     ranked = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), (-i).alias("ni"))))
     parsed = (
-        docs.select("source", F.from_json("text", "map<string,variant>").alias("m"))
+        docs.select("source", "text", F.monotonically_increasing_id().alias("doc"), _parsed("text").alias("m"))
         .withColumn("_ranked", F.when(F.size(F.array_distinct(keys)) < F.size(m), ranked))
         .withColumn("_keys", keys)
         .withColumn("_vals", F.map_values(m))
     )
+    record = F.lit(True)
+    for part in RECORD_PARTS:
+        record = record & F.array_contains(keys, part)
+    alone = F.array(F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("key"),
+                             F.try_parse_json("text").alias("value")))
     out = parsed.select(
-        "source",
+        "source", "doc",
         m.isNotNull().alias("doc_ok"),
-        F.explode_outer(F.when(m.isNotNull(), _entries_with_position())).alias("e"),
+        F.when(m.isNull(), F.col("text")).alias("text"),
+        F.explode_outer(F.when(record, alone).when(m.isNotNull(), _entries_with_position())).alias("e"),
     )
     return out.where(F.col("e").isNotNull() | ~F.col("doc_ok")).select(
-        "source", "doc_ok", F.col("e.pos").alias("pos"), F.col("e.key").alias("label"),
+        "source", "doc", "doc_ok", "text", F.col("e.pos").alias("pos"), F.col("e.key").alias("label"),
         F.col("e.value").alias("record"))

@@ -1,22 +1,25 @@
 """Versioned table snapshots and the CSV text format.
 
-A store keeps every run's five tables under ``<root>/v=<N>/<table>``. A run
-writes its tables first and its commit marker ``<root>/_commits/version=N``
-last; readers take the highest committed version, so a run that dies
-half-way is never seen and a table being read is never overwritten. The
-next run reuses and replaces the uncommitted version. One writer per store.
+A run writes its tables under ``<root>/v=<N>`` first and its commit marker
+``<root>/_commits/<N>.json`` last, as one file that appears complete or not
+at all. The marker says which version holds each table, or each pull day of
+a table, so a run rewrites only the days it touches, nothing that is read is
+ever overwritten, and all five tables change together. Readers take the
+highest marker; a run that dies half-way is never seen, and the next one
+replaces what it left. One writer per store.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas as S
+from . import files
 
 # Text formats of saved CSV files.
 NTZ_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -25,7 +28,10 @@ DATE_TEXT = "yyyy-MM-dd"
 UTC_COLUMN = "created_date_utc"
 ZONE_SUFFIX = r"(\+0000|\+00:00|Z)$"
 
-CSV_OPTIONS = {"header": "true", "timestampNTZFormat": NTZ_TEXT, "dateFormat": DATE_TEXT}
+# Quotes are doubled, blanks around values are part of them.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE = {**CSV_OPTIONS, "timestampNTZFormat": NTZ_TEXT, "dateFormat": DATE_TEXT}
 
 
 def _schema(table: str) -> T.StructType:
@@ -44,7 +50,7 @@ def to_csv_text(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    to_csv_text(df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    to_csv_text(df).write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
 def text_schema(table: str) -> T.StructType:
@@ -77,12 +83,24 @@ def parse_dates(df: DataFrame, table: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read a saved CSV table into its fixed schema (never inferred).
 
-    Columns are matched by header name, not position, so files written with
-    another column order (as a first run of the reference job writes them)
-    read correctly; every value is read as text and cast to its type.
+    Columns are matched by each file's own header, not by position, so files
+    with other column orders (as a first run of the reference job writes them)
+    read correctly, also beside each other; every value is read as text and
+    cast to its type. Values may hold quotes and line breaks, so a file is
+    one task: CSV is for exchange, parquet for scale.
     """
-    raw = spark.read.options(header="true", inferSchema="false").csv(path)
-    dated = parse_dates(raw.select(*[F.col(f"`{c}`") for c in S.columns(_schema(table))]), table)
+    by_header: dict[str, list[str]] = {}
+    for f in files.data_files(spark, path):
+        by_header.setdefault(files.first_line(spark, f), []).append(f)
+    wanted = S.columns(_schema(table))
+    raw = None
+    for paths in by_header.values():
+        part = spark.read.options(**CSV_OPTIONS, inferSchema="false", multiLine="true").csv(paths)
+        part = part.select(*[F.col(f"`{c}`") for c in wanted])
+        raw = part if raw is None else raw.unionByName(part)
+    if raw is None:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _schema(table)])
+    dated = parse_dates(raw, table)
     return dated.select(*[
         F.col(f.name) if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
         else F.col(f.name).cast(f.dataType).alias(f.name)
@@ -94,6 +112,23 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 # Snapshot store
 # ---------------------------------------------------------------------------
 
+DAY_COLUMN = "pull_day"
+
+# Tables keyed by pull time, which a store may keep by the pull's date; the
+# per-place tables (location, stats) are always written whole.
+DAY_TABLES = ("current_temp", "forecast_temp", "merged")
+# Fixed value: the part of a table that is kept whole.
+WHOLE = ""
+# Tags that a marker repeats of those before it; a stream replays its last batch only.
+TAGS_KEPT = 1000
+
+
+def pull_day(table: str):
+    """The date of the pull (merged already has it)."""
+    c = F.col("created_date_local")
+    return c if table == "merged" else F.to_date(c)
+
+
 class SnapshotStore:
     """Committed versions of the five tables under one root folder."""
 
@@ -102,142 +137,93 @@ class SnapshotStore:
             raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
+    def _versions(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in files.names(self.spark, f"{self.root}/_commits")
+                      if n.endswith(".json") and n[:-5].isdigit())
+
     def latest_version(self) -> int | None:
-        """Highest committed version (one tiny read of the commit markers)."""
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            return None
-        row = commits.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        """Highest committed version."""
+        return max(self._versions(), default=None)
+
+    def commit(self, version: int) -> dict:
+        """A version's marker: ``tag`` and, per table, the version of each of its parts."""
+        return json.loads(files.read_text(self.spark, f"{self.root}/_commits/{version}.json"))
+
+    def _part_path(self, table: str, part: str, version: int) -> str:
+        whole = f"{self.root}/v={version}/{table}"
+        return whole if part == WHOLE else f"{whole}/{DAY_COLUMN}={part}"
 
-    def table_path(self, table: str, version: int) -> str:
-        return f"{self.root}/v={version}/{table}"
+    def read(self, table: str, version: int | None = None, days: list | None = None) -> DataFrame | None:
+        """A table at ``version`` (default: latest committed), or None.
 
-    def read(self, table: str, version: int | None = None) -> DataFrame | None:
-        """A table at ``version`` (default: latest committed), or None."""
+        ``days`` reads only those pull days of a table that is kept by day.
+        """
         v = self.latest_version() if version is None else version
         if v is None:
             return None
-        path = self.table_path(table, v)
+        parts = self.commit(v)["tables"].get(table)
+        if parts is None:
+            return None
+        asked = None if days is None or WHOLE in parts else {str(d) for d in days}
+        paths = [self._part_path(table, p, at) for p, at in parts.items() if asked is None or p in asked]
         if self.fmt == "csv":
-            return read_csv(self.spark, path, table)
-        return self.spark.read.schema(_schema(table)).parquet(path)
+            return read_csv(self.spark, paths[0], table)
+        if not paths:
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _schema(table)])
+        return self.spark.read.schema(_schema(table)).parquet(*paths)
 
     def has_tag(self, tag: str) -> bool:
-        """Whether a committed version carries ``tag`` (a point lookup)."""
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            return False
-        if "tag" not in commits.columns:
-            return False
-        return bool(commits.where(F.col("tag") == tag).limit(1).count())
+        """Whether the latest version's marker, or one before it, carries ``tag``."""
+        v = self.latest_version()
+        return v is not None and tag in self.commit(v)["tags"]
+
+    def next_version(self) -> int:
+        prev = self.latest_version()
+        return 0 if prev is None else prev + 1
 
     def write(self, tables: dict[str, DataFrame], sort: bool | None = None,
-              tag: str | None = None) -> int:
-        """Write all tables as the next version, then commit it.
-
-        ``sort=True`` orders each table globally on its keys (a range
-        shuffle; files read in order give the saved-table order). The
-        default does so for CSV, whose row order is part of the format; for
-        parquet it sorts within partitions only, which the upsert's hash
-        partitioning on the keys makes cheap, and adds no shuffle.
+              tag: str | None = None, days: list | None = None) -> int:
+        """Write ``tables`` as the next version, then commit it; other tables stay.
+
+        With ``days``, the tables of ``DAY_TABLES`` hold just these pull days and
+        replace them; all other days stay where they are. ``sort=True`` orders
+        each table globally on its keys (a range shuffle; files read in order
+        give the saved-table order). The default does so for CSV, whose row
+        order is part of the format; for parquet it sorts within partitions
+        only, which the upsert's hash partitioning on the keys makes cheap.
         ``tag`` names the input of the version (e.g. a stream's micro-batch)
         so a replay can be recognised.
         """
         if sort is None:
             sort = self.fmt == "csv"
         prev = self.latest_version()
-        v = 0 if prev is None else prev + 1
+        v = self.next_version()
+        before = self.commit(prev) if prev is not None else {"tables": {}, "tags": []}
 
-        def write_one(table: str, df: DataFrame) -> None:
+        def write_one(table: str, df: DataFrame) -> dict[str, int]:
             schema, keys = S.TABLES[table]
-            out = df.select(*S.columns(schema))
             ordering = [F.col(k).asc_nulls_first() for k in keys]
-            out = out.orderBy(*ordering) if sort else out.sortWithinPartitions(*ordering)
-            path = self.table_path(table, v)
+            out = df.select(*S.columns(schema))
+            path = self._part_path(table, WHOLE, v)
             # version v is not committed, so no reader uses it: a run that
             # died half-way left at most debris here, which is replaced
+            if days is not None and table in DAY_TABLES:
+                (out.withColumn(DAY_COLUMN, pull_day(table)).sortWithinPartitions(DAY_COLUMN, *ordering)
+                 .write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(path))
+                written = {n[len(DAY_COLUMN) + 1:]: v for n in files.names(self.spark, path) if n.startswith(f"{DAY_COLUMN}=")}
+                return {**before["tables"].get(table, {}), **written}
+            out = out.orderBy(*ordering) if sort else out.sortWithinPartitions(*ordering)
             if self.fmt == "csv":
                 write_csv(out, path, mode="overwrite")
             else:
                 out.write.mode("overwrite").parquet(path)
+            return {WHOLE: v}
 
         # the tables are independent jobs: submitted together, the small
         # ones and the large ones' last tasks overlap instead of queueing
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-            for f in [pool.submit(write_one, t, df) for t, df in tables.items()]:
-                f.result()
-        marker = self.spark.createDataFrame([(True, tag)], "committed boolean, tag string")
-        marker.write.mode("errorifexists").parquet(f"{self.root}/_commits/version={v}")
+            parts = {t: pool.submit(write_one, t, df) for t, df in tables.items()}
+            done = {t: f.result() for t, f in parts.items()}
+        marker = {"tables": {**before["tables"], **done}, "tags": before["tags"][-TAGS_KEPT:] + ([tag] if tag else [])}
+        files.write_whole(self.spark, f"{self.root}/_commits/{v}.json", json.dumps(marker))
         return v
-
-
-# ---------------------------------------------------------------------------
-# Day-partitioned store: incremental runs at scale
-# ---------------------------------------------------------------------------
-
-DAY_COLUMN = "pull_day"
-
-# Tables keyed by pull time, stored partitioned by the pull's date; the
-# per-place tables (location, stats) stay small and are versioned whole.
-DAY_TABLES = ("current_temp", "forecast_temp", "merged")
-
-
-def pull_day(table: str):
-    """The partition value: the date of the pull (merged already has it)."""
-    c = F.col("created_date_local")
-    return c if table == "merged" else F.to_date(c)
-
-
-class DayPartitionedStore:
-    """Large tables under ``<root>/<table>/pull_day=<date>/``, small ones versioned.
-
-    A run touches only the pull days of its batch: those partitions are read
-    (partition pruning), upserted and replaced with a dynamic partition
-    overwrite; every other day is neither read nor written. Replacing a
-    day is per-partition, not across tables: a failed run is recovered by
-    running the same batch again (the upsert is idempotent).
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.small = SnapshotStore(spark, f"{self.root}/_versioned")
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def read(self, table: str, days: list | None = None) -> DataFrame | None:
-        if table not in DAY_TABLES:
-            return self.small.read(table)
-        schema = _schema(table)
-        stored = T.StructType(schema.fields + [T.StructField(DAY_COLUMN, T.DateType())])
-        try:
-            df = self.spark.read.schema(stored).parquet(self.path(table))
-        except AnalysisException:
-            return None
-        if days is not None:
-            df = df.where(F.col(DAY_COLUMN).isin(days))
-        return df.select(*S.columns(schema))
-
-    def apply(self, new: dict[str, DataFrame], upsert_fn) -> None:
-        """Upsert each new table; ``upsert_fn(table, old, new) -> DataFrame``."""
-        def replace_days(table: str, df: DataFrame) -> None:
-            # the days of one batch: a handful of dates, bounded by the batch
-            days = [r[0] for r in df.select(pull_day(table).alias("d")).distinct().collect()]
-            old = self.read(table, days)
-            out = upsert_fn(table, old, df).withColumn(DAY_COLUMN, pull_day(table))
-            keys = S.TABLES[table][1]
-            (out.sortWithinPartitions(DAY_COLUMN, *keys).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COLUMN)
-             .parquet(self.path(table)))
-
-        small = {t: upsert_fn(t, self.small.read(t), df) for t, df in new.items()
-                 if t not in DAY_TABLES}
-        # independent jobs, submitted together (see SnapshotStore.write)
-        with ThreadPoolExecutor(max_workers=len(DAY_TABLES)) as pool:
-            for f in [pool.submit(replace_days, t, df) for t, df in new.items() if t in DAY_TABLES]:
-                f.result()
-        if small:
-            self.small.write(small)

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import run_by_day, run_documents
-from ..session import scratch_path
+from ..plans.pipeline import run_documents
 
 
 def document_stream(spark: SparkSession, source_dir: str, multiline: bool = False,
@@ -31,27 +30,23 @@ def document_stream(spark: SparkSession, source_dir: str, multiline: bool = Fals
 
 def start_ingest(spark: SparkSession, source_dir: str, store_root: str,
                  checkpoint_location: str | None = None, mode: str = "quarantine",
-                 multiline: bool = False, on_duplicate: str = "error",
+                 multiline: bool = False, on_duplicate: str = "last",
                  max_files_per_trigger: int | None = None,
                  available_now: bool = True, processing_time: str | None = None,
-                 layout: str = "versioned") -> StreamingQuery:
+                 layout: str = "by_day") -> StreamingQuery:
     """Start the ingestion stream; returns the running query.
 
     ``available_now`` processes what is there and stops (scheduled runs);
-    otherwise a ``processing_time`` trigger keeps it running. With
-    ``layout="by_day"`` each micro-batch rewrites only its pull days (a
-    replayed batch rewrites the same days with the same rows).
+    otherwise a ``processing_time`` trigger keeps it running. The stream's
+    checkpoint is kept in the store unless a place is given, so a restarted
+    stream goes on where it was; a micro-batch that was already committed is
+    recognised by its tag and skipped.
     """
-    checkpoint = checkpoint_location or scratch_path(spark, "ingest-checkpoint")
-    if layout not in ("versioned", "by_day"):
-        raise ValueError(f"layout must be 'versioned' or 'by_day', not {layout!r}")
+    checkpoint = checkpoint_location or f"{store_root.rstrip('/')}/_stream"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if layout == "by_day":
-            run_by_day(batch.sparkSession, batch, store_root, mode, on_duplicate)
-        else:
-            run_documents(batch.sparkSession, batch, store_root, mode, on_duplicate,
-                          tag=f"{checkpoint}#{batch_id}")
+        run_documents(batch.sparkSession, batch, store_root, mode, on_duplicate, layout=layout,
+                      tag=f"{checkpoint}#{batch_id}")
 
     writer = (document_stream(spark, source_dir, multiline, max_files_per_trigger)
               .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
