@@ -14,7 +14,7 @@ def place_stats(merged: DataFrame, order: Column | None = None) -> DataFrame:
 
     "First" means first in input order: the rows' own where they carry it,
     else the pull (its UTC instant, so two pulls of one day stay apart),
-    then the forecast date. The first observation keeps nulls. The hottest day is the pull day when
+    the forecast date and the observation's time. The first observation keeps nulls. The hottest day is the pull day when
     the first observation reaches the highest forecast high, else the first
     forecast date carrying that high.
 
@@ -22,7 +22,7 @@ def place_stats(merged: DataFrame, order: Column | None = None) -> DataFrame:
     place holding a third of all rows sends one partial row per partition.
     """
     if order is None:
-        order = F.col("_order") if "_order" in merged.columns else F.struct("created_date_utc", "forecast_date")
+        order = F.col("_order") if "_order" in merged.columns else F.struct("created_date_utc", "forecast_date", "current_temp_last_updated")
     m = merged.select(*S.PLACE_KEYS, "current_temp_c", "forecast_mintemp_c",
                       "forecast_maxtemp_c", "forecast_avgtemp_c", "created_date_local",
                       "forecast_date", order.alias("_ord"))

@@ -37,10 +37,19 @@ TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 
 # Text patterns.
-INT_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
-DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
-NAIVE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
-AWARE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|z|[+-]\d{2}(:?\d{2})?)$"
+INT_TEXT = r"^\s*[+-]?\d+(_\d+)*(\.0*)?\s*$"
+NUMBER_TEXT = (r"(?i)^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+               r"|^(true|false)$")
+ZONE_TEXT = r"\s*(Z|z|[+-]\d{2}(:?\d{2})?)"
+DATE_TEXT = r"^\d{4}-\d{2}-\d{2}([Tt ]00:00(:00(\.0+)?)?" + ZONE_TEXT + r"?)?$"
+NAIVE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
+AWARE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?" + ZONE_TEXT + "$"
+
+# The field whose zone is another field, so that it must have
+# none itself, and the field that names a zone.
+LOCAL_FIELD, ZONE_FIELD = "localtime", "tz_id"
+# Numbers above this are milliseconds, others seconds since 1970.
+MILLISECONDS_ABOVE, DAY_SECONDS = 2e10, 86400
 
 
 def _get(v: Column, path: str = "$", to: str = "variant") -> Column:
@@ -65,6 +74,28 @@ def _numeric(t: Column) -> Column:
     return t.isin(*INTEGRAL_TYPES, *FLOATING_TYPES) | t.startswith(DECIMAL_PREFIX)
 
 
+def _number(x: Column) -> Column:
+    """The number in a variant: a number, a boolean, or text, whose digits ``_`` may group."""
+    return F.coalesce(_get(x, to="double"), F.replace(_get(x, to="string"), F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def _since_1970(x: Column) -> Column:
+    """Seconds since 1970 in a variant that is a number or numeric text, else null."""
+    d = F.when(_get(x, to="string").rlike(NUMBER_TEXT) & (_type(x) != "BOOLEAN"), _number(x))
+    return F.when(F.abs(d) > MILLISECONDS_ABOVE, d / 1000).otherwise(d)
+
+
+def _wall_clock(seconds: Column) -> Column:
+    """UTC wall clock of seconds since 1970."""
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=F.round(seconds.cast("decimal(38,9)"), 6).cast("decimal(18,6)")))
+
+
+def _known_zones() -> list[str]:
+    from pyspark import SparkContext
+    return sorted(SparkContext._active_spark_context._jvm.java.time.ZoneId.getAvailableZoneIds())
+
+
 def _leaf_ok(x: Column, kind: str, name: str = "") -> tuple[Column, str]:
     """(is acceptable, what was expected) for a present leaf value.
 
@@ -75,11 +106,14 @@ def _leaf_ok(x: Column, kind: str, name: str = "") -> tuple[Column, str]:
     """
     t = _type(x)
     s = _get(x, to="string")
-    d = _get(x, to="double")
+    d = _number(x)
+    if kind == "str" and name == ZONE_FIELD:
+        return (t == "STRING") & s.isin(_known_zones()), "a known time zone"
     if kind == "str":
         return t == "STRING", "a string"
     if kind == "float":
-        return d.isNotNull(), "a number"
+        # the text of a number matches the pattern as numeric text does
+        return d.isNotNull() & s.rlike(NUMBER_TEXT), "a number"
     if kind == "int":
         lo, hi = INT_RANGES[S.leaf_type(name, "int").simpleString()]
         whole = d.isNotNull() & (d == F.floor(d)) & d.between(lo, hi)
@@ -89,11 +123,14 @@ def _leaf_ok(x: Column, kind: str, name: str = "") -> tuple[Column, str]:
         return F.when(t == "STRING", F.lower(s).isin(words)).otherwise(d.isin(0.0, 1.0)), \
             "a boolean"
     if kind == "date":
-        return ((t == "STRING") & s.rlike(DATE_TEXT) & s.try_cast("date").isNotNull()), \
-            "a date (YYYY-MM-DD)"
+        written = (t == "STRING") & s.rlike(DATE_TEXT) & F.substring(s, 1, 10).try_cast("date").isNotNull()
+        return written | F.coalesce(_since_1970(x) % DAY_SECONDS == 0, F.lit(False)), "a date (YYYY-MM-DD)"
     if kind == "datetime":
-        return ((t == "STRING") & s.rlike(NAIVE_DATETIME_TEXT)
-                & s.try_cast("timestamp_ntz").isNotNull()), "a local datetime without zone"
+        written = (t == "STRING") & s.rlike(NAIVE_DATETIME_TEXT) & F.upper(s).try_cast("timestamp_ntz").isNotNull()
+        if name == LOCAL_FIELD:
+            return written, "a local datetime without zone"
+        aware = (t == "STRING") & s.rlike(AWARE_DATETIME_TEXT) & F.upper(s).try_cast("timestamp").isNotNull()
+        return written | aware | _since_1970(x).isNotNull(), "a datetime"
     raise ValueError(kind)
 
 
@@ -121,7 +158,7 @@ def _leaf_problem(x: Column, kind: str, prefix: Column, name: str = "") -> Colum
     """Null, or the one problem of leaf variant ``x``."""
     ok, expected = _leaf_ok(x, kind, name)
     out = F.when(_missing(x), _msg(prefix, ": missing"))
-    if kind == "datetime":
+    if name == LOCAL_FIELD:
         aware = _numeric(_type(x)) | ((_type(x) == "STRING")
                                       & _get(x, to="string").rlike(AWARE_DATETIME_TEXT))
         out = out.when(aware, _msg(prefix, ": timezone-aware datetime"))
@@ -180,16 +217,24 @@ def _leaf_typed(x: Column, spec: str, name: str) -> Column:
     if spec == "str":
         return _get(x, to="string")
     if spec == "float":
-        return _get(x, to="double")
+        return _number(x)
     if spec == "int":
-        return _get(x, to="decimal(38,10)").cast(S.leaf_type(name, "int"))
+        plain = F.replace(_get(x, to="string"), F.lit("_"), F.lit("")).try_cast("decimal(38,10)")
+        return F.coalesce(_get(x, to="decimal(38,10)"), plain).cast(S.leaf_type(name, "int"))
     if spec == "bool":
         return F.when(_type(x) == "STRING", F.lower(_get(x, to="string")).isin(list(TRUE_WORDS))) \
             .otherwise(_get(x, to="double") != 0)
     if spec == "date":
-        return _get(x, to="string").try_cast("date")
+        written = F.substring(_get(x, to="string"), 1, 10)
+        return F.when(written.rlike(r"^\d{4}-\d{2}-\d{2}$"), written.try_cast("date")) \
+            .otherwise(F.date_from_unix_date((_since_1970(x) / DAY_SECONDS).cast("int")))
     if spec == "datetime":
-        return _get(x, to="string").try_cast("timestamp_ntz")
+        s = F.upper(_get(x, to="string"))
+        naive = F.when(s.rlike(NAIVE_DATETIME_TEXT), s.try_cast("timestamp_ntz"))
+        if name == LOCAL_FIELD:
+            return naive
+        aware = F.when(s.rlike(AWARE_DATETIME_TEXT), F.unix_micros(s.try_cast("timestamp")) / 1e6)
+        return F.coalesce(naive, _wall_clock(F.coalesce(aware, _since_1970(x))))
     raise ValueError(spec)
 
 
