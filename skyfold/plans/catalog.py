@@ -188,19 +188,13 @@ def queries() -> dict[str, Query]:
 
 
 # ---------------------------------------------------------------------------
-# Document path, files and snapshots. Inputs are written once per session to
-# the shared folder from the driver's tables, then read back by the library.
+# Document path, files and snapshots. Inputs are written to a new folder of the
+# shared one from the driver's tables, then read back by the library.
 # ---------------------------------------------------------------------------
 
-_written: dict[tuple, str] = {}
-
-
 def _documents(spark: SparkSession, sf: str) -> str:
-    from ..session import scratch_path, shared_dir
-    key = ("docs", shared_dir(spark), sf)
-    if key not in _written:
-        _written[key] = D.write_documents(spark, sf, scratch_path(spark, "documents"))
-    return _written[key]
+    from ..session import scratch_path
+    return D.write_documents(spark, sf, scratch_path(spark, "documents"))
 
 
 def _records(spark, sf):
@@ -264,14 +258,11 @@ def q_flatten(spark, sf):
 
 
 def _merged_csv(spark, sf) -> str:
-    from ..session import scratch_path, shared_dir
+    from ..session import scratch_path
     from ..sources.snapshots import write_csv
-    key = ("csv", shared_dir(spark), sf)
-    if key not in _written:
-        path = scratch_path(spark, "merged-csv")
-        write_csv(_merged(spark, sf), path)
-        _written[key] = path
-    return _written[key]
+    path = scratch_path(spark, "merged-csv")
+    write_csv(_merged(spark, sf), path)
+    return path
 
 
 def q_csv_roundtrip(spark, sf):
