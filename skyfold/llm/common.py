@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -24,6 +25,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ddl(schema: StructType) -> str:
+    """A schema as text, whatever its columns are called."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+
+
 def workers_import_us(spark: SparkSession) -> None:
     """Let Python workers import this package when it is not installed."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -8,10 +8,15 @@ Overlapping later windows merge as they cover the same positions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import ddl, stage, workers_import_us
 
 #: lines in a window
 WINDOW = 3
@@ -61,18 +66,36 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     keys = ["doc_id", "_print", "_length"]
     right = later.select(*[F.col(k).alias(f"r{k}") for k in keys], "_at")
     same = [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in keys]
-    joined = _keyed(docs.select(*own)).join(right, same, "left")
-    marked = (joined.withColumn("_lines", F.split("text", "\n"))
-              .withColumn("_solid", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1),
-                                             lambda p: F.trim(F.get("_lines", p)) != ""))
-              .withColumn("_covered", F.array_distinct(F.flatten(F.transform(
-                  "_at", lambda w: F.slice("_solid", w + 1, size)))))
-              .withColumn("_kept", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_covered")))
-    cut = F.array_join(F.transform("_kept", lambda p: F.get("_lines", p)), "\n")
-    return marked.select(
-        *[(F.when(F.col("_at").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else c) for c in own],
-        F.coalesce(F.size("_solid"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"))
+    solid = F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
+    joined = _keyed(docs.select(*own)).join(right, same, "left").select(
+        *own, F.coalesce(solid, F.lit(0)).cast("long").alias("n_lines"), "_at")
+    text_at = own.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns
+            at = columns.pop()
+            gone = np.zeros(len(batch), np.int64)
+            if at.null_count < len(at):
+                rows = pc.indices_nonzero(pc.is_valid(at)).to_pylist()
+                texts = []
+                for row, text, places in zip(rows, columns[text_at].take(pa.array(rows)).to_pylist(), at.take(pa.array(rows)).to_pylist()):
+                    text, gone[row] = _without(text, places, size)
+                    texts.append(text)
+                columns[text_at] = pc.replace_with_mask(columns[text_at], pc.is_valid(at), pa.array(texts, columns[text_at].type))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone)], names=[*own, "n_lines", "n_removed"])
+
+    workers_import_us(docs.sparkSession)
+    return joined.mapInArrow(work, f"{ddl(docs.select(*own).schema)}, n_lines long, n_removed long")
+
+
+def _without(text: str, places: list[int], size: int) -> tuple[str, int]:
+    """A text without the windows that begin at ``places`` (of its lines that are
+    not blank), and how many lines they cover together."""
+    parts = text.split("\n")
+    solid = [i for i, x in enumerate(parts) if x.strip(" ")]
+    covered = {solid[p + k] for p in places for k in range(size)}
+    return "\n".join(x for i, x in enumerate(parts) if i not in covered), len(covered)
 
 
 ORACLE = f"""

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, text_buffer, workers_import_us
+from .common import ddl, mix64, slices, text_buffer, workers_import_us
 
 #: longest context in bytes; labelled text learned from, in bytes: per language
 #: (its share of hashes is chosen for it) and over all languages together
@@ -206,9 +206,7 @@ def predict(docs: DataFrame, model: CodeLengths | None) -> DataFrame:
                     [*part.columns[:len(own)], names.take(pa.array(np.where(lettered, best, len(m.languages)))),
                      pa.array(score), pa.array(rate, mask=size == 0)], names=[*own, "lang_pred", "score", "bits_per_byte"])
 
-    schema = docs.select(*own).schema
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
-    return docs.select(*own, letters.alias("_letters")).mapInArrow(work, f"{fields}, {added}")
+    return docs.select(*own, letters.alias("_letters")).mapInArrow(work, f"{ddl(docs.select(*own).schema)}, {added}")
 
 
 def held_out() -> Column:
