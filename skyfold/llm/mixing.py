@@ -20,6 +20,8 @@ from .common import WHITE, stage
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: bits of the hash that a refinement looks at, of 63
 BITS, ALL_BITS = 12, 63
+#: sources up to which their thresholds (a few numbers each) are broadcast
+FEW_SOURCES = 10_000
 
 
 def _order(column: str) -> list[Column]:
@@ -107,15 +109,25 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0))))
         .withColumn("budget", F.round("target").cast("long") - F.col("base") * F.col("source_size")), "targets")
     edges = _thresholds(rows, goal).withColumnRenamed("source", "s")
-
-    goal = goal.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    full = sized.join(goal, F.col("source").eqNullSafe(F.col("s")))
-    below = F.when(F.col("edge").isNull(), (F.col("budget") > 0).cast("long")).otherwise((F.col("h") < F.col("edge")).cast("long"))
-    plain = full.where("edge is null or h <> edge or size = 0").withColumn("taken", (F.col("base") + below) * F.col("size"))
-    tie = Window.partitionBy("s", "h").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    at_edge = (full.where("h = edge and size > 0")
-               .withColumn("before", F.coalesce(F.sum("size").over(tie), F.lit(0)))
-               .withColumn("taken", F.col("base") * F.col("size")
-                           + F.greatest(F.lit(0), F.least("size", F.expr("owed - before"))))
-               .drop("before"))
-    return plain.unionByName(at_edge).select("doc.*", "size", "source_size", "target", "taken")
+    goal = stage(goal.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "goal")
+    # one row a source; sent to every task while there are few, else joined by shuffles
+    small = goal.count() <= FEW_SOURCES
+    full = sized.join(F.broadcast(goal) if small else goal, F.col("source").eqNullSafe(F.col("s")))
+
+    def taken(at_edge: Column) -> Column:
+        more = (F.when(F.col("edge").isNull(), (F.col("budget") > 0).cast("long") * F.col("size"))
+                .when(F.col("h") < F.col("edge"), F.col("size")).when(F.col("h") == F.col("edge"), at_edge)
+                .otherwise(F.lit(0).cast("long")))
+        return F.col("base") * F.col("size") + more
+
+    tied = (rows.where("size > 0").withColumnRenamed("source", "s")
+            .join(goal, F.col("source").eqNullSafe(F.col("s")) & F.expr("h = edge"))
+            .groupBy("source").count().where("count > 1").take(1))
+    if not tied:  # one row at each edge
+        out = full.withColumn("taken", taken(F.least("size", "owed")))
+    else:
+        turn = Window.partitionBy("s", "h").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+        edge = (full.where("h = edge").withColumn("before", F.coalesce(F.sum("size").over(turn), F.lit(0)))
+                .withColumn("taken", taken(F.greatest(F.lit(0), F.least("size", F.expr("owed - before"))))).drop("before"))
+        out = full.where("edge is null or h <> edge").withColumn("taken", taken(F.lit(0))).unionByName(edge)
+    return out.select("doc.*", "size", "source_size", "target", "taken")
