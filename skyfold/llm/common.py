@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from ..session import scratch_path
 #: ASCII white space that separates words: space and \x09-\x0D
 WHITE = "\\x20\\x09-\\x0D"
 #: texts are worked on in slices of about this many bytes, cut between documents
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -39,6 +41,18 @@ def workers_import_us(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` that gives memory it no longer uses back when its task ends: a worker
+    waits beside its executor's others, and what its allocators keep counts there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # glibc only
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: work is done once,
     and lost executors cost only the tasks they were running."""

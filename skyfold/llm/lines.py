@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ddl, stage, workers_import_us
+from .common import ddl, lean, stage, workers_import_us
 
 #: lines in a window
 WINDOW = 3
@@ -86,7 +86,7 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(gone)], names=[*own, "n_lines", "n_removed"])
 
     workers_import_us(docs.sparkSession)
-    return joined.mapInArrow(work, f"{ddl(docs.select(*own).schema)}, n_lines long, n_removed long")
+    return joined.mapInArrow(lean(work), f"{ddl(docs.select(*own).schema)}, n_lines long, n_removed long")
 
 
 def _without(text: str, places: list[int], size: int) -> tuple[str, int]:

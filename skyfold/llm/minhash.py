@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (components, group_pairs, in_blocks, mix64, slices, span_hashes, stage, text_buffer,
+from .common import (components, group_pairs, in_blocks, lean, mix64, slices, span_hashes, stage, text_buffer,
                      whole_groups, word_spans, workers_import_us)
 
 #: words in a shingle, and the least similarity of a link in hundredths
@@ -185,7 +185,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS, words:
                 row += n
 
     workers_import_us(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work), _SKETCH)
 
 
 def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -197,7 +197,7 @@ def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
                                                  names=["doc_id", "set_a", "set_b", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        work, "doc_id long, set_a long, set_b long, shingles array<long>")
+        lean(work), "doc_id long, set_a long, set_b long, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -234,7 +234,7 @@ def _likely_pairs(rows: DataFrame, percent: int, bands: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return (rows.select("key", "own", "cross", "band", "cid", "c", "n", "ranks")
-            .repartition("key").sortWithinPartitions("key").mapInArrow(work, "a long, b long"))
+            .repartition("key").sortWithinPartitions("key").mapInArrow(lean(work), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = BAND_ROWS,
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
     merged = components(links.unionAll(others)).withColumnRenamed("id", "cid")
     owner = classes.join(merged, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
-    least = owner.groupBy("root").agg(F.min("low").alias("component_id"))
+    least = stage(owner.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
     named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id"), "components")
     return (sketch.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),

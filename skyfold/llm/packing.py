@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage, text_buffer, workers_import_us
-from .tokens import decoded, unit_ids
+from .common import lean, slices, stage, text_buffer, workers_import_us
+from .tokens import LEARN_BYTES, decoded, unit_ids
 
 #: tokens in a sequence, pieces up to which a rest is not halved again, and windows in a group
 CAPACITY, LEAST_PIECE, GROUP_WINDOWS = 2048, 64, 128
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             ids = batch.column(0).to_pylist()
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, LEARN_BYTES):
                 texts = [book.units(t) for t in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])]
                 get = book.learn(set().union(*texts)).__getitem__
                 rows = []
@@ -74,7 +74,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "deal"])
 
     workers_import_us(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work), _PIECES)
 
 
 def difference(sizes: np.ndarray, k: int) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ddl, mix64, slices, text_buffer, workers_import_us
+from .common import ddl, lean, mix64, slices, text_buffer, workers_import_us
 
 #: longest context in bytes; labelled text learned from, in bytes: per language
 #: (its share of hashes is chosen for it) and over all languages together
@@ -167,7 +167,7 @@ def learn(docs: DataFrame, per_language: int = TRAIN_BYTES, total: int = TRAIN_T
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)),
                                                       pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
-    counts = (chosen.select("lang", "text").mapInArrow(work, "lang string, gram long, n long")
+    counts = (chosen.select("lang", "text").mapInArrow(lean(work), "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     by = {k: (g["gram"].to_numpy().astype(np.uint32), g["n"].to_numpy()) for k, g in counts.groupby("lang")}
     names = sorted(by)
@@ -206,7 +206,7 @@ def predict(docs: DataFrame, model: CodeLengths | None) -> DataFrame:
                     [*part.columns[:len(own)], names.take(pa.array(np.where(lettered, best, len(m.languages)))),
                      pa.array(score), pa.array(rate, mask=size == 0)], names=[*own, "lang_pred", "score", "bits_per_byte"])
 
-    return docs.select(*own, letters.alias("_letters")).mapInArrow(work, f"{ddl(docs.select(*own).schema)}, {added}")
+    return docs.select(*own, letters.alias("_letters")).mapInArrow(lean(work), f"{ddl(docs.select(*own).schema)}, {added}")
 
 
 def held_out() -> Column:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK, components, group_pairs, in_blocks, mix64, stage, whole_groups, workers_import_us
+from .common import BLOCK, components, group_pairs, in_blocks, lean, mix64, stage, whole_groups, workers_import_us
 from .vectors import classes, matrix, rotation
 
 #: least cosine of a link, deviations within a bound, chance to miss a pair at
@@ -164,12 +164,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
             names=["cid", "links", "root"])
 
     told = stage(loaded.repartition("key").sortWithinPartitions("key")
-                 .mapInArrow(work, "cid long, links long, root long"), "links")
+                 .mapInArrow(lean(work), "cid long, links long, root long"), "links")
     counted = told.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(told.select(F.col("cid").alias("a"), F.col("root").alias("b")).where("a <> b").distinct())
     owner = (table.select("cid", "low", "size").join(joined.withColumnRenamed("id", "cid"), "cid", "left")
              .select("cid", "low", "size", F.coalesce("component", "cid").alias("component")))
-    least = owner.groupBy("component").agg(F.min("low").alias("component_id"))
+    least = stage(owner.groupBy("component").agg(F.min("low").alias("component_id")), "roots")
     named = (members.join(owner.join(least, "component").drop("low"), "cid").join(counted, "cid", "left")
              .select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
              .groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")))

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, slices, stage, text_buffer, workers_import_us
+from .common import WHITE, lean, slices, stage, text_buffer, workers_import_us
 
 #: ASCII and precomposed Latin letters: their lower case, normal form and letter
 #: class are the same in every Unicode version
@@ -31,8 +31,9 @@ WORDS = re.compile(f"[^{WHITE}]+")
 #: pre-tokens of lower-cased plain text (fixed by the vocabulary file)
 PRE_TOKENS = re.compile(f"[a-z{_LATIN}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^a-z0-9{_LATIN}{WHITE}]+")
 SPECIAL = "<|"
-#: units kept in each of a worker's two generations, and pre-tokens asked of the library at once
-KEPT_UNITS, ASKED = 250_000, 500
+#: units kept in each of a worker's two generations, pre-tokens asked of the library
+#: at once, and bytes of text whose units are learned together
+KEPT_UNITS, ASKED, LEARN_BYTES = 300_000, 500, 4 << 20
 
 _books: dict[str, "UnitIds"] = {}
 
@@ -137,7 +138,7 @@ def _frequencies(docs: DataFrame, common: dict[str, int]) -> DataFrame:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, LEARN_BYTES):
                 sums, units, counts, bounds = [], [], [], [0]
                 for text in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]):
                     tokens = 0
@@ -159,7 +160,7 @@ def _frequencies(docs: DataFrame, common: dict[str, int]) -> DataFrame:
                     names=["doc_id", "row", "n_bytes", "common", "units", "counts"])
                 row += n
 
-    return docs.mapInArrow(work, "doc_id long, row long, n_bytes long, common long, "
+    return docs.mapInArrow(lean(work), "doc_id long, row long, n_bytes long, common long, "
                                  "units array<string>, counts array<int>")
 
 
@@ -173,7 +174,7 @@ def _piece_counts(units: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(ids[u]) // 4 for u in listed], pa.int32())], names=["unit", "pieces"])
 
-    return units.mapInArrow(work, "unit string, pieces int")
+    return units.mapInArrow(lean(work), "unit string, pieces int")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
