@@ -9,6 +9,7 @@ left whose windows are nearly equal. If a window is beyond the capacity, k rises
 
 from __future__ import annotations
 
+import gc
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -53,16 +54,16 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
     """All pieces of all documents; full ones already have a sequence of their own."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = unit_ids(path)
+        gc.disable()  # lists of many strings, none of them cyclic: each pass would walk them all
         task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             ids = batch.column(0).to_pylist()
             for lo, hi in slices(offsets, LEARN_BYTES):
                 texts = [book.units(t) for t in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])]
-                get = book.learn(set().union(*texts)).__getitem__
                 rows = []
-                for i, units in enumerate(texts, lo):
-                    stream = b"".join(map(get, units)) + END
+                for i, ids_ in enumerate(book.streams(texts), lo):
+                    stream = ids_ + END
                     n = len(stream) // 4
                     for start, length in cuts(n, capacity, least):
                         code = (task << 33) + serial
@@ -72,6 +73,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*rows)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "deal"])
+        gc.enable()
 
     workers_import_us(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work), _PIECES)

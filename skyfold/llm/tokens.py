@@ -81,6 +81,7 @@ class UnitIds:
 
     def learn(self, units: set[str]) -> dict[str, bytes]:
         """Ids of all ``units``; the table returned holds at least these."""
+        collects = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and each pass would walk the whole table
         try:
             if len(self.new) > self.kept:
@@ -98,7 +99,20 @@ class UnitIds:
             new.update(zip(parts, self._of_parts(parts), strict=True))
             return new
         finally:
-            gc.enable()
+            if collects:
+                gc.enable()
+
+
+    def streams(self, texts: list[list[str]]) -> Iterator[bytes]:
+        """Ids of every text, given as its units: looked up once, new units learned together."""
+        get = self.new.get
+        found = [list(map(get, units)) for units in texts]
+        holes = [[i for i, ids in enumerate(f) if ids is None] if None in f else () for f in found]
+        ids = self.learn({units[i] for units, h in zip(texts, holes) for i in h})
+        for units, f, h in zip(texts, found, holes):
+            for i in h:
+                f[i] = ids[units[i]]
+            yield b"".join(f)
 
 
 def unit_ids(path: str) -> UnitIds:
