@@ -4,11 +4,14 @@ A text is cut into sentences and each is normalised; sentences known from
 licences become identifiers, all others are dropped. Rules, in order, are then
 matched against the sequence of identifiers, and what a rule matches is taken
 out before the next one, so a shorter licence is not found inside a longer one.
-Everything is DataFrame expressions.
+A known sentence whose published wording is itself cut, by a stop inside, is
+known as the run of its pieces. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +122,37 @@ RULES = [
 #: identifiers that stand between a licence's sentences without being part of it
 NEUTRAL = ["AllRights"]
 
+#: published wordings of known sentences that the patterns below cut into several pieces
+PUBLISHED = [
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+    "later version.",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any "
+    "later version.",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+    "later version.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any "
+    "later version.",
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at\n\n    http://mozilla.org/MPL/2.0/.",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at\n\n    https://mozilla.org/MPL/2.0/.",
+    "License: MIT",
+    *[f"SPDX-License-Identifier: {name}" for name in (
+        "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+        "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "MPL-2.0", "CC0-1.0")],
+]
+
 #: sentences end at a stop before white space; a line of its own, such as a title,
 #: ends at its line break; other line breaks may be wrapped lines
 WHITE_SPACE = "[\\x20\\x09-\\x0D]"
@@ -127,11 +161,34 @@ BREAKS = {"line": f"(?:{STOP}|\\n)", "wrapped": f"(?:{STOP}|\\n{WHITE_SPACE}*\\n
 MARK = "\x01"
 
 
+def _normal(text: str) -> str:
+    return re.sub("[^A-Za-z0-9]+", " ", text).lower().strip()
+
+
+def _runs(by: dict[str, str]) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Codes of the known sentences and of the pieces of cut ones, and the runs of
+    codes that stand for a sentence, each with its identifier, the longest first."""
+    codes, runs = dict(by), {}
+    for wording in PUBLISHED:
+        if _normal(wording) in by:
+            pieces = [p for p in map(_normal, re.split(BREAKS["wrapped"], wording)) if p]
+            run = [codes.setdefault(p, f"#{len(codes)}") for p in pieces]
+            runs["," + ",,".join(run) + ","] = by[_normal(wording)]
+    return codes, sorted(runs.items(), key=lambda r: (-r[0].count(","), r[0]))
+
+
 def _identifiers(text: Column, by: dict[str, str], breaks: str) -> Column:
-    """The identifiers of a text's known sentences, in order."""
+    """The identifiers of a text's known sentences, in order; the pieces of a cut one
+    count where they follow each other with nothing between."""
+    codes, runs = _runs(by)
     sentences = F.split(F.lower(F.regexp_replace(F.regexp_replace(text, breaks, MARK), f"[^A-Za-z0-9{MARK}]+", " ")), MARK)
-    known = F.create_map(*[F.lit(x) for s, i in by.items() for x in (s, i)])
-    return F.filter(F.transform(sentences, lambda s: F.element_at(known, F.trim(s))), lambda i: i.isNotNull())
+    known = F.create_map(*[F.lit(x) for s, i in codes.items() for x in (s, i)])
+    some = F.filter(F.transform(sentences, lambda s: F.trim(s)), lambda s: s != "")
+    joined = F.array_join(F.transform(some, lambda s: F.coalesce(F.element_at(known, s), F.lit("#"))), ",,")
+    joined = F.concat(F.lit(","), joined, F.lit(","))
+    for run, identifier in runs:
+        joined = F.replace(joined, F.lit(run), F.lit(f",{identifier},"))
+    return F.filter(F.split(joined, ","), lambda i: (i != "") & ~i.startswith("#"))
 
 
 def _matched(identifiers: Column, rules) -> tuple[Column, Column]:
@@ -151,7 +208,8 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
 
     Both ways of reading line breaks are scanned: with each as a sentence's end,
     and with single ones as wrapped lines. The one that knows more sentences
-    decides, at a tie the first. Only texts with a word that all known sentences
+    decides, at a tie the first. A sentence of ``PUBLISHED`` is known by its pieces
+    as well as whole. Only texts with a word that all known sentences
     of a kind share are cut up; that test is exact, as it holds for every one.
 
     Defined cases: null and empty texts, and texts without known sentences, give
