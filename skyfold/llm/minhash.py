@@ -209,13 +209,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _likely_pairs(rows: DataFrame, percent: int, bands: int) -> DataFrame:
-    """Pairs ``a, b`` within the groups of ``rows(key, own, cross, band, cid, c, n, ranks)`` that lie
+def _likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` within the groups of ``rows(key, own, cross, band, cid, c, n, ranks, bands)`` that lie
     in different components ``c`` and whose ranks don't rule a link out.
 
     The share of equal ranks estimates the similarity with a deviation of at
     most ``sqrt(p (1 - p) / m)``; pairs more than DEVIATIONS below the threshold
-    are left. A pair is looked at in the first band it shares.
+    are left. A pair is looked at in the first band it shares, by the full keys of the
+    bands: with a byte of every rank, bands that differ can look shared.
     """
     p = percent / 100
 
@@ -223,17 +224,18 @@ def _likely_pairs(rows: DataFrame, percent: int, bands: int) -> DataFrame:
         for t in whole_groups(batches):
             key, own, cross, band, cid, c, n = (t.column(k).to_numpy() for k in range(7))
             ranks = np.stack([np.frombuffer(r, np.uint8) for r in t.column(7).to_pylist()])
+            keys = t.column(8).combine_chunks().flatten().to_numpy().reshape(len(ranks), -1)
             least = p - DEVIATIONS * math.sqrt(p * (1 - p) / ranks.shape[1])
             for i, j in group_pairs(key, own, cross):
                 ok = (c[i] != c[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
                 i, j = i[ok], j[ok]
-                same = ranks[i] == ranks[j]
-                first = same.reshape(len(i), bands, ranks.shape[1] // bands).all(axis=2).argmax(axis=1)
-                ok = (same.mean(axis=1) >= least) & (first == band[i])
+                ok = (ranks[i] == ranks[j]).mean(axis=1) >= least
+                i, j = i[ok], j[ok]
+                ok = (keys[i] == keys[j]).argmax(axis=1) == band[i]
                 a, b = cid[i[ok]], cid[j[ok]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return (rows.select("key", "own", "cross", "band", "cid", "c", "n", "ranks")
+    return (rows.select("key", "own", "cross", "band", "cid", "c", "n", "ranks", "bands")
             .repartition("key").sortWithinPartitions("key").mapInArrow(lean(work), "a long, b long"))
 
 
@@ -273,9 +275,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     owned = (shared.join(found.withColumnRenamed("id", "cid"), "cid", "left")
              .select("bucket", "band", "cid", "n", F.coalesce("component", "cid").alias("c")))
     open_ = owned.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
-    ranks = sketch.select(F.col("row").alias("cid"), "ranks")
+    ranks = sketch.select(F.col("row").alias("cid"), "ranks", "bands")
     dealt = in_blocks(owned.join(open_, "bucket"), "cid").join(ranks, "cid")
-    others = stage(_confirmed(_likely_pairs(dealt, percent, bands), sets, percent), "links")
+    others = stage(_confirmed(_likely_pairs(dealt, percent), sets, percent), "links")
 
     merged = components(links.unionAll(others)).withColumnRenamed("id", "cid")
     owner = classes.join(merged, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
