@@ -15,14 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ddl, lean, mix64, slices, text_buffer, workers_import_us
+from .common import ddl, lean, mix64, slices, stage, text_buffer, workers_import_us
 
 #: longest context in bytes; labelled text learned from, in bytes: per language
-#: (its share of hashes is chosen for it) and over all languages together
+#: (texts in hash order up to it) and over all languages together
 ORDER, TRAIN_BYTES, TRAIN_TOTAL = 3, 4 << 20, 32 << 20
+#: bits of a text's hash that a step of choosing looks at, of 60
+BITS, ALL_BITS = 12, 60
 #: one document of so many is held out of learning
 FOLDS = 5
 UNKNOWN = "und"
@@ -137,21 +139,55 @@ class CodeLengths:
         return out
 
 
+def _edges(sizes: DataFrame, per_language: int, total: int) -> dict[str, tuple[int, int]]:
+    """For every label of ``sizes(lang, h, size)`` the hash at which its budget runs out and
+    the bytes left for that text. The bucket of hashes that holds it is refined, as in mixing."""
+    done, budget, out, low = 0, None, {}, {}
+    while done < ALL_BITS:
+        shift = ALL_BITS - done - BITS
+        inside = sizes
+        if low:  # only the bucket in which a label's budget runs out
+            prefix = F.element_at(F.create_map(*[F.lit(x) for k, v in low.items() for x in (k, v[0])]), F.col("lang"))
+            inside = sizes.where(F.col("lang").isin(*low)).where(F.shiftright("h", shift + BITS) == prefix)
+        hist = (inside.groupBy("lang", F.shiftright("h", shift).alias("bucket"))
+                .agg(F.sum("size").alias("b"), F.min("h").alias("lo"), F.max("h").alias("hi")))
+        if budget is None:
+            budget = min(per_language, total // max(1, sizes.select("lang").distinct().count()))
+        owed = (F.element_at(F.create_map(*[F.lit(x) for k, v in low.items() for x in (k, v[1])]), F.col("lang"))
+                if low else F.lit(max(1, budget)))
+        by = Window.partitionBy("lang").orderBy("bucket")
+        # the bucket in which the budget runs out, or else the last
+        rows = (hist.withColumn("sofar", F.coalesce(F.sum("b").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("owed", owed).where("sofar < owed").groupBy("lang")
+                .agg(F.max(F.struct("bucket", F.expr("owed - sofar").alias("left"), "lo", "hi")).alias("e"))
+                .select("lang", "e.*").collect())
+        low = {r.lang: (r.bucket, r.left) for r in rows if r.lo < r.hi}
+        out |= {r.lang: (r.hi, r.left) for r in rows if r.lo == r.hi}
+        done += BITS
+        if not low:
+            break
+    return out
+
+
 def learn(docs: DataFrame, per_language: int = TRAIN_BYTES, total: int = TRAIN_TOTAL) -> CodeLengths | None:
     """Trees of every label of ``docs(lang, text)``.
 
-    Learned from a share of each language's texts, chosen by the hash of the
-    text, that holds about ``per_language`` bytes (less where there are so many
-    languages that ``total`` would be passed). So what reaches the driver is
-    bounded: at most one gram a byte.
+    Learned from each language's distinct texts in the order of their hashes, up
+    to ``per_language`` bytes (less where there are so many languages that
+    ``total`` would be passed); of the text that passes the budget, only as many
+    of its first characters as there are bytes left, but one at least. So every
+    label with a text is learned, and what reaches the driver is bounded: at
+    most one gram a byte.
     """
-    sizes = {r.lang: r.b for r in docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).collect() if r.b}
-    if not sizes:
+    hashed = docs.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0)).withColumn(
+        "h", F.xxhash64("text").bitwiseAND(F.lit((1 << ALL_BITS) - 1)))
+    sizes = stage(hashed.groupBy("lang", "h").agg(F.max(F.octet_length("text")).cast("long").alias("size")), "texts")
+    edges = _edges(sizes, per_language, total)
+    if not edges:
         return None
-    budget = min(per_language, total // len(sizes))
-    share = F.element_at(F.create_map(*[F.lit(x) for k, b in sizes.items() for x in (k, min(1.0, budget / b))]), F.col("lang"))
-    chosen = docs.where(F.col("lang").isin(*sizes)).where(
-        F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    of = lambda k: F.element_at(F.create_map(*[F.lit(x) for lang, e in edges.items() for x in (lang, e[k])]), F.col("lang"))
+    chosen = (hashed.select("lang", "h", "text", of(0).alias("edge"), of(1).cast("int").alias("left")).where("h <= edge")
+              .select("lang", "h", F.expr("if(h = edge, left(text, left), text)").alias("text")).distinct())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
