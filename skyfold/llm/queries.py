@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
+from . import bpe, graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
 from .common import read_table
 
 
@@ -67,6 +67,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and the texts decoded from them, as digests."""
+    coded = bpe.encode(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"),
+                       bpe.vocabulary_path(), decoded="back")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
