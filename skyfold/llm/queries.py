@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
+from . import bpe, centroids, graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
 from .common import read_table
 
 
@@ -67,6 +67,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings of 64 components."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))[0]
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, and the texts decoded from them, as digests."""
     coded = bpe.encode(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"),
@@ -82,4 +87,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.oracle(), "op9_line_dedup": lines.ORACLE}
+    return {"op1_license_scan": licenses.oracle(), "op9_line_dedup": lines.ORACLE,
+            "op12_centroid_clusters": centroids.oracle()}
