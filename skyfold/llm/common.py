@@ -101,12 +101,13 @@ _IS_WHITE = np.zeros(256, dtype=bool)
 _IS_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends (exclusive) and document numbers of all words."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, solid: np.ndarray = ~_IS_WHITE
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends (exclusive) and document numbers of all words, runs of ``solid`` bytes."""
     if len(raw) == 0:
         empty = np.empty(0, np.int64)
         return empty, empty, empty
-    solid = ~_IS_WHITE[raw]
+    solid = solid[raw]
     first = np.zeros(len(raw) + 1, dtype=bool)
     first[offsets] = True
     start = solid.copy()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, centroids, graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
+from . import bitslices, bpe, centroids, graph, licenses, lines, minhash, mixing, packing, ppm, rabitq, secrets, tokens
 from .common import read_table
 
 
@@ -67,6 +67,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring of all documents for every benchmark item."""
+    return bitslices.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all embeddings of 64 components."""
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"))[0]
@@ -88,4 +93,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": licenses.oracle(), "op9_line_dedup": lines.ORACLE,
-            "op12_centroid_clusters": centroids.oracle()}
+            "op11_ranked_search": bitslices.ORACLE, "op12_centroid_clusters": centroids.oracle()}
