@@ -9,6 +9,7 @@ Everything is DataFrame expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -33,20 +34,24 @@ class Rule(NamedTuple):
         return f"{self.kind}/{self.version}"
 
 
-#: fixed values: the base kinds in their order, then formats of tokens that services document
+#: fixed values: the base kinds in their order, then formats of tokens that services document.
+#: Nothing repeats but single characters, and what is looked for again from many places has a
+#: bound: other patterns overflow the stack, or take quadratic time, on hostile texts
 BASE = [
     Rule("assign", 1, r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20, "akia"),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 ]
 EXTRA = [
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", hint="private key-----"),
+    Rule("private_key", 2, r"-----BEGIN [A-Z ]{0,64}PRIVATE KEY-----", hint="private key-----"),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", hint="gh"),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", hint="xox"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", hint="eyj"),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{10,1000}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", hint="eyj"),
     Rule("google", 1, r"AIza[A-Za-z0-9_-]{35}", hint="aiza"),
 ]
 RULES = [*BASE, *EXTRA]
+#: matches of a text whose places are listed at a time
+RUN = 256
 
 _SPANS = "array<struct<start:long,at:int,kind:string,end:long>>"
 
@@ -65,16 +70,33 @@ def spans(text: Column, rule: Rule, at: int) -> Column:
     kept = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     pieces = F.arrays_zip(F.slice(F.split(text, rule.pattern, -1), 1, F.size(found)).alias("gap"),
                           found.alias("match"), kept.alias("kept"))
-    start = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast(_SPANS).alias("out"))
+    lengths = F.transform(pieces, lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["match"]).alias("match"),
+                                                     (F.length(p["kept"]) >= rule.least).alias("ok")))
+    none = F.array().cast(_SPANS)
 
     def step(state: Column, piece: Column) -> Column:
-        begin = state["pos"] + F.length(piece["gap"])
-        end = begin + F.length(piece["match"])
+        begin = state["pos"] + piece["gap"]
+        end = begin + piece["match"]
         span = F.struct(begin.alias("start"), F.lit(at).alias("at"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("pos"), F.when(F.length(piece["kept"]) >= rule.least, F.concat(state["out"], F.array(span)))
+        return F.struct(end.alias("pos"), F.when(piece["ok"], F.concat(state["out"], F.array(span)))
                         .otherwise(state["out"]).alias("out"))
 
-    return F.when(hit, F.aggregate(pieces, start, step)["out"]).otherwise(F.array().cast(_SPANS))
+    # lists grow by copying, so they are made a run of matches at a time, each from where the runs before it end
+    def placed(all_: Column) -> Column:
+        runs = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / RUN).cast("int"))
+        run = lambda c: F.slice(all_, c * RUN + 1, F.lit(RUN))
+        zero = F.lit(0).cast("long")
+        ends = F.transform(runs, lambda c: F.aggregate(run(c), zero, lambda a, p: a + p["gap"] + p["match"]))
+        return _let(ends, lambda e: F.flatten(F.transform(runs, lambda c: F.aggregate(
+            run(c), F.struct(F.aggregate(F.slice(e, F.lit(1), c), zero, lambda a, x: a + x).alias("pos"), none.alias("out")),
+            step)["out"])))
+
+    return F.when(hit, _let(lengths, placed)).otherwise(none)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _blob(text: str = "text") -> Column:
@@ -139,3 +161,30 @@ def report(scanned: DataFrame, path: str = "doc_id") -> DataFrame:
     base = F.filter("spans", lambda x: x["kind"].isin(*[r.kind for r in BASE]))
     return scanned.select(path, *[F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in BASE],
                           F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def oracle(rules: list[Rule] = RULES) -> str:
+    """DuckDB SQL for the rows of the query: every rule on every text, without a ledger.
+
+    As above, matches and the texts between them alternate.
+    """
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    each = "\n  union all ".join(
+        f"""select r, {i} as "at", {quoted(r.kind)} as kind, {r.least} as least,
+    unnest(regexp_extract_all(t, {quoted(r.pattern)}, 0)) as match, unnest(regexp_extract_all(t, {quoted(r.pattern)}, {r.group})) as kept,
+    unnest(list_slice(regexp_split_to_array(t, {quoted(r.pattern)}), 1, len(regexp_extract_all(t, {quoted(r.pattern)}, 0)))) as gap,
+    unnest(range(len(regexp_extract_all(t, {quoted(r.pattern)}, 0)))) as k
+  from doc where regexp_matches(t, {quoted(r.pattern)})""" for i, r in enumerate(rules))
+    counts = ", ".join(f"count(*) filter (kind = {quoted(r.kind)}) as n_{r.kind}" for r in BASE)
+    written = lambda on: f'''string_agg(kind || ':' || start || ':' || stop, ',' order by start, "at") {on}'''
+    return f"""with doc as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+hits as ({each}),
+ends as (
+  select *, cast(sum(length(gap) + length(match)) over (partition by r, "at" order by k) as bigint) as stop from hits),
+placed as (
+  select r, "at", kind, stop, stop - length(match) as start, length(kept) >= least as ok from ends),
+told as (
+  select r, {counts}, {written(f'filter ("at" < {len(BASE)})')} as base, {written("")} as spans from placed where ok group by r)
+select doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in BASE)},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from doc left join told using (r)"""
