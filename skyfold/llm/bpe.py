@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ddl, lean, slices, text_buffer, workers_import_us
+from .common import ddl, lean, slices, text_buffer, worker_table, workers_import_us
 
 #: letters whose class is the same in every Unicode version, beside ASCII
 _LATIN = "À-ÖØ-öø-ɏ"
@@ -38,9 +38,6 @@ LONG, KEPT_BYTES, TEXT_BYTES = 256, 16 << 20, 4 << 20
 _ENTRY = 150
 _NEVER = np.int64(1 << 40)
 
-_books: dict[str, "Merges"] = {}
-
-
 def byte_chars() -> list[str]:
     """The character that stands for each byte in the vocabulary file: printable
     bytes stand for themselves, the others for 256, 257, ... in order."""
@@ -311,9 +308,7 @@ class Merges:
 
 def merges(path: str) -> Merges:
     """This worker's tables of a vocabulary file; they outlive a task."""
-    if path not in _books:
-        _books[path] = Merges(path)
-    return _books[path]
+    return worker_table(("merges", path), lambda: Merges(path))
 
 
 def vocabulary_path() -> str:
@@ -357,7 +352,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kinds = ["array<int>", "string"][:len(added)]
-    return _numbered(rest).mapInArrow(lean(work), ", ".join([ddl(rest.schema), *[f"`{c}` {k}" for c, k in zip(added, kinds)]]))
+    return _numbered(rest).mapInArrow(lean(work, tables=True), ", ".join([ddl(rest.schema), *[f"`{c}` {k}" for c, k in zip(added, kinds)]]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -377,4 +372,4 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
             texts = [book.decode(i or []) for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
-    return _numbered(rest).mapInArrow(lean(work), f"{ddl(rest.schema)}, `{text}` string")
+    return _numbered(rest).mapInArrow(lean(work, tables=True), f"{ddl(rest.schema)}, `{text}` string")

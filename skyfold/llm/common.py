@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +41,32 @@ def workers_import_us(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+#: tables that this worker holds beyond a task, by what they are for
+_worker_tables: dict[Hashable, object] = {}
+
+
+def worker_table(key: Hashable, make: Callable[[], object]):
+    """This worker's table for ``key``; tables for anything else are given up, as a
+    worker goes from one operator to the next."""
+    if key not in _worker_tables:
+        _worker_tables.clear()
+        _worker_tables[key] = make()
+    return _worker_tables[key]
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], tables: bool = False):
     """``work`` that gives memory it no longer uses back when its task ends: a worker
-    waits beside its executor's others, and what its allocators keep counts there."""
+    waits beside its executor's others, and what its allocators keep counts there.
+    Work without ``tables`` gives up those that earlier operators left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # glibc only
-            ctypes.CDLL(None).malloc_trim(0)
+        if not tables:
+            _worker_tables.clear()
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
 
     return run
 

@@ -143,7 +143,7 @@ def _band_keys(ranks: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return value
 
 
-_SKETCH = "row long, doc_id long, n int, set_a long, set_b long, ranks binary, bands array<long>"
+_SKETCH = "row long, doc_id long, print long, n int, set_a long, set_b long, ranks binary, bands array<long>"
 
 
 def _prints(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -160,40 +160,41 @@ def _listed(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Ids and sets of a batch ``doc_id, text``, some documents at a time."""
+def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows and sets of a batch ``doc_id, text, ...``, some documents at a time."""
     raw, offsets = text_buffer(batch.column(1))
     for lo, hi in slices(offsets):
-        yield (batch.column(0).slice(lo, hi - lo),
+        yield (batch.slice(lo, hi - lo),
                *shingle_sets(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words))
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """Per document: a number of its own, set size and fingerprint, a byte of every rank, and band keys."""
+    """Per document: a number of its own, its text's hash, set size and fingerprint, a byte of every rank, and band keys."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for ids, value, bounds in _sets(batch, words):
-                n = len(ids)
+            for part, value, bounds in _sets(batch, words):
+                n = len(part)
                 ranks = superminhash(value, bounds, bands * rows)
                 short = mix64(ranks).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), ids, pa.array(np.diff(bounds).astype(np.int32)),
+                    [pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(np.diff(bounds).astype(np.int32)),
                      *map(pa.array, _prints(value, bounds)), pa.array([r.tobytes() for r in short], pa.binary()),
                      _listed(_band_keys(ranks, bands, rows).reshape(-1), np.arange(n + 1) * bands)],
-                    names=["row", "doc_id", "n", "set_a", "set_b", "ranks", "bands"])
+                    names=["row", "doc_id", "print", "n", "set_a", "set_b", "ranks", "bands"])
                 row += n
 
     workers_import_us(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work), _SKETCH)
+    return (docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print"))
+            .mapInArrow(lean(work), _SKETCH))
 
 
 def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, set_a, set_b, shingles``: the full set of every document and its fingerprint."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, value, bounds in _sets(batch, words):
-                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, _prints(value, bounds)), _listed(value, bounds)],
+            for part, value, bounds in _sets(batch, words):
+                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, _prints(value, bounds)), _listed(value, bounds)],
                                                  names=["doc_id", "set_a", "set_b", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -240,7 +241,7 @@ def _likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = BAND_ROWS,
-                    words: int = SHINGLE_WORDS) -> DataFrame:
+                    words: int = SHINGLE_WORDS, by_row: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Documents with the same set are one class, found by the set's fingerprint,
@@ -249,7 +250,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     pair a member. Then the pairs that are still in different components are
     looked at in blocks; those that full signatures don't rule out are compared
     too, so that no link between components is lost and a group of thousands
-    never becomes all its pairs.
+    never becomes all its pairs. With ``by_row``, two columns follow: ``print``, the text's hash, which
+    tells rows of one id apart, and ``root``, which is the same for all rows of a
+    component and no others (null for rows that link with nothing by definition).
     """
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     sketch = stage(sketches(docs, bands, rows, words), "sketches")
@@ -282,9 +285,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     merged = components(links.unionAll(others)).withColumnRenamed("id", "cid")
     owner = classes.join(merged, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
     least = stage(owner.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
-    named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id"), "components")
-    return (sketch.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id", "root"), "components")
+    linked = F.expr("n > 0 and doc_id is not null")
+    return (sketch.select("doc_id", "print", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.expr("n > 0 and doc_id is not null"), F.col("component_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.expr("coalesce(doc_id = component_id, true)")))
+                    F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    "print", F.when(linked, F.col("root")).alias("root"))
+            .withColumn("kept", F.expr("coalesce(doc_id = component_id, true)"))
+            .select("doc_id", "n_shingles", "component_id", "kept", *(["print", "root"] if by_row else [])))

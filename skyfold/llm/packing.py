@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, slices, stage, text_buffer, workers_import_us
-from .tokens import LEARN_BYTES, decoded, unit_ids
+from .tokens import KEPT_BYTES, decoded, unit_ids
 
 #: tokens in a sequence, pieces up to which a rest is not halved again, and windows in a group
 CAPACITY, LEAST_PIECE, GROUP_WINDOWS = 2048, 64, 128
+#: bytes of text encoded at once
+SLICE_BYTES = 1 << 20
 END = (1).to_bytes(4, "little")
 #: sequences made of one full piece carry this bit and their task's number
 _FULL = 1 << 62
@@ -50,20 +52,34 @@ def cuts(tokens: int, capacity: int = CAPACITY, least: int = LEAST_PIECE) -> lis
     return out
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LEAST_PIECE) -> DataFrame:
-    """All pieces of all documents; full ones already have a sequence of their own."""
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LEAST_PIECE,
+           kept: int = KEPT_BYTES) -> DataFrame:
+    """All pieces of all documents; full ones already have a sequence of their own.
+
+    Copies of a text that stand near each other, as a mix leaves them, are encoded once.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = unit_ids(path)
+        collects = gc.isenabled()
         gc.disable()  # lists of many strings, none of them cyclic: each pass would walk them all
+        try:
+            yield from cut(batches)
+        finally:
+            if collects:
+                gc.enable()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = unit_ids(path, kept)
         task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             ids = batch.column(0).to_pylist()
-            for lo, hi in slices(offsets, LEARN_BYTES):
-                texts = [book.units(t) for t in decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])]
+            for lo, hi in slices(offsets, SLICE_BYTES):
+                texts = decoded(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                once = dict.fromkeys(texts)
+                once.update(zip(once, book.streams([book.units(t) for t in once])))
                 rows = []
-                for i, ids_ in enumerate(book.streams(texts), lo):
-                    stream = ids_ + END
+                for i, text in enumerate(texts, lo):
+                    stream = once[text] + END
                     n = len(stream) // 4
                     for start, length in cuts(n, capacity, least):
                         code = (task << 33) + serial
@@ -73,10 +89,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LE
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*rows)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "deal"])
-        gc.enable()
 
     workers_import_us(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work), _PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(work, tables=True), _PIECES)
 
 
 def difference(sizes: np.ndarray, k: int) -> np.ndarray:
@@ -134,17 +149,20 @@ def windows(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, least: int = LEAST_PIECE,
-         group_windows: int = GROUP_WINDOWS) -> DataFrame:
+         group_windows: int = GROUP_WINDOWS, kept: int = KEPT_BYTES) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     Pieces are dealt into groups by the number they got in their task, not by
     their contents, so no key can fill a group.
 
-    Defined cases: a null or empty text is its end id alone; repeated rows are
+    ``kept`` bounds what a worker's table of units may take, in bytes.
+
+    Defined cases: a null or empty text is its end id alone; a text of any length is
+    encoded whole, in one task; repeated rows are
     packed each for itself, as are rows with a null ``doc_id``; an empty table
     gives an empty result; other columns are ignored.
     """
-    cut = stage(pieces(docs, path, capacity, least), "pieces")
+    cut = stage(pieces(docs, path, capacity, least, kept), "pieces")
     open_ = cut.where("sequence_id is null").drop("sequence_id")
     tokens = open_.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(tokens / (group_windows * capacity)))

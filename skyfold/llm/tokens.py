@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, lean, slices, stage, text_buffer, workers_import_us
+from .common import WHITE, lean, slices, stage, text_buffer, worker_table, workers_import_us
 
 #: ASCII and precomposed Latin letters: their lower case, normal form and letter
 #: class are the same in every Unicode version
@@ -31,17 +31,17 @@ WORDS = re.compile(f"[^{WHITE}]+")
 #: pre-tokens of lower-cased plain text (fixed by the vocabulary file)
 PRE_TOKENS = re.compile(f"[a-z{_LATIN}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^a-z0-9{_LATIN}{WHITE}]+")
 SPECIAL = "<|"
-#: units kept in each of a worker's two generations, pre-tokens asked of the library
-#: at once, and bytes of text whose units are learned together
-KEPT_UNITS, ASKED, LEARN_BYTES = 300_000, 500, 4 << 20
-
-_books: dict[str, "UnitIds"] = {}
+#: bytes that units and ids kept in each of a worker's two generations may take, pre-tokens
+#: asked of the library at once, and bytes of text whose units are learned together
+KEPT_BYTES, ASKED, LEARN_BYTES = 60 << 20, 500, 4 << 20
+#: what a kept unit takes beside its own bytes and its ids
+_ENTRY = 160
 
 
 class UnitIds:
     """Ids of a text's units, as little-endian unsigned 32-bit bytes, by the library."""
 
-    def __init__(self, path: str, kept: int = KEPT_UNITS):
+    def __init__(self, path: str, kept: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library, self.kept = Tokenizer.from_file(path), kept
@@ -50,6 +50,7 @@ class UnitIds:
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -84,19 +85,23 @@ class UnitIds:
         collects = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and each pass would walk the whole table
         try:
-            if len(self.new) > self.kept:
-                self.old, self.new = self.new, {}
+            if self.held > self.kept:
+                self.old, self.new, self.held = self.new, {}, 0
             new, old, parts, whole = self.new, self.old, [], []
             for u in units.difference(new):
                 ids = old.get(u)
                 if ids is not None:
                     new[u] = ids
+                    self.held += _ENTRY + len(u) + len(ids)
                 elif PLAIN.fullmatch(u) and SPECIAL not in u:
                     parts.append(u)
                 else:
                     whole.append(u)
             new.update(zip(whole, self._of_words(whole), strict=True))
             new.update(zip(parts, self._of_parts(parts), strict=True))
+            for asked in (whole, parts):
+                self.held += (_ENTRY * len(asked) + sum(map(len, asked))
+                              + sum(map(len, map(new.__getitem__, asked))))
             return new
         finally:
             if collects:
@@ -115,11 +120,9 @@ class UnitIds:
             yield b"".join(f)
 
 
-def unit_ids(path: str) -> UnitIds:
+def unit_ids(path: str, kept: int = KEPT_BYTES) -> UnitIds:
     """This worker's table for a vocabulary file; it outlives a task."""
-    if path not in _books:
-        _books[path] = UnitIds(path)
-    return _books[path]
+    return worker_table(("units", path, kept), lambda: UnitIds(path, kept))
 
 
 def decoded(raw: np.ndarray, offsets: np.ndarray) -> list[str]:
@@ -188,7 +191,7 @@ def _piece_counts(units: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(ids[u]) // 4 for u in listed], pa.int32())], names=["unit", "pieces"])
 
-    return units.mapInArrow(lean(work), "unit string, pieces int")
+    return units.mapInArrow(lean(work, tables=True), "unit string, pieces int")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
