@@ -1,4 +1,4 @@
-"""Numeric expressions and aggregates."""
+"""Numeric expressions."""
 
 from __future__ import annotations
 
@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from .temporal import _col
 
-# Precision and scale at which means are summed exactly, and the
-# magnitudes between which doubles keep all their digits that matter there.
-MEAN_PRECISION, MEAN_SCALE = 38, 18
-MEAN_LEAST, MEAN_MOST = 1e-5, 1e15
-
-
 def round2(c) -> Column:
     """Round to two decimals by scaling first: round(x * 100) / 100.
 
@@ -35,18 +29,3 @@ def horizontal_min(*cols) -> Column:
 def horizontal_max(*cols) -> Column:
     """Row-wise maximum that skips nulls."""
     return F.greatest(*[_col(c) for c in cols])
-
-
-def exact_mean(c) -> Column:
-    """Mean whose sum does not depend on row order.
-
-    Doubles are summed as decimals (exact, so any partitioning and any merge
-    order give the same bits), then divided as double. A group that holds NaN,
-    infinities, or magnitudes that don't fit the decimals takes the plain
-    average instead.
-    """
-    c = _col(c).cast("double")
-    size = F.abs(c)
-    fits = F.min(F.coalesce((size == 0) | size.between(MEAN_LEAST, MEAN_MOST), F.lit(True)))
-    total = F.try_sum(F.when(size.between(0, MEAN_MOST), c).cast(f"decimal({MEAN_PRECISION},{MEAN_SCALE})"))
-    return F.coalesce(F.when(fits, total.cast("double") / F.count(c)), F.avg(c))

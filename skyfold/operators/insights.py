@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions import exact_mean, first_token, two_decimals
+from ..functions import first_token, two_decimals
+from .means import grouped_means
 
 # Order in which merged rows are read (the saved table's order),
 # used to pick "the first row" among equal values.
@@ -105,10 +106,7 @@ def city_detail(merged: DataFrame, stats: DataFrame, city=None) -> DataFrame:
     text has two decimals.
     """
     snap = latest_snapshot(merged, city)
-    means = snap.groupBy(*S.PLACE_KEYS).agg(
-        exact_mean("uv").alias("uv_mean"),
-        exact_mean("forecast_maxwind_kph").alias("wind_mean"),
-    )
+    means = grouped_means(snap, S.PLACE_KEYS, {"uv_mean": F.col("uv"), "wind_mean": F.col("forecast_maxwind_kph")})
     st = _for_city(stats, city).select(*S.PLACE_KEYS, "highest_temp_date", "max_temp", "mean_forecast")
     out = st.join(means, S.PLACE_KEYS, "inner")
     return out.select(*out.columns,

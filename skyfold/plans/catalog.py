@@ -361,11 +361,22 @@ def q_json_edge_documents(spark, sf):
 
 def q_mean_precise(spark, sf):
     """Means of small numbers, with NaN in some groups."""
-    from ..functions import exact_mean
+    from ..operators.means import grouped_means
     ev = spark.read.parquet(f"{sf}/events.parquet")
     nan = (F.col("user_id") % 10 == 3) & (F.col("event_type") == "error")
     v = F.when(nan, F.lit(float("nan"))).otherwise(F.col("value") / 70000000)
-    return ev.groupBy("user_id").agg((F.round(exact_mean(v) * 1e15, 0) / 1e15).alias("mean"))
+    means = grouped_means(ev, ["user_id"], {"mean": v})
+    return means.select("user_id", (F.round(F.col("mean") * 1e15, 0) / 1e15).alias("mean"))
+
+
+def q_mean_wide(spark, sf):
+    """Means over magnitudes from 1e-290 to 1e300, mixed in some groups, to 11 digits."""
+    from ..operators.means import grouped_means
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    scale = F.element_at(F.array(*[F.lit(x) for x in (1.0, 1e-9, 1e16, 1e300, 1e-290)]),
+                         (F.pmod(F.when(F.col("user_id") % 2 == 0, F.col("user_id")).otherwise(F.col("event_id")), F.lit(5)) + 1).cast("int"))
+    means = grouped_means(ev, ["user_id"], {"mean": F.col("value") * scale})
+    return means.select("user_id", F.format_string("%.10e", "mean").alias("mean"))
 
 
 def q_csv_five_tables(spark, sf):
@@ -397,10 +408,7 @@ def q_saved_order(spark, sf):
     from ..sources.snapshots import SnapshotStore
     store = SnapshotStore(spark, scratch_path(spark, "store"))
     store.write({"merged": _merged(spark, sf)}, sort=True)
-    at = F.struct(F.input_file_name(), F.monotonically_increasing_id())
-    rows = store.read("merged").select(*S.MERGED_KEYS, at.alias("at"))
-    from pyspark.sql import Window
-    return rows.select(*S.MERGED_KEYS, F.row_number().over(Window.orderBy("at")).alias("n"))
+    return store.read_numbered("merged").select(*S.MERGED_KEYS, F.col("n").cast("int"))
 
 
 def _after_two_runs(spark, sf, table):

@@ -245,6 +245,8 @@ def _more(S) -> dict[str, str]:
         "json_edge_documents": _edge_sql(),
         "mean_precise": "select user_id, round(case when bool_or(user_id % 10 = 3 and event_type = 'error') then 'nan' :: double "
                         "else fsum(value / 70000000) / count(*) end * 1e15, 0) / 1e15 as mean from events group by user_id",
+        "mean_wide": "select user_id, printf('%.10e', fsum(value * [1.0::double, 1e-9, 1e16, 1e300, 1e-290][case when user_id % 2 = 0 "
+                     "then user_id else event_id end % 5 + 1]) / count(*)) as mean from events group by user_id",
         "saved_order": one_run("select name, region, country, created_date_local, forecast_date, cast(row_number() over (order by "
                                "name, region, country, created_date_local, forecast_date) as integer) n from mg"),
     }
