@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from .merge import with_forecast_error
@@ -11,18 +12,26 @@ from .merge import with_forecast_error
 NEW_SUFFIX = "_new"
 
 
-def _fail_on_duplicate_keys(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """Raise at run time when two rows share a (non-null) key.
+def _one_row_a_key(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``keys, _row``: the whole row of each key; raises at run time where a key has several.
 
-    The count runs over a window partitioned by the keys, i.e. the same
-    hash partitioning the full join needs next, so it adds no shuffle.
+    Rows are counted by a partial aggregation before the shuffle, so a key that is
+    repeated a million times is one row a task when it fails, and the shuffle is the one
+    that the full join on the keys needs next. Rows with a null among their keys match
+    nothing and may repeat: their text key is replaced by a number of their own.
     """
-    dup = F.col("_key_rows") > 1
+    text = next((k for k in keys if isinstance(df.schema[k].dataType, T.StringType)), None)
+    if text is None:
+        raise ValueError(f"one of the keys {keys} must be text")
+    whole = F.lit(True)
     for k in keys:
-        dup = dup & F.col(k).isNotNull()
+        whole = whole & F.col(k).isNotNull()
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    rows = df.select(*[F.when(whole, F.col(k)).otherwise(own).alias(k) if k == text else F.col(k) for k in keys],
+                     F.struct(*df.columns).alias("_row"))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first("_row").alias("_row"))
     msg = F.lit(f"duplicate upsert key {keys} in {what}")
-    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    return counted.where(F.when(dup, F.raise_error(msg)).otherwise(F.lit(True))).drop("_key_rows")
+    return counted.where(F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.lit(True))).select(*keys, "_row")
 
 
 def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list[str],
@@ -32,8 +41,8 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list
     A null in the new batch never erases an old value. Keys are coalesced
     too, so a place only in the new batch keeps its keys. Rows whose keys
     contain a null never match. With ``on_duplicate="error"`` a repeated
-    key in the new batch fails the job; ``"multiply"`` lets the join repeat
-    rows instead, as a plain join would.
+    key in the new batch fails the job (one of the keys must be text);
+    ``"multiply"`` lets the join repeat rows instead, as a plain join would.
 
     Shuffles both sides once on the keys (sort-merge full join).
     """
@@ -41,10 +50,14 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list
         raise ValueError(f"on_duplicate must be 'error' or 'multiply', not {on_duplicate!r}")
     if old is None:
         return new.select(*columns)
+    if on_duplicate == "error":
+        joined = old.select(*columns).join(_one_row_a_key(new.select(*columns), keys, "new batch"), keys, "full")
+        row = F.col("_row")
+        return joined.select(*[
+            (F.when(row.isNotNull(), row[c]).otherwise(F.col(c)) if c in keys else F.coalesce(row[c], F.col(c))).alias(c)
+            for c in columns])
     others = [c for c in columns if c not in keys]
     n = new.select(*keys, *[F.col(c).alias(c + NEW_SUFFIX) for c in others])
-    if on_duplicate == "error":
-        n = _fail_on_duplicate_keys(n, keys, "new batch")
     joined = old.select(*columns).join(n, keys, "full")
     out = {k: F.col(k) for k in keys}
     out.update({c: F.coalesce(F.col(c + NEW_SUFFIX), F.col(c)).alias(c) for c in others})
@@ -99,7 +112,8 @@ def collapse_batch(table: str, df: DataFrame) -> DataFrame:
 
 def checked_batch(table: str, df: DataFrame) -> DataFrame:
     """The rows as they are; a repeated key fails the job."""
-    return _fail_on_duplicate_keys(df, S.TABLES[table][1], table).select(*S.columns(S.TABLES[table][0]))
+    schema, keys = S.TABLES[table]
+    return _one_row_a_key(df.select(*S.columns(schema)), keys, table).select("_row.*")
 
 
 def upsert_location(old, new, on_duplicate="error"):
