@@ -16,6 +16,11 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The files under ``path`` (or the one there) that Spark would read."""
     fs, p = _at(spark, path)

@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import json
 from concurrent.futures import ThreadPoolExecutor
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,11 +174,68 @@ class SnapshotStore:
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _schema(table)])
         return self.spark.read.schema(_schema(table)).parquet(*paths)
 
+    def read_numbered(self, table: str, version: int | None = None, number: str = "n") -> DataFrame | None:
+        """``read`` with every row's place in saved order, from 1.
+
+        A row's place is its place in its file plus the rows of the files before it, which
+        are counted first: what reaches the driver is a row for each file. Parquet knows a
+        row's place in its file; a CSV file, which one task reads whole, is counted there.
+        """
+        df = self.read(table, version)
+        if df is None:
+            return None
+        if self.fmt == "csv":
+            rows = df.select("*", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_at"))
+            rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1)
+        else:
+            rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        held = sorted((r._file, r.n) for r in rows.groupBy("_file").agg(F.count("*").alias("n")).collect())
+        before = [0, *accumulate(n for _, n in held)]
+        starts = pa.table({"_file": pa.array([f for f, _ in held], pa.string()), "_before": pa.array(before[:-1], pa.int64())})
+        return (rows.join(self.spark.createDataFrame(starts), "_file")
+                .select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(number)))
+
     def has_tag(self, tag: str) -> bool:
         """Whether the latest version's marker, or one before it, carries ``tag``."""
         v = self.latest_version()
         return v is not None and tag in self.commit(v)["tags"]
 
+    def clean(self, keep: int = 1) -> list[str]:
+        """Forget all but the newest ``keep`` versions, and delete what only older ones held.
+
+        Old markers go first, so nobody begins to read what is deleted next; then the
+        version folders, or the tables and pull days in them, that no marker left
+        names. Readers of a kept version find every part of it, and what a writer
+        is writing lies beyond the newest marker and stays. Returns the paths deleted.
+        """
+        if keep < 1:
+            raise ValueError("at least one version is kept")
+        versions = self._versions()
+        for v in versions[:-keep]:
+            files.remove(self.spark, f"{self.root}/_commits/{v}.json")
+        used = {self._part_path(t, p, at) for v in versions[-keep:]
+                for t, parts in self.commit(v)["tables"].items() for p, at in parts.items()}
+        gone = []
+
+        def unused(path: str) -> bool:
+            """Whether nothing at or below ``path`` is used; if something is, the rest below goes."""
+            if path in used:
+                return False
+            below = [f"{path}/{n}" for n in files.names(self.spark, path) if "=" in n or n in S.TABLES]
+            free = [p for p in below if unused(p)]
+            if len(free) < len(below):
+                gone.extend(free)
+                return False
+            return not any(u.startswith(path + "/") for u in used)
+
+        for n in files.names(self.spark, self.root):
+            if n.startswith("v=") and n[2:].isdigit() and versions and int(n[2:]) <= versions[-1]:
+                if unused(f"{self.root}/{n}"):
+                    gone.append(f"{self.root}/{n}")
+        for path in gone:
+            files.remove(self.spark, path)
+        return gone
+
     def next_version(self) -> int:
         prev = self.latest_version()
         return 0 if prev is None else prev + 1
