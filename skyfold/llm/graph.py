@@ -36,6 +36,13 @@ BATCH = 512
 SALT = 64
 
 
+def shortened(v: np.ndarray, each: bool = False) -> np.ndarray:
+    """Vectors divided by the largest length of all, or each by its own."""
+    axis = 1 if each else None
+    v = v / np.abs(v).max(axis=axis, keepdims=True)
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True).max(axis=axis, keepdims=True))
+
+
 def raised(v: np.ndarray) -> np.ndarray:
     """Vectors of one length on which the least distance is the largest inner product."""
     norm = (v * v).sum(axis=1)
@@ -160,8 +167,9 @@ def search_shard(vectors: np.ndarray, queries: np.ndarray, k: int, width: int =
     """Positions and exact inner products of the best ``k`` found for every query (-1: fewer)."""
     n = len(vectors)
     k, width = min(k, n), min(n, max(width, k))
-    x = raised(vectors)
-    q = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+    # in float32 lengths of any magnitude: neither changes a query's order of the vectors
+    x = raised(shortened(vectors))
+    q = np.concatenate([shortened(queries, each=True), np.zeros((len(queries), 1))], axis=1).astype(np.float32)
     if n <= 2 * width:  # as many as a beam would read anyway
         found = np.broadcast_to(np.arange(n), (len(q), n))
     else:
