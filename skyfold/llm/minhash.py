@@ -293,3 +293,40 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
                     "print", F.when(linked, F.col("root")).alias("root"))
             .withColumn("kept", F.expr("coalesce(doc_id = component_id, true)"))
             .select("doc_id", "n_shingles", "component_id", "kept", *(["print", "root"] if by_row else [])))
+
+
+#: the same rows in DuckDB's dialect. A class is a set; two linked classes share one of
+#: the rarest n - ceil(0.75 n) + 1 shingles of each, so only such pairs are compared
+ORACLE = """
+with recursive cut as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as words from documents),
+placed as (select r, unnest(words) as w, generate_subscripts(words, 1) as place from cut where len(words) >= 5),
+windows as (select r, w || ' ' || lead(w, 1) over o || ' ' || lead(w, 2) over o || ' ' || lead(w, 3) over o || ' '
+            || lead(w, 4) over o as shingle from placed window o as (partition by r order by place)),
+long as (select r, list_sort(list(distinct shingle)) as shingles from windows where shingle is not null group by r),
+sets as (
+    select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+        else l.shingles end as shingles from cut left join long l using (r)),
+classes as (select shingles, len(shingles) as n, min(doc_id) as low from sets
+            where len(shingles) > 0 and doc_id is not null group by shingles),
+listed as (select low, n, unnest(shingles) as shingle from classes),
+rare as (select shingle, count(*) as holders from listed group by shingle),
+ranked as (select low, n, shingle, row_number() over (partition by low order by holders, shingle) as place
+           from listed join rare using (shingle)),
+prefixes as (select low, n, shingle from ranked where place <= n - (75 * n + 99) // 100 + 1),
+likely as (select distinct a.low as a, b.low as b from prefixes a join prefixes b using (shingle)
+           where a.low < b.low and 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)),
+links as (select a, b from (
+    select l.a, l.b, x.n, y.n as m, len(list_intersect(x.shingles, y.shingles)) as common
+    from likely l join classes x on x.low = l.a join classes y on y.low = l.b)
+    where 100 * common >= 75 * (n + m - common)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select low as id, low as root from classes
+          union select e.b, r.root from reach r join edges e on e.a = r.id where r.root < e.b),
+roots as (select id, min(root) as component_id from reach group by id)
+select s.doc_id, cast(len(s.shingles) as bigint) as n_shingles,
+       coalesce(r.component_id, s.doc_id) as component_id,
+       coalesce(s.doc_id = coalesce(r.component_id, s.doc_id), true) as kept
+from sets s left join classes c on c.shingles = s.shingles and s.doc_id is not null left join roots r on r.id = c.low
+"""

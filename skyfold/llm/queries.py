@@ -92,5 +92,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.oracle(), "op8_secret_scan": secrets.oracle(), "op9_line_dedup": lines.ORACLE,
+    return {"op1_license_scan": licenses.oracle(), "op5_minhash": minhash.ORACLE, "op8_secret_scan": secrets.oracle(),
+            "op9_line_dedup": lines.ORACLE, "op10_embedding_dedup": rabitq.ORACLE,
             "op11_ranked_search": bitslices.ORACLE, "op12_centroid_clusters": centroids.oracle()}

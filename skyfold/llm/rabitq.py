@@ -177,3 +177,24 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.expr("coalesce(vec_id = component_id, false)")))
+
+
+#: the same rows in DuckDB's dialect, by comparing all pairs
+ORACLE = """
+with recursive usable as (
+    select vec_id, cast(embedding as double[]) as v from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from usable a join usable b
+          on len(a.v) = len(b.v) and a.vec_id < b.vec_id
+          where list_cosine_similarity(a.v, b.v) >= 0.95),
+edges as (select a, b from links union all select b, a from links),
+reach as (select vec_id as id, vec_id as root from usable
+          union select e.b, r.root from reach r join edges e on e.a = r.id where r.root < e.b),
+roots as (select id, min(root) as component_id from reach group by id),
+counted as (select a, count(*) as n from edges group by a)
+select e.vec_id, coalesce(c.n, 0) as n_links, coalesce(r.component_id, e.vec_id) as component_id,
+       coalesce(e.vec_id = r.component_id, false) as kept
+from embeddings e left join counted c on c.a = e.vec_id left join roots r on r.id = e.vec_id
+"""
