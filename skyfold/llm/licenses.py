@@ -4,6 +4,8 @@ A text is cut into sentences and each is normalised; sentences known from
 licences become identifiers, all others are dropped. Rules, in order, are then
 matched against the sequence of identifiers, and what a rule matches is taken
 out before the next one, so a shorter licence is not found inside a longer one.
+Marks that begin a comment's lines are no part of a sentence, and the holder that a
+BSD text names is read as "the copyright holder".
 A known sentence whose published wording is itself cut, by a stop inside, is
 known as the run of its pieces. Everything is DataFrame expressions.
 """
@@ -72,11 +74,39 @@ SENTENCES = {
     "GPLsee": ["see the gnu general public license for more details"],
     "GPLcopy": ["you should have received a copy of the gnu general public license along with this program"],
     "GPL3ref": ["this work is licensed under the gnu general public license version 3", "spdx license identifier gpl 3 0",
-                "licensed under the gnu general public license version 3", "spdx license identifier gpl 3 0 only",
-                "spdx license identifier gpl 3 0 or later"],
+                "licensed under the gnu general public license version 3"],
+    "GPL3only": ["spdx license identifier gpl 3 0 only"],
+    "GPL3later": ["spdx license identifier gpl 3 0 or later"],
     "GPL2ref": ["this work is licensed under the gnu general public license version 2", "spdx license identifier gpl 2 0",
-                "licensed under the gnu general public license version 2", "spdx license identifier gpl 2 0 only",
-                "spdx license identifier gpl 2 0 or later"],
+                "licensed under the gnu general public license version 2"],
+    "GPL2only": ["spdx license identifier gpl 2 0 only"],
+    "GPL2later": ["spdx license identifier gpl 2 0 or later"],
+    "AGPL3free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+                  "general public license as published by the free software foundation either version 3 of the license or "
+                  "at your option any later version"],
+    "AGPLsee": ["see the gnu affero general public license for more details"],
+    "AGPLcopy": ["you should have received a copy of the gnu affero general public license along with this program"],
+    "AGPL3only": ["spdx license identifier agpl 3 0 only"],
+    "AGPL3later": ["spdx license identifier agpl 3 0 or later"],
+    "LGPL21free": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+                   "general public license as published by the free software foundation either version 2 1 of the license "
+                   "or at your option any later version"],
+    "LGPL3free": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+                  "general public license as published by the free software foundation either version 3 of the license "
+                  "or at your option any later version"],
+    "LGPLhope": ["this library is distributed in the hope that it will be useful but without any warranty without even the "
+                 "implied warranty of merchantability or fitness for a particular purpose"],
+    "LGPLsee": ["see the gnu lesser general public license for more details"],
+    "LGPLcopy": ["you should have received a copy of the gnu lesser general public license along with this library"],
+    "LGPL21only": ["spdx license identifier lgpl 2 1 only"],
+    "LGPL21later": ["spdx license identifier lgpl 2 1 or later"],
+    "LGPL3only": ["spdx license identifier lgpl 3 0 only"],
+    "LGPL3later": ["spdx license identifier lgpl 3 0 or later"],
+    "EPL2ref": ["this program and the accompanying materials are made available under the terms of the eclipse public license "
+                "2 0 which is available at https www eclipse org legal epl 2 0",
+                "this program and the accompanying materials are made available under the terms of the eclipse public license "
+                "v 2 0 which is available at https www eclipse org legal epl 2 0",
+                "spdx license identifier epl 2 0"],
     "MPLform": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
     "MPLcopy": ["if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
                 "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"],
@@ -99,10 +129,16 @@ RULES = [
     ("Apache-2.0", ["APACHEref", "APACHEcomply", "APACHEcopy", "APACHEasis", "APACHEsee"]),
     ("GPL-3.0-or-later", ["GPLfree", "GPLhope", "GPLsee", "GPLcopy"]),
     ("GPL-2.0-or-later", ["GPL2free", "GPLhope", "GPLsee", "GPLcopy"]),
+    ("AGPL-3.0-or-later", ["AGPL3free", "GPLhope", "AGPLsee", "AGPLcopy"]),
+    ("LGPL-2.1-or-later", ["LGPL21free", "LGPLhope", "LGPLsee", "LGPLcopy"]),
+    ("LGPL-3.0-or-later", ["LGPL3free", "LGPLhope", "LGPLsee", "LGPLcopy"]),
     ("MPL-2.0", ["MPLform", "MPLcopy"]),
     ("ISC", ["ISCperm"]),
     ("GPL-3.0-or-later", ["GPLfree"]),
     ("GPL-2.0-or-later", ["GPL2free"]),
+    ("AGPL-3.0-or-later", ["AGPL3free"]),
+    ("LGPL-2.1-or-later", ["LGPL21free"]),
+    ("LGPL-3.0-or-later", ["LGPL3free"]),
     ("MPL-2.0", ["MPLform"]),
     ("MIT", ["MITref"]),
     ("Apache-2.0", ["APACHEref"]),
@@ -110,6 +146,17 @@ RULES = [
     ("BSD-3-Clause", ["BSD3ref"]),
     ("GPL-3.0", ["GPL3ref"]),
     ("GPL-2.0", ["GPL2ref"]),
+    ("GPL-3.0-only", ["GPL3only"]),
+    ("GPL-3.0-or-later", ["GPL3later"]),
+    ("GPL-2.0-only", ["GPL2only"]),
+    ("GPL-2.0-or-later", ["GPL2later"]),
+    ("AGPL-3.0-only", ["AGPL3only"]),
+    ("AGPL-3.0-or-later", ["AGPL3later"]),
+    ("LGPL-2.1-only", ["LGPL21only"]),
+    ("LGPL-2.1-or-later", ["LGPL21later"]),
+    ("LGPL-3.0-only", ["LGPL3only"]),
+    ("LGPL-3.0-or-later", ["LGPL3later"]),
+    ("EPL-2.0", ["EPL2ref"]),
     ("MPL-2.0", ["MPLref"]),
     ("ISC", ["ISCref"]),
     ("CC-BY-4.0", ["CCBYref"]),
@@ -138,6 +185,19 @@ PUBLISHED = [
     "later version.",
     "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
     "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+    "any later version.",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+    "any later version.",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) "
+    "any later version.",
+    "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 "
+    "which is available at https://www.eclipse.org/legal/epl-2.0",
     "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
     "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
     "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
@@ -150,7 +210,15 @@ PUBLISHED = [
     "License: MIT",
     *[f"SPDX-License-Identifier: {name}" for name in (
         "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
-        "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "MPL-2.0", "CC0-1.0")],
+        "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "MPL-2.0", "CC0-1.0", "AGPL-3.0-only", "AGPL-3.0-or-later",
+        "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "EPL-2.0")],
+]
+
+#: fixed values: wordings around the name of a BSD text's holder, and what stands for every name
+HOLDERS = [
+    ("neither the name of ", "the copyright holder", " nor the names of its contributors"),
+    ("this software is provided by ", "the copyright holders and contributors", " as is and any express or implied"),
+    ("in no event shall ", "the copyright holder or contributors", " be liable for any direct indirect incidental"),
 ]
 
 #: sentences end at a stop before white space; a line of its own, such as a title,
@@ -159,6 +227,10 @@ WHITE_SPACE = "[\\x20\\x09-\\x0D]"
 STOP = f"[.:;!?]+(?:{WHITE_SPACE}|$)"
 BREAKS = {"line": f"(?:{STOP}|\\n)", "wrapped": f"(?:{STOP}|\\n{WHITE_SPACE}*\\n)"}
 MARK = "\x01"
+#: marks that begin a line of a comment
+COMMENT = "(^|\\n)[\\x20\\x09]*(?:#+|//+[!*]?|/?\\*+/?|;+|<!--|--+|%+)[\\x20\\x09]*"
+#: the name of a holder, in normalised words
+NAME = "[a-z0-9\\x20]{1,100}"
 
 
 def _normal(text: str) -> str:
@@ -181,7 +253,10 @@ def _identifiers(text: Column, by: dict[str, str], breaks: str) -> Column:
     """The identifiers of a text's known sentences, in order; the pieces of a cut one
     count where they follow each other with nothing between."""
     codes, runs = _runs(by)
-    sentences = F.split(F.lower(F.regexp_replace(F.regexp_replace(text, breaks, MARK), f"[^A-Za-z0-9{MARK}]+", " ")), MARK)
+    plain = F.lower(F.regexp_replace(F.regexp_replace(text, breaks, MARK), f"[^A-Za-z0-9{MARK}]+", " "))
+    for before, name, after in HOLDERS:
+        plain = F.regexp_replace(plain, before + NAME + after, before + name + after)
+    sentences = F.split(plain, MARK)
     known = F.create_map(*[F.lit(x) for s, i in codes.items() for x in (s, i)])
     some = F.filter(F.transform(sentences, lambda s: F.trim(s)), lambda s: s != "")
     joined = F.array_join(F.transform(some, lambda s: F.coalesce(F.element_at(known, s), F.lit("#"))), ",,")
@@ -208,7 +283,8 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
 
     Both ways of reading line breaks are scanned: with each as a sentence's end,
     and with single ones as wrapped lines. The one that knows more sentences
-    decides, at a tie the first. A sentence of ``PUBLISHED`` is known by its pieces
+    decides, at a tie the first. A wrapped sentence that ends without a stop runs on to
+    the next empty line. A sentence of ``PUBLISHED`` is known by its pieces
     as well as whole. Only texts with a word that all known sentences
     of a kind share are cut up; that test is exact, as it holds for every one.
 
@@ -218,11 +294,12 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
     of the added names are replaced.
     """
     by = {s: i for i, known in sentences.items() for s in known}
-    words = trigger_words(by)
+    words = trigger_words(map(_nameless, by))
     own = [c for c in docs.columns if c not in ("sentence_ids", "licenses", "unmatched")]
     empty = F.array().cast("array<string>")
     likely = F.coalesce(F.col("text").rlike("(?i)" + "|".join(words)), F.lit(False))
-    both = docs.select(*own, *[F.when(likely, _identifiers(F.col("text"), by, b)).otherwise(empty).alias(f"_{k}")
+    bare = F.regexp_replace("text", COMMENT, "$1")
+    both = docs.select(*own, *[F.when(likely, _identifiers(bare, by, b)).otherwise(empty).alias(f"_{k}")
                                for k, b in BREAKS.items()])
     read = both.withColumn("sentence_ids", F.when(F.size("_wrapped") > F.size("_line"), F.col("_wrapped"))
                            .otherwise(F.col("_line"))).drop("_line", "_wrapped")
@@ -232,6 +309,13 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES,
                        F.when(some, left).otherwise(empty).alias("unmatched"))
 
 
+def _nameless(sentence: str) -> str:
+    """A known sentence without the words that stand for a holder's name."""
+    for before, name, after in HOLDERS:
+        sentence = sentence.replace(before + name + after, before + after)
+    return sentence
+
+
 def trigger_words(sentences) -> list[str]:
     """Few words such that every sentence holds at least one: the commonest of those
     still without one, again and again."""
@@ -252,13 +336,18 @@ def trigger_words(sentences) -> list[str]:
 
 def oracle() -> str:
     """The same scan in DuckDB's dialect, for the rows of ``op1``."""
-    by = {s: i for i, known in SENTENCES.items() for s in known}
-    known = "map {" + ", ".join(f"'{s}': '{i}'" for s, i in by.items()) + "}"
+    codes, runs = _runs({s: i for i, known in SENTENCES.items() for s in known})
+    known = "map {" + ", ".join(f"'{s}': '{i}'" for s, i in codes.items()) + "}"
 
     def ids(breaks: str) -> str:
-        plain = f"regexp_replace(regexp_replace(text, '{breaks}', chr(1), 'g'), '[^A-Za-z0-9\\x01]+', ' ', 'g')"
-        return (f"list_filter(list_transform(string_split(lower({plain}), chr(1)), "
-                f"lambda x: {known}[trim(x)]), lambda x: x is not null)")
+        plain = f"lower(regexp_replace(regexp_replace(text, '{breaks}', chr(1), 'g'), '[^A-Za-z0-9\\x01]+', ' ', 'g'))"
+        for before, name, after in HOLDERS:
+            plain = f"regexp_replace({plain}, '{before}{NAME}{after}', '{before}{name}{after}', 'g')"
+        some = f"list_filter(list_transform(string_split({plain}, chr(1)), lambda x: trim(x)), lambda x: x <> '')"
+        joined = f"',' || array_to_string(list_transform({some}, lambda x: coalesce({known}[x], '#')), ',,') || ','"
+        for run, identifier in runs:
+            joined = f"replace({joined}, '{run}', ',{identifier},')"
+        return f"list_filter(string_split({joined}, ','), lambda x: x <> '' and x not like '#%')"
 
     steps = ["select doc_id, ids, ',' || array_to_string(list_filter(ids, lambda x: x not in "
              f"({', '.join(repr(n) for n in NEUTRAL)})), ',,') || ',' as rest, [] :: varchar[] as found from read"]
@@ -269,7 +358,7 @@ def oracle() -> str:
     ctes = ", ".join(f"r{n} as ({s})" for n, s in enumerate(steps))
     return f"""
 with cut as (select doc_id, {ids(BREAKS["line"])} as a, {ids(BREAKS["wrapped"])} as b
-             from (select doc_id, coalesce(text, '') as text from documents)),
+             from (select doc_id, regexp_replace(coalesce(text, ''), '{COMMENT}', '\\1', 'g') as text from documents)),
 read as (select doc_id, case when len(b) > len(a) then b else a end as ids from cut), {ctes}
 select doc_id, len(ids) as n_sentences, array_to_string(ids, ',') as sentence_ids,
        array_to_string(found, ',') as licenses,
