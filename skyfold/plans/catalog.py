@@ -450,3 +450,11 @@ def q_local_to_utc_transitions(spark, sf):
     t = D.transition_times(spark, sf)
     return t.select("event_id", "tz_id", "local_time",
                     local_to_utc("local_time", "tz_id").alias("utc_time"))
+
+
+def q_local_to_utc_zones(spark, sf):
+    """Local -> UTC around clock changes of every zone that has any."""
+    from ..functions import local_to_utc
+    t = D.zone_times(spark, sf)
+    return t.select("event_id", "tz_id", "local_time",
+                    local_to_utc("local_time", "tz_id").alias("utc_time"))

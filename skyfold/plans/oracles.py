@@ -6,6 +6,10 @@ independently, in DuckDB's dialect, over the same parquet views.
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pytz
+
 from ..sources import derived as D
 
 # Fixed value: the place asked for where a query narrows to one (as in the catalog).
@@ -375,6 +379,22 @@ def oracle_sql() -> dict[str, str]:
         f"(hour(ts) * 60 + minute(ts)) % {D.TRANSITION_WINDOW_MINUTES} m from ("
         f"select e.event_id, e.ts, {zone} tz_id from events e "
         "join nation n on n.n_nationkey = e.user_id % 25)))")
+    q["local_to_utc_zones"] = _zones()
     q["upsert_merged"] = two_runs(_merged_recomputed(
         upsert_sql("mg1", "mg2", S.MERGED_KEYS, S.columns(S.MERGED_SCHEMA))))
     return q
+
+
+def _zones() -> str:
+    """The zone library's own answer for every wall time that the query can ask for."""
+    changes, rows = D.zone_changes(), []
+    for k, (zone, base) in enumerate(changes):
+        tz = pytz.timezone(zone)
+        times = [base + dt.timedelta(minutes=15 * n) for n in range(D.ZONE_SLOTS)]
+        late = [int((t - tz.localize(t).astimezone(pytz.UTC).replace(tzinfo=None)).total_seconds()) for t in times]
+        rows.append(f"({k}, '{zone}', timestamp '{base}', {late})")
+    n = len(changes)
+    return ("select event_id, tz_id, local_time, local_time - to_seconds(late[slot + 1]) utc_time from ("
+            "select event_id, tz_id, slot, late, base + to_minutes(15 * slot) local_time from ("
+            f"select event_id, event_id % {n} k, (event_id // {n}) % {D.ZONE_SLOTS} slot from events where event_id is not null) "
+            f"join (values {', '.join(rows)}) z(k, tz_id, base, late) using (k))")

@@ -20,12 +20,15 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cache
 
+import pytz
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import epoch_seconds, local_to_utc, truncate_minute
+from ..functions.temporal import standard_first
 
 # Fixed value: nations in the TPC-H nation table (a user's nation is id % 25).
 NATIONS = 25
@@ -423,3 +426,42 @@ def transition_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
                                  (m / 60).cast("int"), m % 60, F.lit(0))
     return placed.select("event_id", "tz_id", local.alias("local_time"))
+
+
+# Years of the clock changes looked at, and quarter hours from an hour before each.
+ZONE_YEARS, ZONE_SLOTS = (2000, 2025), 16
+
+
+@cache
+def zone_changes() -> list[tuple]:
+    """(zone, wall time an hour before a clock change): every zone's last gap and last
+    overlap, and every change into an overlap whose earlier reading is standard time."""
+    out = []
+    for zone in pytz.all_timezones:
+        tz = pytz.timezone(zone)
+        times, info = getattr(tz, "_utc_transition_times", ()), getattr(tz, "_transition_info", ())
+        special = {since for since, _ in standard_first().get(zone, ())}
+        last, chosen = {}, set()
+        for k in range(1, len(times)):
+            (before, *_), (after, *_) = info[k - 1], info[k]
+            if before != after and ZONE_YEARS[0] <= times[k].year <= ZONE_YEARS[1]:
+                start = times[k] + min(before, after)
+                last[after > before] = start
+                if start in special:
+                    chosen.add(start)
+        out += [(zone, t - dt.timedelta(hours=1)) for t in sorted(chosen | set(last.values()))]
+    return out
+
+
+def zone_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a wall time around a clock change of one of all zones."""
+    changes = zone_changes()
+    n = F.lit(len(changes))
+    table = spark.createDataFrame([(k, zone, t) for k, (zone, t) in enumerate(changes)],
+                                  "k long, tz_id string, base timestamp_ntz")
+    slot = F.pmod(F.floor(F.col("event_id") / n), F.lit(ZONE_SLOTS))
+    ev = (_read(spark, sf_dir, "events").where("event_id is not null")
+          .select("event_id", F.pmod("event_id", n).alias("k"), slot.alias("slot")))
+    # bounded: a few rows for each zone there is
+    return ev.join(F.broadcast(table), "k").select(
+        "event_id", "tz_id", (F.col("base") + F.make_dt_interval(mins=(F.col("slot") * 15).cast("int"))).alias("local_time"))
