@@ -22,7 +22,7 @@ from ..operators.upsert import checked_batch, collapse_batch, upsert_table
 from ..operators.validate import fail_on_violation, typed_record, validate_records
 from ..session import scratch_path
 from ..sources.documents import decode_documents, read_documents
-from ..sources.snapshots import DAY_TABLES, SnapshotStore
+from ..sources.snapshots import SnapshotStore, place_part
 
 # What a batch does with rows of one key: the last one wins, the run fails,
 # or every one is kept and the joins multiply them.
@@ -109,18 +109,18 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     if counts["bad"]:
         staged.where(bad).select("source", "label", "violations", "record_json") \
             .write.mode("overwrite").parquet(f"{store.root}/v={store.next_version()}/_rejected")
-    days = None
+    days = places = None
     if layout == "by_day" and fmt == "parquet":
-        # the pull days of one batch, read from the staged records once
-        day = F.to_date("rec.location.localtime")
-        days = [r[0] for r in staged.where(~bad).select(day.alias("d")).distinct().collect()]
+        # the pull days and parts of the places of one batch, read from the staged records once
+        place = place_part(*[f"rec.location.{c}" for c in S.PLACE_KEYS])
+        days, places = staged.where(~bad).agg(F.collect_set(F.to_date("rec.location.localtime")), F.collect_set(place)).first()
     prev = store.latest_version()
     rule = "error" if on_duplicate == "error" else "multiply"
     out = {}
     for t, df in batch_tables(staged, on_duplicate, merged_path=f"{store.root}/_staging_merged").items():
-        old = store.read(t, prev, days if t in DAY_TABLES else None) if prev is not None else None
+        old = store.read(t, prev, days, places) if prev is not None else None
         out[t] = upsert_table(t, old, df, rule)
-    return RunResult(store.write(out, tag=tag, days=days), int(counts["n"]), int(counts["bad"]))
+    return RunResult(store.write(out, tag=tag, days=days, places=places), int(counts["n"]), int(counts["bad"]))
 
 
 def run(spark: SparkSession, input_path: str, store_root: str, mode: str = "fail",
@@ -129,8 +129,9 @@ def run(spark: SparkSession, input_path: str, store_root: str, mode: str = "fail
     """Read documents at ``input_path`` and apply them to the store.
 
     ``layout="by_day"`` (default): of the tables kept by pull day only the
-    batch's days are read and written. ``layout="versioned"``, and CSV: every
-    run writes all tables whole.
+    batch's days, and of those of one row a place only the batch's share of the
+    places, are read and written. ``layout="versioned"``, and CSV: every run
+    writes all tables whole.
     """
     return run_documents(spark, read_documents(spark, input_path, multiline), store_root, mode,
                          on_duplicate, fmt, layout)

@@ -2,9 +2,10 @@
 
 A run writes its tables under ``<root>/v=<N>`` first and its commit marker
 ``<root>/_commits/<N>.json`` last, as one file that appears complete or not
-at all. The marker says which version holds each table, or each pull day of
-a table, so a run rewrites only the days it touches, nothing that is read is
-ever overwritten, and all five tables change together. Readers take the
+at all. The marker says which version holds each table, or each part of
+it (a pull day, or a share of the places), so a run rewrites only the parts it
+touches, nothing that is read is ever overwritten, and all five tables change
+together. Readers take the
 highest marker; a run that dies half-way is never seen, and the next one
 replaces what it left. One writer per store.
 """
@@ -116,13 +117,19 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 DAY_COLUMN = "pull_day"
 
-# Tables keyed by pull time, which a store may keep by the pull's date; the
-# per-place tables (location, stats) are always written whole.
+# Tables keyed by pull time, which a store may keep by the pull's date, and
+# tables of one row a place, which it may keep by a hash of the place.
 DAY_TABLES = ("current_temp", "forecast_temp", "merged")
-# Fixed value: the part of a table that is kept whole.
-WHOLE = ""
-# Tags that a marker repeats of those before it; a stream replays its last batch only.
-TAGS_KEPT = 1000
+PLACE_COLUMN, PLACE_TABLES = "place_part", ("location", "stats")
+# Parts that places fall in, the same for all versions of a store,
+# and the part of a table that is kept whole.
+PLACE_PARTS, WHOLE = 32, ""
+
+
+def _series(tag: str) -> tuple[str, int | None]:
+    """A tag ``name#number`` as its name and number; other tags have no number."""
+    name, _, number = tag.rpartition("#")
+    return (name, int(number)) if name and number.isdecimal() else (tag, None)
 
 
 def pull_day(table: str):
@@ -131,6 +138,11 @@ def pull_day(table: str):
     return c if table == "merged" else F.to_date(c)
 
 
+def place_part(name="name", region="region", country="country"):
+    """The part of the place tables that holds a place."""
+    return F.pmod(F.xxhash64(name, region, country), F.lit(PLACE_PARTS)).cast("int")
+
+
 class SnapshotStore:
     """Committed versions of the five tables under one root folder."""
 
@@ -153,12 +165,14 @@ class SnapshotStore:
 
     def _part_path(self, table: str, part: str, version: int) -> str:
         whole = f"{self.root}/v={version}/{table}"
-        return whole if part == WHOLE else f"{whole}/{DAY_COLUMN}={part}"
+        return whole if part == WHOLE else f"{whole}/{PLACE_COLUMN if table in PLACE_TABLES else DAY_COLUMN}={part}"
 
-    def read(self, table: str, version: int | None = None, days: list | None = None) -> DataFrame | None:
+    def read(self, table: str, version: int | None = None, days: list | None = None,
+             places: list | None = None) -> DataFrame | None:
         """A table at ``version`` (default: latest committed), or None.
 
-        ``days`` reads only those pull days of a table that is kept by day.
+        ``days`` reads only those pull days of a table that is kept by day, ``places``
+        only those parts (see ``place_part``) of one that is kept by place.
         """
         v = self.latest_version() if version is None else version
         if v is None:
@@ -166,7 +180,8 @@ class SnapshotStore:
         parts = self.commit(v)["tables"].get(table)
         if parts is None:
             return None
-        asked = None if days is None or WHOLE in parts else {str(d) for d in days}
+        only = places if table in PLACE_TABLES else days
+        asked = None if only is None or WHOLE in parts else {str(p) for p in only}
         paths = [self._part_path(table, p, at) for p, at in parts.items() if asked is None or p in asked]
         if self.fmt == "csv":
             return read_csv(self.spark, paths[0], table)
@@ -196,9 +211,18 @@ class SnapshotStore:
                 .select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(number)))
 
     def has_tag(self, tag: str) -> bool:
-        """Whether the latest version's marker, or one before it, carries ``tag``."""
+        """Whether ``tag``, or a later number of its series, was written before.
+
+        A tag ``name#number`` is one of a series, whose numbers rise, as a stream's
+        batches do: a marker keeps the highest. Of other tags it keeps all.
+        """
         v = self.latest_version()
-        return v is not None and tag in self.commit(v)["tags"]
+        if v is None:
+            return False
+        marker, (series, number) = self.commit(v), _series(tag)
+        if tag in marker["tags"]:
+            return True
+        return number is not None and number <= marker.get("series", {}).get(series, -1)
 
     def clean(self, keep: int = 1) -> list[str]:
         """Forget all but the newest ``keep`` versions, and delete what only older ones held.
@@ -241,11 +265,13 @@ class SnapshotStore:
         return 0 if prev is None else prev + 1
 
     def write(self, tables: dict[str, DataFrame], sort: bool | None = None,
-              tag: str | None = None, days: list | None = None) -> int:
+              tag: str | None = None, days: list | None = None, places: list | None = None) -> int:
         """Write ``tables`` as the next version, then commit it; other tables stay.
 
         With ``days``, the tables of ``DAY_TABLES`` hold just these pull days and
-        replace them; all other days stay where they are. ``sort=True`` orders
+        replace them; all other days stay where they are. ``places`` does the same
+        for the parts of ``PLACE_TABLES``. A table that was kept whole until now must
+        come whole, and is split from then on. ``sort=True`` orders
         each table globally on its keys (a range shuffle; files read in order
         give the saved-table order). The default does so for CSV, whose row
         order is part of the format; for parquet it sorts within partitions
@@ -258,6 +284,14 @@ class SnapshotStore:
         prev = self.latest_version()
         v = self.next_version()
         before = self.commit(prev) if prev is not None else {"tables": {}, "tags": []}
+        series = dict(before.get("series", {}))
+        tags = list(before["tags"])
+        if tag is not None:
+            name, number = _series(tag)
+            if number is None:
+                tags.append(tag)
+            else:
+                series[name] = max(number, series.get(name, -1))
 
         def write_one(table: str, df: DataFrame) -> dict[str, int]:
             schema, keys = S.TABLES[table]
@@ -266,11 +300,16 @@ class SnapshotStore:
             path = self._part_path(table, WHOLE, v)
             # version v is not committed, so no reader uses it: a run that
             # died half-way left at most debris here, which is replaced
+            column = None
             if days is not None and table in DAY_TABLES:
-                (out.withColumn(DAY_COLUMN, pull_day(table)).sortWithinPartitions(DAY_COLUMN, *ordering)
-                 .write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(path))
-                written = {n[len(DAY_COLUMN) + 1:]: v for n in files.names(self.spark, path) if n.startswith(f"{DAY_COLUMN}=")}
-                return {**before["tables"].get(table, {}), **written}
+                column, out = DAY_COLUMN, out.withColumn(DAY_COLUMN, pull_day(table))
+            elif places is not None and table in PLACE_TABLES:  # a part is small: one file
+                column, out = PLACE_COLUMN, out.withColumn(PLACE_COLUMN, place_part()).repartition(PLACE_COLUMN)
+            if column is not None:
+                out.sortWithinPartitions(column, *ordering).write.mode("overwrite").partitionBy(column).parquet(path)
+                written = {n[len(column) + 1:]: v for n in files.names(self.spark, path) if n.startswith(f"{column}=")}
+                kept = {p: at for p, at in before["tables"].get(table, {}).items() if p != WHOLE}
+                return {**kept, **written}
             out = out.orderBy(*ordering) if sort else out.sortWithinPartitions(*ordering)
             if self.fmt == "csv":
                 write_csv(out, path, mode="overwrite")
@@ -283,6 +322,6 @@ class SnapshotStore:
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
             parts = {t: pool.submit(write_one, t, df) for t, df in tables.items()}
             done = {t: f.result() for t, f in parts.items()}
-        marker = {"tables": {**before["tables"], **done}, "tags": before["tags"][-TAGS_KEPT:] + ([tag] if tag else [])}
+        marker = {"tables": {**before["tables"], **done}, "tags": tags, "series": series}
         files.write_whole(self.spark, f"{self.root}/_commits/{v}.json", json.dumps(marker))
         return v
