@@ -6,28 +6,32 @@ gets a graph. A new
 vector's neighbours are proposed by a greedy beam search on the graph so far;
 pruning walks them from near to far and drops those to which an already kept
 neighbour is closer by the factor ``1 / alpha`` than the vector itself, which
-keeps edges in diverse directions; edges are added both ways. A query runs a
-beam search on every shard, and its best vectors over all shards are ranked by
-their exact scores. The largest inner product becomes the least distance by one
+keeps edges in diverse directions; edges are added both ways. Every graph is
+built once and written beside its vectors. A query runs a beam search on every
+shard: tasks hold some shards each, the queries stream past them, and only a
+query's best over a task's shards go on to be ranked by their exact scores. The largest inner product becomes the least distance by one
 more component, ``sqrt(M**2 - |x|**2)``.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import workers_import_us
+from .common import lean, stage, workers_import_us
 from .vectors import classes, usable
 
 #: vectors in a shard, edges of a node, beam widths of building and of
-#: searching, relaxation of the pruning, queries in a block
-SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA, QUERIES = 4096, 32, 64, 96, 1.2, 2048
+#: searching, relaxation of the pruning, fewest queries worth a block of their own
+SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA, QUERIES = 4096, 32, 64, 96, 1.2, 512
+#: vectors and edges of the shards that a task holds, in 32-bit numbers
+GROUP_BYTES = 32 << 20
 #: ratio of the lengths of the vectors in a shard
 LENGTHS = 1.1
 #: vectors a batch inserts at most, and searches that run together
@@ -163,27 +167,117 @@ def _link_back(x: np.ndarray, graph: np.ndarray, new: np.ndarray, degree: int, a
         graph[nodes[part]] = robust_prune(x, nodes[part], pool[part], degree, alpha)
 
 
-def search_shard(vectors: np.ndarray, queries: np.ndarray, k: int, width: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+def exactly(vectors: np.ndarray) -> bool:
+    """Whether a shard has so few vectors that a beam would read them all anyway."""
+    return len(vectors) <= 2 * BEAM
+
+
+def search(vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries: np.ndarray, k: int, width: int = BEAM
+           ) -> tuple[np.ndarray, np.ndarray]:
     """Positions and exact inner products of the best ``k`` found for every query (-1: fewer)."""
     n = len(vectors)
     k, width = min(k, n), min(n, max(width, k))
-    # in float32 lengths of any magnitude: neither changes a query's order of the vectors
-    x = raised(shortened(vectors))
-    q = np.concatenate([shortened(queries, each=True), np.zeros((len(queries), 1))], axis=1).astype(np.float32)
-    if n <= 2 * width:  # as many as a beam would read anyway
-        found = np.broadcast_to(np.arange(n), (len(q), n))
+    if exactly(vectors):
+        found = np.broadcast_to(np.arange(n), (len(queries), n))
     else:
-        graph, starts = build(x)
+        # in float32 lengths of any magnitude: neither changes a query's order of the vectors
+        x = raised(shortened(vectors.astype(np.float64)))
+        q = np.concatenate([shortened(queries, each=True), np.zeros((len(queries), 1))], axis=1).astype(np.float32)
         found = np.concatenate([beam_search(x, graph, starts, q[lo:lo + BATCH], width)[0]
                                 for lo in range(0, len(q), BATCH)])
     score = np.empty(found.shape)
-    for lo in range(0, len(q), 64):  # in double precision, each product on its own
-        score[lo:lo + 64] = (vectors[found[lo:lo + 64]] * queries[lo:lo + 64, None, :]).sum(axis=2)
+    for lo in range(0, len(queries), 64):  # in double precision, each product on its own
+        score[lo:lo + 64] = (vectors[found[lo:lo + 64]].astype(np.float64) * queries[lo:lo + 64, None, :]).sum(axis=2)
     score[found < 0] = -np.inf
     best = np.argsort(-score, axis=1, kind="stable")[:, :k]
     return np.take_along_axis(found, best, axis=1), np.take_along_axis(score, best, axis=1)
 
 
+def _rows(column: pa.Array) -> np.ndarray:
+    """Arrays of equal length as the rows of a matrix of their own type."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _with_edges(nodes: pa.Table) -> pa.Table:
+    """The nodes of one shard by ``cid`` with their edges: places in that order, as
+    many as there are nodes where there is no edge; null in a shard searched without."""
+    nodes = nodes.sort_by("cid").combine_chunks()
+    n = len(nodes)
+    vectors = _rows(nodes["embedding"].combine_chunks())
+    edges, start = pa.nulls(n, pa.list_(pa.int32())), np.zeros(n, bool)
+    if not exactly(vectors):
+        graph, starts = build(raised(shortened(vectors.astype(np.float64))))
+        start[starts] = True
+        edges = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * graph.shape[1]),
+                                         pa.array(graph.reshape(-1).astype(np.int32)))
+    return nodes.append_column("start", pa.array(start)).append_column("edges", edges)
+
+
+class _Shard:
+    """One shard's nodes, as a task holds them while queries stream by."""
+
+    def __init__(self, nodes: pa.Table):
+        self.cid, self.low = nodes["id"].to_numpy(), nodes["low"].to_numpy()
+        self.vectors = _rows(nodes["embedding"].combine_chunks())
+        self.starts = np.flatnonzero(nodes["start"].to_numpy())
+        self.graph = None if exactly(self.vectors) else _rows(nodes["edges"].combine_chunks())
+
+    def best(self, queries: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, score = search(self.vectors, self.graph, self.starts, queries, k, width)
+        return np.where(found < 0, -1, self.cid[found]), self.low[found], score
+
+
+def _answers(shards: list[_Shard], ids: np.ndarray, queries: np.ndarray, k: int, width: int) -> pa.RecordBatch:
+    """The best ``k`` over all shards for every query, equal scores by the smaller id."""
+    cid, low, score = (np.concatenate(part, axis=1) for part in zip(*(s.best(queries, k, width) for s in shards)))
+    order = np.lexsort((low, -score), axis=1)[:, :k]
+    cid, low, score = (np.take_along_axis(part, order, axis=1) for part in (cid, low, score))
+    there = cid >= 0
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.broadcast_to(ids[:, None], cid.shape)[there]), *(pa.array(part[there]) for part in (cid, low, score))],
+        names=["query_id", "cid", "low", "score"])
+
+
+def _runs(t: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
+    """Slices of neighbouring rows that agree in ``columns``."""
+    changes = np.zeros(len(t) + 1, bool)
+    changes[[0, -1]] = True
+    for c in columns:
+        value = t[c].to_numpy(zero_copy_only=False)
+        changes[1:-1] |= value[1:] != value[:-1]
+    for lo, hi in itertools.pairwise(np.flatnonzero(changes)):
+        yield t.slice(lo, hi - lo)
+
+
+def _search_stream(k: int, width: int):
+    """Work on rows sorted by (key, queries after nodes, dim, shard, id): a key's shards are
+    held, its queries pass by a batch at a time."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shards, nodes = None, {}, []
+
+        def settle() -> None:
+            if nodes:
+                whole = pa.Table.from_batches(nodes)
+                shards.setdefault(whole["dim"][0].as_py(), []).append(_Shard(whole))
+                nodes.clear()
+
+        for run in (r for batch in batches if len(batch) for r in _runs(batch, "key", "asks", "dim", "shard")):
+            key, asks, dim, shard = (run[c][0].as_py() for c in ("key", "asks", "dim", "shard"))
+            if (key, asks, dim, shard) != at:
+                settle()
+                if at is None or key != at[0]:
+                    shards.clear()
+                at = key, asks, dim, shard
+            if not asks:
+                nodes.append(run)
+            elif dim in shards:
+                for lo in range(0, len(run), BATCH):
+                    part = run.slice(lo, BATCH)
+                    yield _answers(shards[dim], part["id"].to_numpy(), _rows(part["embedding"]).astype(np.float64), k, width)
+
+    return work
+
+
 def _few_members(members: DataFrame, k: int) -> DataFrame:
     """The ``k`` smallest ids of every class; a class of any size is ranked in shares first."""
     salted = members.distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALT)))
@@ -207,8 +301,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
             block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found of every query.
 
-    Queries are the rows whose id is divisible by ``every``; they meet every
-    shard in blocks. Identical vectors are one node of a graph and all their
+    Queries are the rows whose id is divisible by ``every``; all of them pass
+    every shard. Identical vectors are one node of a graph and all their
     ids are answers.
 
     Defined cases: rows whose vector is null, zero or holds null or non-finite
@@ -223,36 +317,41 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
              .select(F.col("vec_id").cast("long").alias("query_id"), "embedding").distinct())
     # one row a band of lengths; a shard's number is its band's first plus a hash
     table = table.withColumn("band", _band(F.col("embedding")))
-    shards, first = 0, {}
-    for r in table.groupBy("band").count().orderBy("band").collect():
+    shards, first, longest = 0, {}, 0
+    for r in table.groupBy("band").agg(F.count("*").alias("count"), F.max(F.size("embedding")).alias("dim")).orderBy("band").collect():
+        longest = max(longest, r.dim)
         first[r.band] = (shards, -(-r["count"] // shard))
         shards += first[r.band][1]
     if not shards:
         return vectors.select(*[F.lit(None).cast(t).alias(c) for c, t in _ANSWER.items()]).where("false")
     look = lambda k: F.element_at(F.create_map(*[F.lit(x) for b, v in first.items() for x in (b, v[k])]), F.col("band"))
-    blocks = max(1, math.ceil(asked.count() / block))
-    dim = F.size("embedding").alias("dim")
-    share = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-    left = table.select("cid", "embedding", dim, (look(0) + F.pmod(F.xxhash64("cid"), look(1))).cast("int").alias("shard"),
-                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.select("query_id", "embedding", dim, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-                         share("query_id", blocks).alias("block"))
-    keys = ["shard", "block", "dim"]
-
-    def work(nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if nodes.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "cid": [], "score": []})
-        nodes = nodes.sort_values("cid", ignore_index=True)
-        found, score = search_shard(np.stack(nodes["embedding"]).astype(np.float64),
-                                    np.stack(queries["embedding"]).astype(np.float64), k + 1, width)
-        out = pd.DataFrame({"query_id": np.repeat(queries["query_id"].to_numpy(), found.shape[1]),
-                            "at": found.reshape(-1), "score": score.reshape(-1)})
-        out = out[out["at"] >= 0]
-        return pd.DataFrame({"query_id": out["query_id"], "cid": nodes["cid"].to_numpy()[out["at"]],
-                             "score": out["score"]})
-
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        work, "query_id long, cid long, score double")
+    table = table.withColumn("shard", (look(0) + F.pmod(F.xxhash64("cid"), look(1))).cast("int")).withColumn("dim", F.size("embedding"))
+    nodes = table.select("shard", "dim", "cid", "low", "embedding")
+    kind = nodes.schema["embedding"].dataType.simpleString()
+    graph = stage(nodes.groupBy("shard", "dim").applyInArrow(
+        _with_edges, f"shard int, dim int, cid long, low long, embedding {kind}, start boolean, edges array<int>"), "graph")
+
+    # a task holds some shards and sees one block of the queries; few shards leave tasks
+    # idle, so their queries are split further
+    tasks = vectors.sparkSession.sparkContext.defaultParallelism
+    held = max(1, min(GROUP_BYTES // (4 * shard * (longest + DEGREE)), shards // tasks))
+    groups = -(-shards // held)
+    blocks = max(1, min(-(-asked.count() // block), -(-tasks // groups)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = graph.withColumn("block", each(blocks)).select(
+        ((F.col("shard") / held).cast("int") * blocks + F.col("block")).alias("key"), F.lit(False).alias("asks"),
+        "dim", "shard", F.col("cid").alias("id"), "low", "embedding", "start", "edges")
+    none = {c: F.lit(None).cast(left.schema[c].dataType) for c in ("low", "start", "edges")}
+    right = asked.withColumn("group", each(groups)).select(
+        (F.col("group") * blocks + F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).alias("key"),
+        F.lit(True).alias("asks"), F.size("embedding").alias("dim"), F.lit(-1).alias("shard"),
+        F.col("query_id").alias("id"), none["low"].alias("low"), "embedding", none["start"].alias("start"),
+        none["edges"].alias("edges"))
+    found = (left.unionByName(right).repartitionById(groups * blocks, F.col("key"))
+             .sortWithinPartitions("key", "asks", "dim", "shard", "id")
+             .mapInArrow(lean(_search_stream(k + 1, width)), "query_id long, cid long, low long, score double"))
+    first_few = Window.partitionBy("query_id").orderBy(F.desc("score"), "low")
+    found = found.withColumn("place", F.row_number().over(first_few)).where(F.col("place") <= k + 1)
     few = _few_members(members, k + 1)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.join(few, "cid").where("vec_id <> query_id")
