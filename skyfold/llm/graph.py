@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lean, stage, workers_import_us
@@ -290,11 +290,17 @@ def _few_members(members: DataFrame, k: int) -> DataFrame:
 _ANSWER = {"query_id": "long", "rank": "int", "vec_id": "long", "score": "double"}
 
 
-def _band(v: Column) -> Column:
+def _with_band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors of one band differ in length by at most LENGTHS; 1 lies in the middle of one."""
-    largest = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
-    squares = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))
-    return F.floor((F.log(largest) + F.log(squares) / 2) / math.log(LENGTHS) + 0.5).cast("int")
+    for batch in batches:
+        if len(batch):
+            v = np.abs(batch["embedding"].flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            dim = batch["embedding"].value_lengths().to_numpy()
+            at = np.cumsum(dim) - dim
+            largest = np.maximum.reduceat(v, at)
+            squares = np.add.reduceat((v / np.repeat(largest, dim)) ** 2, at)
+            band = np.floor((np.log(largest) + np.log(squares) / 2) / math.log(LENGTHS) + 0.5)
+            yield batch.append_column("band", pa.array(band.astype(np.int32)))
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD, width: int = BEAM,
@@ -316,7 +322,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
     asked = (vectors.where(usable()).where(F.col("vec_id") % every == 0)
              .select(F.col("vec_id").cast("long").alias("query_id"), "embedding").distinct())
     # one row a band of lengths; a shard's number is its band's first plus a hash
-    table = table.withColumn("band", _band(F.col("embedding")))
+    kind = table.schema["embedding"].dataType.simpleString()
+    table = table.select("cid", "low", "embedding").mapInArrow(
+        lean(_with_band), f"cid long, low long, embedding {kind}, band int")
     shards, first, longest = 0, {}, 0
     for r in table.groupBy("band").agg(F.count("*").alias("count"), F.max(F.size("embedding")).alias("dim")).orderBy("band").collect():
         longest = max(longest, r.dim)
@@ -327,7 +335,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard: int = SHARD
     look = lambda k: F.element_at(F.create_map(*[F.lit(x) for b, v in first.items() for x in (b, v[k])]), F.col("band"))
     table = table.withColumn("shard", (look(0) + F.pmod(F.xxhash64("cid"), look(1))).cast("int")).withColumn("dim", F.size("embedding"))
     nodes = table.select("shard", "dim", "cid", "low", "embedding")
-    kind = nodes.schema["embedding"].dataType.simpleString()
     graph = stage(nodes.groupBy("shard", "dim").applyInArrow(
         _with_edges, f"shard int, dim int, cid long, low long, embedding {kind}, start boolean, edges array<int>"), "graph")
 
