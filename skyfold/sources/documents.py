@@ -41,7 +41,7 @@ def read_documents(spark: SparkSession, path: str, multiline: bool | None = None
     if multiline is not None:
         return read(multiline)
     lines = read(False)
-    files = lines.groupBy("source").agg(F.max(F.json_object_keys("text").isNotNull()).alias("by_line"))
+    files = lines.groupBy("source").agg(F.max(_an_object("text")).alias("by_line"))
     if not files.where("not by_line").take(1):
         return lines
     return read(False, files.where("by_line")).unionByName(read(True, files.where("not by_line")))
@@ -73,15 +73,23 @@ def _entries_with_position() -> Column:
 
 
 def _parsed(text: str) -> Column:
-    """The map of a text that is one JSON object and nothing else, or null.
+    """The map of a text that is one JSON object and nothing else, or null, in one parse.
 
     A parser reads one value and forgets the rest of the text. So the text is
-    read as the only element of a list and as the only field of an object: what
-    follows the object breaks one or the other.
+    read as the first field of an object whose second one, named by a hash of the
+    text, follows it: whatever stands after the object in the text adds a field,
+    breaks the outer object or ends it before that second field.
     """
-    field = F.json_object_keys(F.concat(F.lit('{"d":'), F.col(text), F.lit("}")))
-    listed = F.from_json(F.concat(F.lit("["), F.col(text), F.lit("]")), "array<map<string,variant>>", STRICT)
-    return F.when((F.size(field) == 1) & (F.size(listed) == 1), listed[0])
+    end = F.hex(F.xxhash64(text))
+    outer = F.from_json(F.concat(F.lit('{"d":'), F.col(text), F.lit(',"'), end, F.lit('":{}}')),
+                        "map<string,map<string,variant>>", STRICT)
+    return F.when((F.size(outer) == 2) & (F.map_keys(outer)[1] == end), F.map_values(outer)[0])
+
+
+def _an_object(text: str) -> Column:
+    """Whether a line is a JSON object; only lines in braces are parsed to tell."""
+    bare = F.trim(F.col(text), F.lit(" \t\r\n"))
+    return F.when(bare.startswith("{") & bare.endswith("}"), F.json_object_keys(text).isNotNull()).otherwise(False)
 
 
 def decode_documents(docs: DataFrame) -> DataFrame:
