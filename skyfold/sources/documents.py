@@ -72,18 +72,20 @@ def _entries_with_position() -> Column:
     return F.when(ranked.isNull(), plain).otherwise(deduped)
 
 
-def _parsed(text: str) -> Column:
-    """The map of a text that is one JSON object and nothing else, or null, in one parse.
+def _parsed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``m``: the map of a text that is one JSON object and nothing else, or null.
 
     A parser reads one value and forgets the rest of the text. So the text is
     read as the first field of an object whose second one, named by a hash of the
     text, follows it: whatever stands after the object in the text adds a field,
-    breaks the outer object or ends it before that second field.
+    breaks the outer object or ends it before that second field. One parse: the
+    outer object is a column of its own, as it is used three times.
     """
-    end = F.hex(F.xxhash64(text))
-    outer = F.from_json(F.concat(F.lit('{"d":'), F.col(text), F.lit(',"'), end, F.lit('":{}}')),
+    end = F.hex(F.xxhash64("text"))
+    outer = F.from_json(F.concat(F.lit('{"d":'), F.col("text"), F.lit(',"'), end, F.lit('":{}}')),
                         "map<string,map<string,variant>>", STRICT)
-    return F.when((F.size(outer) == 2) & (F.map_keys(outer)[1] == end), F.map_values(outer)[0])
+    alone = (F.size("_outer") == 2) & (F.map_keys("_outer")[1] == end)
+    return docs.withColumn("_outer", outer).withColumn("m", F.when(alone, F.map_values("_outer")[0])).drop("_outer")
 
 
 def _an_object(text: str) -> Column:
@@ -106,7 +108,7 @@ def decode_documents(docs: DataFrame) -> DataFrame:
     keys = F.map_keys(m)
     ranked = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), (-i).alias("ni"))))
     parsed = (
-        docs.select("source", "text", F.monotonically_increasing_id().alias("doc"), _parsed("text").alias("m"))
+        _parsed(docs.select("source", "text", F.monotonically_increasing_id().alias("doc")))
         .withColumn("_ranked", F.when(F.size(F.array_distinct(keys)) < F.size(m), ranked))
         .withColumn("_keys", keys)
         .withColumn("_vals", F.map_values(m))
