@@ -168,6 +168,10 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, n
                *shingle_sets(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words))
 
 
+#: a set held by more than this share of all rows is joined by a broadcast, of fewer sets than that
+HOT_SETS = 1000
+
+
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS, words: int = SHINGLE_WORDS) -> DataFrame:
     """Per document: a number of its own, its text's hash, set size and fingerprint, a byte of every rank, and band keys."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +261,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     sketch = stage(sketches(docs, bands, rows, words), "sketches")
     full = sketch.where("n > 0 and doc_id is not null")
-    classes = stage(full.groupBy("set_a", "set_b").agg(F.min("row").alias("cid"), F.min("doc_id").alias("low")), "classes")
+    classes = stage(full.groupBy("set_a", "set_b").agg(
+        F.min("row").alias("cid"), F.min("doc_id").alias("low"), F.count("*").alias("size")), "classes")
 
     reps = full.select("row", "n", "bands").join(classes.select(F.col("cid").alias("row")), "row")
     listed = reps.select(F.col("row").alias("cid"), "n", F.posexplode("bands").alias("band", "bucket"))
@@ -285,14 +290,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     merged = components(links.unionAll(others)).withColumnRenamed("id", "cid")
     owner = classes.join(merged, "cid", "left").withColumn("root", F.coalesce("component", "cid"))
     least = stage(owner.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
-    named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id", "root"), "components")
-    linked = F.expr("n > 0 and doc_id is not null")
-    return (sketch.select("doc_id", "print", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    "print", F.when(linked, F.col("root")).alias("root"))
-            .withColumn("kept", F.expr("coalesce(doc_id = component_id, true)"))
-            .select("doc_id", "n_shingles", "component_id", "kept", *(["print", "root"] if by_row else [])))
+    named = stage(owner.join(least, "root").select("set_a", "set_b", "component_id", "root", "size"), "components")
+
+    # members of the few sets that many rows share find them by a broadcast, the others by a shuffle
+    bulk = F.col("size") * HOT_SETS > (classes.agg(F.sum("size")).first()[0] or 0)
+    hot, key = F.broadcast(named.where(bulk)), ["set_a", "set_b"]
+    alone = sketch.where("n = 0 or doc_id is null")
+    member = full.join(hot, key).unionByName(full.join(hot.select(*key), key, "left_anti").join(named.where(~bulk), key))
+    parts = [member.select("doc_id", "n", "component_id", "print", "root"),
+             alone.select("doc_id", "n", F.col("doc_id").alias("component_id"), "print", F.lit(None).cast("long").alias("root"))]
+    return (parts[0].unionByName(parts[1])
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
+                    F.expr("coalesce(doc_id = component_id, true)").alias("kept"), *(["print", "root"] if by_row else [])))
 
 
 #: the same rows in DuckDB's dialect. A class is a set; two linked classes share one of
