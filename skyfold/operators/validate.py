@@ -6,6 +6,11 @@ ints, yes/no words as booleans), giving a ``violations array<string>``.
 Valid records are then cast to the typed record struct. All of it runs
 inside the JVM, row by row, with no Python and no shuffle.
 
+Casting a variant leaf costs many times what looking at a text does. So every leaf
+is cast once, to text, and a part of a record all of whose texts are of an
+accepted form, whatever their JSON type, is accepted and typed from these texts.
+Only other parts are looked at as variants.
+
 Modes: ``"fail"`` stops the job at the first invalid record (the batch is
 all or nothing); ``"quarantine"`` keeps invalid records aside with their
 violations.
@@ -28,6 +33,10 @@ DECIMAL_PREFIX = "DECIMAL"
 # variants, and cast to their struct-of-variants shape.
 PART_PREFIX = "_part_"
 SHAPED_PREFIX = "_shaped_"
+# All leaves of a record as texts, and of each part whether these are accepted;
+# the variants above are only extracted for parts of which they are not.
+TEXTS = "_texts"
+PLAIN_PREFIX = "_plain_"
 
 # Ranges of the integer column types.
 INT_RANGES = {"int": (-(2 ** 31), 2 ** 31 - 1), "bigint": (-(2 ** 63), 2 ** 63 - 1)}
@@ -45,6 +54,12 @@ DATE_TEXT = r"^\d{4}-\d{2}-\d{2}([Tt ]00:00(:00(\.0+)?)?" + ZONE_TEXT + r"?)?$"
 NAIVE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
 AWARE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?" + ZONE_TEXT + "$"
 
+# The common forms of numbers, which need no further test (the digits fit
+# the type), and texts that a leaf of another JSON type than string may also have.
+PLAIN_NUMBER = r"^-?\d{1,15}(\.\d{1,15})?\z"
+PLAIN_INT = {"int": r"^-?\d{1,9}\z", "bigint": r"^-?\d{1,18}\z"}
+MAYBE_NO_STRING = r"^([-0-9\[{]|(true|false)$)"
+
 # The field whose zone is another field, so that it must have
 # none itself, and the field that names a zone.
 LOCAL_FIELD, ZONE_FIELD = "localtime", "tz_id"
@@ -246,6 +261,87 @@ def _shaped_typed(x: Column, spec, name: str = "") -> Column:
     return _leaf_typed(x, spec, name)
 
 
+# ---------------------------------------------------------------------------
+# The same checks and casts on the text of a leaf: what they accept is valid
+# whichever JSON type the text came from; all else is left to the checks above.
+# ---------------------------------------------------------------------------
+
+def text_ddl(spec) -> str:
+    """DDL of the struct-of-texts shape of ``spec``."""
+    return shape_ddl(spec).replace("variant", "string")
+
+
+def _ungrouped(s: Column) -> Column:
+    return F.replace(s, F.lit("_"), F.lit(""))
+
+
+def _text_number(s: Column) -> Column:
+    return F.coalesce(s.try_cast("double"), _ungrouped(s).try_cast("double"))
+
+
+def _text_leaf_ok(s: Column, kind: str, name: str) -> Column:
+    """Whether a leaf with this text is acceptable (null or false: not known from the text)."""
+    if kind == "str" and name == ZONE_FIELD:
+        return s.isin(_known_zones())
+    if kind == "str":
+        return ~s.rlike(MAYBE_NO_STRING)
+    if kind == "float":
+        return s.rlike(PLAIN_NUMBER) | (s.rlike(NUMBER_TEXT) & _text_number(s).isNotNull())
+    if kind == "int":
+        to = S.leaf_type(name, "int").simpleString()
+        d = _text_number(s)
+        return s.rlike(PLAIN_INT[to]) | (s.rlike(INT_TEXT) & (d == F.floor(d)) & d.between(*INT_RANGES[to]))
+    if kind == "bool":
+        return F.lower(s).isin(list(TRUE_WORDS + FALSE_WORDS))
+    if kind == "date":
+        return s.rlike(DATE_TEXT) & F.substring(s, 1, 10).try_cast("date").isNotNull()
+    if kind == "datetime":
+        return s.rlike(NAIVE_DATETIME_TEXT) & F.upper(s).try_cast("timestamp_ntz").isNotNull()
+    raise ValueError(kind)
+
+
+def _texts_ok(x: Column, spec, name: str = "") -> Column:
+    """Whether all texts of a part are acceptable."""
+    if isinstance(spec, dict):
+        out = x.isNotNull()
+        for k, sub in spec.items():
+            out = out & _texts_ok(x[k], sub, k)
+        return out
+    if isinstance(spec, list):
+        return x.isNotNull() & F.forall(x, lambda e: _texts_ok(e, spec[0]))
+    return _text_leaf_ok(x, spec, name)
+
+
+def _text_leaf_typed(s: Column, kind: str, name: str) -> Column:
+    """The typed value of a text that passed ``_text_leaf_ok``."""
+    if kind == "str":
+        return s
+    if kind == "float":
+        return _text_number(s)
+    if kind == "int":
+        to = S.leaf_type(name, "int")
+        return F.coalesce(s.try_cast(to), _ungrouped(s).try_cast("decimal(38,10)").cast(to))
+    if kind == "bool":
+        return F.lower(s).isin(list(TRUE_WORDS))
+    if kind == "date":
+        return F.substring(s, 1, 10).try_cast("date")
+    if kind == "datetime":
+        return F.upper(s).try_cast("timestamp_ntz")
+    raise ValueError(kind)
+
+
+def _texts_typed(x: Column, spec, name: str = "") -> Column:
+    if isinstance(spec, dict):
+        return F.struct(*[_texts_typed(x[k], sub, k).alias(k) for k, sub in spec.items()])
+    if isinstance(spec, list):
+        return F.transform(x, lambda e: _texts_typed(e, spec[0]))
+    return _text_leaf_typed(x, spec, name)
+
+
+def _plain(name: str) -> Column:
+    return F.col(PLAIN_PREFIX + name)
+
+
 def _part(name: str) -> Column:
     return F.col(PART_PREFIX + name)
 
@@ -255,18 +351,21 @@ def _shaped(name: str) -> Column:
 
 
 def with_parts(df: DataFrame, record: str = "record") -> DataFrame:
-    """Extract each top-level part once, raw and shaped."""
-    parts = {PART_PREFIX + n: _get(F.col(record), f"$.{n}") for n in S.RECORD_SPEC}
+    """Read the texts of a record's leaves once, and extract each top-level part that needs it, raw and shaped."""
+    texts = _get(F.col(record), to=text_ddl(S.RECORD_SPEC))
+    plain = _once("plain", lambda: {PLAIN_PREFIX + n: F.coalesce(_texts_ok(F.col(TEXTS)[n], sub), F.lit(False))
+                                    for n, sub in S.RECORD_SPEC.items()})
+    parts = {PART_PREFIX + n: F.when(~_plain(n), _get(F.col(record), f"$.{n}")) for n in S.RECORD_SPEC}
     shaped = {SHAPED_PREFIX + n: _get(F.col(PART_PREFIX + n), to=shape_ddl(sub))
               for n, sub in S.RECORD_SPEC.items()}
-    return df.withColumns(parts).withColumns(shaped)
+    return df.withColumn(TEXTS, texts).withColumns(plain).withColumns(parts).withColumns(shaped)
 
 
 def _helper_columns() -> list[str]:
-    return [p + n for n in S.RECORD_SPEC for p in (PART_PREFIX, SHAPED_PREFIX)]
+    return [TEXTS] + [p + n for n in S.RECORD_SPEC for p in (PLAIN_PREFIX, PART_PREFIX, SHAPED_PREFIX)]
 
 
-_built: dict[tuple, Column] = {}
+_built: dict[tuple, Column | dict[str, Column]] = {}
 
 
 def _once(key: str, build) -> Column:
@@ -288,15 +387,16 @@ def record_violations(record: Column) -> Column:
 
     Needs the columns of ``with_parts``.
     """
+    none = F.array().cast("array<string>")
     parts = []
+    all_plain = F.lit(True)
     for name, sub in S.RECORD_SPEC.items():
         raw, shaped, label = _part(name), _shaped(name), F.lit(name)
-        parts.append(_shaped_violations(shaped, sub, label, raw))
-    # valid records (the common case) stop at the combined acceptance tests
-    all_ok = F.lit(True)
-    for name, sub in S.RECORD_SPEC.items():
-        all_ok = all_ok & _shaped_ok(_shaped(name), sub)
-    return (F.when(all_ok, F.array().cast("array<string>"))
+        # a part that is valid only when looked at as variants stops at the acceptance tests
+        parts.append(F.when(_plain(name) | _shaped_ok(shaped, sub), none)
+                     .otherwise(_shaped_violations(shaped, sub, label, raw)))
+        all_plain = all_plain & _plain(name)
+    return (F.when(all_plain, none)
             .when(_missing(record), F.array(F.lit("record: missing")))
             .when(~_is_object(record), F.array(F.lit("record: not an object")))
             .otherwise(F.concat(*parts)))
@@ -307,8 +407,9 @@ def typed_record() -> Column:
 
     Needs the columns of ``with_parts``; only meaningful without violations.
     """
-    return _once("typed", lambda: F.struct(*[_shaped_typed(_shaped(k), sub, k).alias(k)
-                                             for k, sub in S.RECORD_SPEC.items()]))
+    return _once("typed", lambda: F.struct(*[
+        F.when(_plain(k), _texts_typed(F.col(TEXTS)[k], sub)).otherwise(_shaped_typed(_shaped(k), sub, k)).alias(k)
+        for k, sub in S.RECORD_SPEC.items()]))
 
 
 def validate_records(records: DataFrame, keep_parts: bool = False) -> DataFrame:

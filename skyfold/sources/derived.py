@@ -255,8 +255,8 @@ def _json_struct(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols))
 
 
-def record_json(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
-    """(d, user_id, label, record text) per pull: a projection, no shuffle."""
+def record_json(p: DataFrame, temp_shift: float = 0.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(d, user_id, label, record text) per pull, and columns to keep: a projection, no shuffle."""
     n = F.col("n")
     rule = F.unix_date("d") + F.col("user_id")
     local_text = F.date_format("created_date_local", LOCAL_FORMAT)
@@ -313,7 +313,7 @@ def record_json(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
         .otherwise(F.lit("")),
         F.lit(',"forecast":'), fc_json, F.lit("}"))
     return p.withColumn("_base", base).withColumn("_cond", cond) \
-        .select("d", "user_id", F.col("name").alias("label"), body.alias("record"))
+        .select("d", "user_id", *keep, F.col("name").alias("label"), body.alias("record"))
 
 
 def documents_of(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
@@ -322,14 +322,16 @@ def documents_of(p: DataFrame, temp_shift: float = 0.0) -> DataFrame:
     Groups hold at most ``PLACES_PER_DOCUMENT`` records whatever the scale,
     so no document grows with the data. Places appear in user-id order, so
     a record's position in its document is known; documents are in order of
-    day, so input order is pull order.
+    day, so input order is pull order. The pulls are dealt by day and group
+    before they become texts, many times their size, which then move no more.
     """
-    r = record_json(p, temp_shift)
+    grouped = p.withColumn("g", (F.col("user_id") / PLACES_PER_DOCUMENT).cast("bigint")).repartitionByRange("d", "g")
+    r = record_json(grouped, temp_shift, keep=("g",))
     entry = F.concat(F.lit('"'), F.col("label"), F.lit('":'), F.col("record"))
-    docs = r.groupBy("d", (F.col("user_id") / PLACES_PER_DOCUMENT).cast("bigint").alias("g")).agg(
+    docs = r.groupBy("d", "g").agg(
         F.array_sort(F.collect_list(F.struct("user_id", entry.alias("e")))).alias("entries"))
     body = F.array_join(F.transform("entries", lambda x: x["e"]), ",")
-    return docs.orderBy("d", "g").select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
+    return docs.sortWithinPartitions("d", "g").select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))
 
 
 def write_documents(spark: SparkSession, sf_dir: str, path: str, first_day: dt.date | None = None,
