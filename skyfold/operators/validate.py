@@ -9,7 +9,9 @@ inside the JVM, row by row, with no Python and no shuffle.
 Casting a variant leaf costs many times what looking at a text does. So every leaf
 is cast once, to text, and a part of a record all of whose texts are of an
 accepted form, whatever their JSON type, is accepted and typed from these texts.
-Only other parts are looked at as variants.
+The texts of an object are first matched together, by one pattern of the common
+forms, then one by one. Only other parts are looked at as variants, and there only
+the leaves whose own text is not accepted.
 
 Modes: ``"fail"`` stops the job at the first invalid record (the batch is
 all or nothing); ``"quarantine"`` keeps invalid records aside with their
@@ -59,6 +61,20 @@ AWARE_DATETIME_TEXT = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?" + Z
 PLAIN_NUMBER = r"^-?\d{1,15}(\.\d{1,15})?\z"
 PLAIN_INT = {"int": r"^-?\d{1,9}\z", "bigint": r"^-?\d{1,18}\z"}
 MAYBE_NO_STRING = r"^([-0-9\[{]|(true|false)$)"
+# The common forms of every kind of leaf, for one pattern over all leaves of
+# an object, and the character that ends each of them there (no form holds it).
+END = "\x01"
+_DAY = (r"[1-9]\d{3}-(?:(?:0[13578]|1[02])-(?:0[1-9]|[12]\d|3[01])|(?:0[469]|11)-(?:0[1-9]|[12]\d|30)"
+        r"|02-(?:0[1-9]|1\d|2[0-8]))")
+COMMON = {
+    "str": r"(?!(?:true|false)\x01)(?:[^-0-9\[{\x01][^\x01]*+)?+",
+    "float": r"-?\d{1,30}+(?:\.\d{1,30}+)?(?:[eE][-+]?\d{1,3}+)?",
+    "int": r"-?\d{1,9}+",
+    "bigint": r"-?\d{1,18}+",
+    "bool": r"(?i:true|false|yes|no|on|off|[tfyn01])",
+    "date": _DAY,
+    "datetime": _DAY + r"[ T](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,6}+)?)?",
+}
 
 # The field whose zone is another field, so that it must have
 # none itself, and the field that names a zone.
@@ -169,10 +185,10 @@ def shape_ddl(spec) -> str:
     return "variant"
 
 
-def _leaf_problem(x: Column, kind: str, prefix: Column, name: str = "") -> Column:
-    """Null, or the one problem of leaf variant ``x``."""
+def _leaf_problem(x: Column, kind: str, prefix: Column, text: Column, name: str = "") -> Column:
+    """Null, or the one problem of leaf variant ``x``, looked at only if its ``text`` is not accepted."""
     ok, expected = _leaf_ok(x, kind, name)
-    out = F.when(_missing(x), _msg(prefix, ": missing"))
+    out = F.when(_text_leaf_ok(text, kind, name), F.lit(None).cast("string")).when(_missing(x), _msg(prefix, ": missing"))
     if name == LOCAL_FIELD:
         aware = _numeric(_type(x)) | ((_type(x) == "STRING")
                                       & _get(x, to="string").rlike(AWARE_DATETIME_TEXT))
@@ -180,8 +196,8 @@ def _leaf_problem(x: Column, kind: str, prefix: Column, name: str = "") -> Colum
     return out.when(~ok, _msg(prefix, f": expected {expected}"))
 
 
-def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
-    """array<string> problems of an already shaped value.
+def _shaped_violations(x: Column, spec, prefix: Column, raw: Column, texts: Column) -> Column:
+    """array<string> problems of an already shaped value, whose texts are ``texts``.
 
     The shaping cast nulls exactly the nested object or list whose shape is
     wrong, like a missing one; only then is the raw variant ``raw`` looked
@@ -191,9 +207,9 @@ def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
     fallback = F.when(_missing(raw), F.array(_msg(prefix, ": missing"))) \
         .otherwise(F.array(_msg(prefix, wrong)))
     if isinstance(spec, dict):
-        leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")), k)
+        leaves = [_leaf_problem(x[k], sub, F.concat(prefix, F.lit(f".{k}")), texts[k], k)
                   for k, sub in spec.items() if not isinstance(sub, (dict, list))]
-        nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")), _get(raw, f"$.{k}"))
+        nested = [_shaped_violations(x[k], sub, F.concat(prefix, F.lit(f".{k}")), _get(raw, f"$.{k}"), texts[k])
                   for k, sub in spec.items() if isinstance(sub, (dict, list))]
         own = F.array_compact(F.array(*leaves)) if leaves else F.array().cast("array<string>")
         return F.when(x.isNull(), fallback).otherwise(F.concat(own, *nested) if nested else own)
@@ -201,32 +217,11 @@ def _shaped_violations(x: Column, spec, prefix: Column, raw: Column) -> Column:
         raw_items = _get(raw, to="array<variant>")
         per_item = F.transform(x, lambda e, i: _shaped_violations(
             e, spec[0], F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]")),
-            F.element_at(raw_items, i + 1)))
+            F.element_at(raw_items, i + 1), F.get(texts, i)))
         return F.when(x.isNull(), fallback).otherwise(F.flatten(per_item))
     raise ValueError(spec)
 
 
-def _shaped_ok(x: Column, spec, name: str = "") -> Column:
-    """True when an already shaped value has no problem at all.
-
-    Only the acceptance tests, combined: cheap next to building messages,
-    which ``record_violations`` then does for failing records only.
-    """
-    if isinstance(spec, dict):
-        conds = [x.isNotNull()]
-        conds += [_leaf_ok(x[k], sub, k)[0] for k, sub in spec.items()
-                  if not isinstance(sub, (dict, list))]
-        conds += [_shaped_ok(x[k], sub, k) for k, sub in spec.items()
-                  if isinstance(sub, (dict, list))]
-        out = conds[0]
-        for c in conds[1:]:
-            out = out & c
-        return out
-    if isinstance(spec, list):
-        return x.isNotNull() & F.forall(x, lambda e: _shaped_ok(e, spec[0]))
-    raise ValueError(spec)
-
-
 def _leaf_typed(x: Column, spec: str, name: str) -> Column:
     """The typed value of a leaf that passed ``_leaf_ok``."""
     if spec == "str":
@@ -300,16 +295,53 @@ def _text_leaf_ok(s: Column, kind: str, name: str) -> Column:
     raise ValueError(kind)
 
 
-def _texts_ok(x: Column, spec, name: str = "") -> Column:
+def _leaves(x: Column, spec: dict) -> list[tuple[Column, str, str]]:
+    """(text, kind, field) of an object's leaves and those of the objects in it, but not of its lists."""
+    out = []
+    for k, sub in spec.items():
+        if isinstance(sub, dict):
+            out += _leaves(x[k], sub)
+        elif not isinstance(sub, list):
+            out.append((x[k], sub, k))
+    return out
+
+
+def _common_form(kind: str, name: str) -> str:
+    if name == ZONE_FIELD:
+        return r"[^\x01]*+"
+    return COMMON[S.leaf_type(name, "int").simpleString() if kind == "int" else kind]
+
+
+def _common_ok(x: Column, spec: dict) -> Column:
+    """Whether all leaves of an object have a common form: one pattern over all of their texts."""
+    leaves = _leaves(x, spec)
+    joined = F.concat(*[c for s, _, _ in leaves for c in (s, F.lit(END))])
+    ok = joined.rlike("^" + "".join(_common_form(kind, name) + END for _, kind, name in leaves) + r"\z")
+    for s, _, name in leaves:
+        if name == ZONE_FIELD:
+            ok = ok & s.isin(_known_zones())
+    return ok
+
+
+def _lists(x: Column, spec: dict) -> list[tuple[Column, list]]:
+    return [y for k, sub in spec.items() for y in (
+        _lists(x[k], sub) if isinstance(sub, dict) else [(x[k], sub)] if isinstance(sub, list) else [])]
+
+
+def _texts_ok(x: Column, spec) -> Column:
     """Whether all texts of a part are acceptable."""
-    if isinstance(spec, dict):
-        out = x.isNotNull()
-        for k, sub in spec.items():
-            out = out & _texts_ok(x[k], sub, k)
-        return out
     if isinstance(spec, list):
         return x.isNotNull() & F.forall(x, lambda e: _texts_ok(e, spec[0]))
-    return _text_leaf_ok(x, spec, name)
+    out = x.isNotNull()
+    leaves = _leaves(x, spec)
+    if leaves:
+        each = F.lit(True)
+        for s, kind, name in leaves:
+            each = each & _text_leaf_ok(s, kind, name)
+        out = out & F.when(_common_ok(x, spec), True).otherwise(each)
+    for y, sub in _lists(x, spec):
+        out = out & _texts_ok(y, sub)
+    return out
 
 
 def _text_leaf_typed(s: Column, kind: str, name: str) -> Column:
@@ -392,9 +424,7 @@ def record_violations(record: Column) -> Column:
     all_plain = F.lit(True)
     for name, sub in S.RECORD_SPEC.items():
         raw, shaped, label = _part(name), _shaped(name), F.lit(name)
-        # a part that is valid only when looked at as variants stops at the acceptance tests
-        parts.append(F.when(_plain(name) | _shaped_ok(shaped, sub), none)
-                     .otherwise(_shaped_violations(shaped, sub, label, raw)))
+        parts.append(F.when(_plain(name), none).otherwise(_shaped_violations(shaped, sub, label, raw, F.col(TEXTS)[name])))
         all_plain = all_plain & _plain(name)
     return (F.when(all_plain, none)
             .when(_missing(record), F.array(F.lit("record: missing")))
