@@ -10,8 +10,12 @@ from ..functions import day_diff, day_of, forecast_error
 
 JOIN_KEYS = S.PLACE_KEYS + ["created_date_local"]
 
+# Fixed value: pulls whose forecasts a task joins, so that what it sorts (their join with
+# the observations too) stays small however many pulls there are.
+PULLS_A_TASK = 50_000
 
-def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
+
+def merge_forecast(forecast: DataFrame, current: DataFrame, pulls: int | None = None) -> DataFrame:
     """Left-join each forecast row to the observations of its pull day.
 
     The pull day is the date of the forecast's ``created_date_local``; the
@@ -25,6 +29,8 @@ def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
     Both sides shuffle on the join keys unless AQE finds the observation
     side under the broadcast threshold at run time. Where the sides carry
     their input order, the result has the forecast's, then the observation's.
+    Of so many ``pulls`` that Spark's own number of tasks would leave each more than
+    ``PULLS_A_TASK``, both sides are dealt to more tasks by the same shuffle.
     """
     ordered = "_order" in forecast.columns and "_order" in current.columns
     fc = forecast.select(
@@ -48,6 +54,9 @@ def merge_forecast(forecast: DataFrame, current: DataFrame) -> DataFrame:
         F.col("temp_c").alias("current_temp_c"),
         *([F.col("_order").alias("_observed")] if ordered else []),
     )
+    tasks = -(-(pulls or 0) // PULLS_A_TASK)
+    if tasks > forecast.sparkSession.sparkContext.defaultParallelism:
+        fc, ob = fc.repartition(tasks, *JOIN_KEYS), ob.repartition(tasks, *JOIN_KEYS)
     merged = with_forecast_error(fc.join(ob, JOIN_KEYS, "left"))
     return merged.select(*S.columns(S.MERGED_SCHEMA),
                          *([F.struct("_forecast", "_observed").alias("_order")] if ordered else []))

@@ -332,7 +332,7 @@ def q_pipeline_location(spark, sf):
 def q_merged_many_pulls(spark, sf):
     """Several pulls a day, observations that belong to the day before."""
     b = D.event_pulls(spark, sf)
-    return merge_forecast(b.forecast, b.current).select(
+    return merge_forecast(b.forecast, b.current, b.pulls).select(
         *S.PLACE_KEYS, "created_date_local", "created_date_utc", "forecast_date", "current_temp_last_updated",
         "current_temp_c", "forecast_avgtemp_c", "day_diff", "forecast_current_temp_diff")
 
@@ -340,14 +340,14 @@ def q_merged_many_pulls(spark, sf):
 def q_stats_many_pulls(spark, sf):
     """First observations and hottest days by input order, which is not time order."""
     b = D.event_pulls(spark, sf)
-    return place_stats(merge_forecast(b.forecast, b.current))
+    return place_stats(merge_forecast(b.forecast, b.current, b.pulls))
 
 
 def q_collapse_many_pulls(spark, sf):
     """The batch's last row of every key in input order, for two tables that must agree."""
     from ..operators.upsert import collapse_batch
     b = D.event_pulls(spark, sf)
-    merged = collapse_batch("merged", merge_forecast(b.forecast, b.current))
+    merged = collapse_batch("merged", merge_forecast(b.forecast, b.current, b.pulls))
     return merged.select(*S.PLACE_KEYS, "created_date_local", "forecast_date", "created_date_utc",
                          "current_temp_last_updated", "current_temp_c", "forecast_avgtemp_c")
 

@@ -62,19 +62,19 @@ def stage_records(spark: SparkSession, docs: DataFrame, mode: str = "fail",
 
 
 def batch_tables(staged: DataFrame, on_duplicate: str = "last",
-                 merged_path: str | None = None) -> dict[str, DataFrame]:
+                 merged_path: str | None = None, pulls: int | None = None) -> dict[str, DataFrame]:
     """The five tables of this batch alone; stats are over all its merged rows.
 
     ``on_duplicate`` decides about rows of one key (several pulls of a place):
     see ``ON_DUPLICATE``. With ``merged_path`` the batch's merged rows are
     written there once, so the merged table and the stats do not each run the
-    merge join.
+    merge join. ``pulls`` is how many records there are, where known.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {on_duplicate!r}")
     keyed = with_pull_keys(staged.where(F.size("violations") == 0))
     current, forecast = current_table(keyed), forecast_table(keyed)
-    merged = merge_forecast(forecast, current)
+    merged = merge_forecast(forecast, current, pulls)
     if merged_path is not None:
         merged.write.mode("overwrite").parquet(merged_path)
         merged = staged.sparkSession.read.schema(merged.schema).parquet(merged_path)
@@ -117,7 +117,7 @@ def run_documents(spark: SparkSession, docs: DataFrame, store_root: str, mode: s
     prev = store.latest_version()
     rule = "error" if on_duplicate == "error" else "multiply"
     out = {}
-    for t, df in batch_tables(staged, on_duplicate, merged_path=f"{store.root}/_staging_merged").items():
+    for t, df in batch_tables(staged, on_duplicate, f"{store.root}/_staging_merged", int(counts["n"])).items():
         old = store.read(t, prev, days, places) if prev is not None else None
         out[t] = upsert_table(t, old, df, rule)
     return RunResult(store.write(out, tag=tag, days=days, places=places), int(counts["n"]), int(counts["bad"]))

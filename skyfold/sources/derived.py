@@ -22,6 +22,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cache
 
+import pyarrow as pa
 import pytz
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,7 @@ class Batch:
     location: DataFrame
     current: DataFrame
     forecast: DataFrame
+    pulls: int | None = None  # where known
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -370,7 +372,7 @@ def event_pulls(spark: SparkSession, sf_dir: str) -> Batch:
         (F.col("value") + 2).alias("maxtemp_c"), (F.col("value") - 2).alias("mintemp_c"), F.lit(1.0).alias("uv"),
         F.lit(0).alias("daily_chance_of_rain"), F.lit(0).alias("daily_chance_of_snow"), F.lit(5.0).alias("maxwind_kph"),
         F.struct(-F.col("event_id"), h).alias("_order"))
-    return Batch(location=p.select(*head), current=current, forecast=forecast)
+    return Batch(location=p.select(*head), current=current, forecast=forecast, pulls=ev.count())
 
 
 # ---------------------------------------------------------------------------
@@ -459,8 +461,9 @@ def zone_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a wall time around a clock change of one of all zones."""
     changes = zone_changes()
     n = F.lit(len(changes))
-    table = spark.createDataFrame([(k, zone, t) for k, (zone, t) in enumerate(changes)],
-                                  "k long, tz_id string, base timestamp_ntz")
+    table = spark.createDataFrame(pa.table({
+        "k": pa.array(range(len(changes)), pa.int64()), "tz_id": pa.array([zone for zone, _ in changes], pa.string()),
+        "base": pa.array([t for _, t in changes], pa.timestamp("us"))}))
     slot = F.pmod(F.floor(F.col("event_id") / n), F.lit(ZONE_SLOTS))
     ev = (_read(spark, sf_dir, "events").where("event_id is not null")
           .select("event_id", F.pmod("event_id", n).alias("k"), slot.alias("slot")))
