@@ -463,7 +463,7 @@ def zone_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.lit(len(changes))
     table = spark.createDataFrame(pa.table({
         "k": pa.array(range(len(changes)), pa.int64()), "tz_id": pa.array([zone for zone, _ in changes], pa.string()),
-        "base": pa.array([t for _, t in changes], pa.timestamp("us"))}))
+        "base": pa.array([t for _, t in changes], pa.timestamp("us"))}), "k long, tz_id string, base timestamp_ntz")
     slot = F.pmod(F.floor(F.col("event_id") / n), F.lit(ZONE_SLOTS))
     ev = (_read(spark, sf_dir, "events").where("event_id is not null")
           .select("event_id", F.pmod("event_id", n).alias("k"), slot.alias("slot")))
